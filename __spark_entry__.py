@@ -42,6 +42,7 @@ _QUERIES = (
     reports.events_per_minute,
     reports.events_per_minute_stream,
     reports.source_ready,
+    reports.daily_marts,
     reports.daily_run,
 )
 
@@ -279,5 +280,11 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (ts > TIMESTAMP '2024-01-15') > 0 AS after_mid_month,
                    count(*) FILTER (ts > TIMESTAMP '2024-02-01') > 0 AS after_month
             FROM events""",
-        "daily_run": _REVENUE,
+        "daily_marts": _REVENUE,
+        # A bad purchase stops the run before the marts; all event types count as valid here.
+        "daily_run": f"""
+            SELECT * FROM ({_REVENUE})
+            WHERE NOT EXISTS (SELECT * FROM events WHERE event_type = 'purchase' AND value <= 0)
+              AND (SELECT count(user_id) >= 0.99 * count(*) AND count(event_type) >= 0.99 * count(*)
+                   FROM events)""",
     }

@@ -14,11 +14,14 @@ from tidemart.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        master="local[4]",
-        shuffle_partitions=4,
+        master="local[8]",
+        shuffle_partitions=8,
         extra_conf={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # As much smaller than the default as the data.
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },

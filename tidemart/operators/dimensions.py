@@ -92,7 +92,8 @@ def absent_rows(
     if fits_broadcast(wanted, broadcast_limit):
         # Few new rows: the existing table is filtered where it lies instead of shuffled.
         present = present.join(F.broadcast(wanted), list(keys), "left_semi")
-    return candidates.join(present, list(keys), "left_anti")
+    # Copies of a key are dropped before the shuffle the anti join needs anyway.
+    return candidates.join(present.distinct(), list(keys), "left_anti")
 
 
 def rows_to_insert(

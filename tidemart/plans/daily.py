@@ -89,11 +89,14 @@ def check_quality(
     run_date: str,
     valid_types: Sequence[str] = EVENT_TYPES,
 ) -> list:
-    """Check, log, print, and raise if a check failed. The events are scanned once."""
+    """Check, report, append to the quality log, then raise if a check failed.
+
+    The events are scanned once.
+    """
     checks = quality.report(events, valid_types).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append(quality.metrics_log(checks, run_date).coalesce(1), log_path)
-        print(quality.describe(checks))
+        log.info("%s", quality.describe(checks))
         quality.enforce(checks)
         return checks.collect()
     finally:

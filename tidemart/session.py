@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ADAPTIVE_STREAMS = "spark.sql.adaptive.streaming.stateless.enabled"
+
 # Settings every operator relies on. They can all be changed on a running session.
 ENGINE_CONF = {
     # Event times are written in UTC and read in the session time zone.
@@ -15,6 +17,8 @@ ENGINE_CONF = {
     # Splits hot shuffle partitions, merges small ones and rebalances before writes.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The same for streams without state.
+    ADAPTIVE_STREAMS: "true",
 }
 
 

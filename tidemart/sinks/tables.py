@@ -37,13 +37,20 @@ def ensure_table(
     spark.sql(" ".join(clauses))
 
 
-def balanced(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def balanced(
+    rows: DataFrame, partition_by: Sequence[str], spread: int | None = None
+) -> DataFrame:
     """Bring the rows of a table partition together so that each gets few files.
 
-    The rebalance hint lets the engine split a partition value that holds a large share of
-    the rows and merge the small ones.
+    The rebalance hint lets adaptive execution split a partition value that holds a large
+    share of the rows, and merge the small ones. `spread` is the number of shuffle partitions
+    to start from; a load of more table partitions than the session's number of shuffle
+    partitions needs it, or several of them are split as one and into small files.
     """
-    return rows.hint("rebalance", *partition_by) if partition_by else rows
+    if not partition_by:
+        return rows
+    counted = [] if spread is None else [spread]
+    return rows.hint("rebalance", *counted, *partition_by)
 
 
 def append(
@@ -51,8 +58,9 @@ def append(
     path: str,
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
+    spread: int | None = None,
 ) -> None:
-    writer = balanced(rows, partition_by).write.format(table_format).mode("append")
+    writer = balanced(rows, partition_by, spread).write.format(table_format).mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -63,6 +71,7 @@ def overwrite_partitions(
     path: str,
     partition_by: Sequence[str] = ("dt",),
     table_format: str = "parquet",
+    spread: int | None = None,
 ) -> None:
     """Replace exactly the partitions present in `rows`; the others stay untouched.
 
@@ -70,7 +79,7 @@ def overwrite_partitions(
     their old partition in place.
     """
     (
-        balanced(rows, partition_by)
+        balanced(rows, partition_by, spread)
         .write.format(table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -18,16 +18,24 @@ from tidemart.operators.events import enrich, parse_events, parse_raw_events
 from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.operators.metrics import throughput
 from tidemart.schemas import USER_EVENTS_PARTITIONS
+from tidemart.session import ADAPTIVE_STREAMS
+from tidemart.sinks.tables import balanced
 
 # How often a standing job starts a micro-batch.
 STANDING_INTERVAL = "60 seconds"
 
-# Tasks a product is spread over where the catalog is too large to broadcast.
+# Tasks a product is spread over where the catalog is too large to broadcast and the engine
+# has no adaptive execution for streams.
 STREAM_SALTS = 16
 
 _OBSERVED = "written"
 
 
+def adapts(wire: DataFrame) -> bool:
+    """Whether this engine rebalances writes and splits hot keys of streams by itself."""
+    return wire.sparkSession.conf.get(ADAPTIVE_STREAMS, "false") == "true"
+
+
 def _start(
     rows: DataFrame,
     target: str,
@@ -60,7 +68,7 @@ def start_event_ingest(
     table_format: str = "parquet",
     as_table: bool = False,
     broadcast_limit: int = BROADCAST_BYTES,
-    salts: int = STREAM_SALTS,
+    salts: int | None = None,
 ) -> StreamingQuery:
     """Parse, enrich and append events to the fact table partitioned by day and hour.
 
@@ -68,7 +76,12 @@ def start_event_ingest(
     `target` is a folder, or the name of a catalog table with `as_table`. The size of the
     catalog is measured once at the start, its rows are read again for each micro-batch.
     """
+    adaptive = adapts(wire)
+    if salts is None:
+        salts = 1 if adaptive else STREAM_SALTS
     facts = enrich(parse_events(wire), products, broadcast_limit, salts)
+    if adaptive:
+        facts = balanced(facts, USER_EVENTS_PARTITIONS)
     return _start(
         facts, target, checkpoint, "event_ingest", every, table_format,
         USER_EVENTS_PARTITIONS, as_table,
