@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+from datetime import timedelta
+
+import pytest
+from fixtures import catalog, event, facts, wire
+
+from tidemart.operators import quality
+from tidemart.plans import daily
+from tidemart.schemas import HOURLY_COUNTS, QUALITY_METRICS, REVENUE_BY_CATEGORY, TOP_PRODUCTS
+from tidemart.session import scratch_dir
+from tidemart.sources.streams import file_stream
+from tidemart.sources.tables import read_table
+
+DAY_ONE = [event(i, "purchase", "mouse", 10.5, f"2024-03-01T{i:02d}:00:00Z") for i in range(4)]
+DAY_TWO = [event(i, "purchase", "phone", 20.25, f"2024-03-02T{i:02d}:00:00Z") for i in range(3)]
+
+
+def run(spark, root, records, **settings):
+    if records:
+        wire(spark, records).coalesce(1).write.mode("append").parquet(f"{root}/wire")
+    stream = file_stream(spark, f"{root}/wire", "parquet")
+    return daily.run_daily(spark, stream, catalog(spark), daily.Layout(root), "2024-03-03", **settings)
+
+
+def revenue(spark, root):
+    rows = read_table(spark, daily.Layout(root).revenue, REVENUE_BY_CATEGORY).collect()
+    return {row["dt"]: row["total_revenue"] for row in rows}
+
+
+def test_run_and_rerun(spark, tmp_path):
+    root = str(tmp_path)
+    outcome = run(spark, root, DAY_ONE)
+    assert outcome.ready and outcome.ingested == 4 and len(outcome.checks) == 5
+    assert revenue(spark, root) == {"2024-03-01": 42.0}
+    outcome = run(spark, root, DAY_TWO, day="2024-03-02")
+    assert outcome.ingested == 3
+    assert revenue(spark, root) == {"2024-03-01": 42.0, "2024-03-02": 60.75}
+    assert run(spark, root, []).ingested == 0
+    assert revenue(spark, root) == {"2024-03-01": 42.0, "2024-03-02": 60.75}
+    layout = daily.Layout(root)
+    top = read_table(spark, layout.top_products, TOP_PRODUCTS).collect()
+    assert {(row["dt"], row["product"], row["orders"]) for row in top} == {
+        ("2024-03-01", "mouse", 4), ("2024-03-02", "phone", 3)
+    }
+    hourly = read_table(spark, layout.hourly, HOURLY_COUNTS).collect()
+    assert sum(row["event_count"] for row in hourly) == 7
+    log = read_table(spark, layout.quality_log, QUALITY_METRICS)
+    assert log.count() == 15 and log.filter("status = 'FAILURE'").isEmpty()
+
+
+def test_late_events_show_up_when_their_day_is_built_again(spark, tmp_path):
+    root = str(tmp_path)
+    run(spark, root, DAY_ONE + DAY_TWO)
+    run(spark, root, DAY_ONE[:1], day="2024-03-02")
+    assert revenue(spark, root)["2024-03-01"] == 42.0
+    run(spark, root, [], day="2024-03-01")
+    assert revenue(spark, root) == {"2024-03-01": 52.5, "2024-03-02": 60.75}
+
+
+def test_failed_gate_is_logged_and_leaves_the_marts(spark, tmp_path):
+    root = str(tmp_path)
+    run(spark, root, DAY_ONE)
+    with pytest.raises(quality.QualityGateError) as error:
+        run(spark, root, [event(9, "purchase", "phone", 0.0, "2024-03-02T00:00:00Z")])
+    assert error.value.failed == [quality.PURCHASE_CHECK]
+    assert revenue(spark, root) == {"2024-03-01": 42.0}
+    log = read_table(spark, daily.Layout(root).quality_log, QUALITY_METRICS)
+    assert log.count() == 10 and log.filter("status = 'FAILURE'").count() == 1
+
+
+def test_nothing_to_do_is_no_failure(spark, tmp_path):
+    wire(spark, DAY_ONE).write.parquet(f"{tmp_path}/wire")
+    outcome = run(spark, str(tmp_path), [], ready=False)
+    assert not outcome.ready
+    assert not (tmp_path / "events").exists() and not (tmp_path / "analytics").exists()
+
+
+def test_events_without_a_time_belong_to_no_day(spark, tmp_path):
+    root = str(tmp_path)
+    run(spark, root, [*DAY_ONE, event(7, "view", "mouse", 0.0, "garbage")])
+    assert revenue(spark, root) == {"2024-03-01": 42.0}
+
+
+def test_source_ready(spark, tmp_path):
+    rows = facts(spark, [(1, "view", "p", 0.0, "2024-03-01", "10")])
+    assert daily.source_ready(rows)
+    assert daily.source_ready(rows, "dt", "2024-02-29")
+    assert not daily.source_ready(rows, "dt", "2024-03-01")
+    assert not daily.source_ready(rows.limit(0))
+    rows.write.parquet(str(tmp_path / "t"))
+    unreadable = read_table(spark, str(tmp_path / "t"))
+    for file in (tmp_path / "t").glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    assert not daily.source_ready(unreadable)
+
+
+def test_run_dates():
+    assert daily.utc_today() - daily.utc_yesterday() == timedelta(days=1)
+    assert len(daily.utc_yesterday().isoformat()) == 10
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first.startswith(f"{shared}/x-") and first != second

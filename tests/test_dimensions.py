@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from fixtures import CATALOG, catalog
+from pyspark.sql import functions as F
+
+from tidemart.operators import dimensions
+from tidemart.schemas import CUSTOMERS, PRODUCTS
+from tidemart.sources.tables import generated_ids
+
+
+def test_stock_bands(spark):
+    got = {row["name"]: row["availability"] for row in dimensions.product_summary(catalog(spark)).collect()}
+    assert got == {name: band for name, _, _, _, band in CATALOG}
+
+
+@pytest.mark.parametrize(
+    "stock, band",
+    [(101, "in_stock"), (100, "low_stock"), (1, "low_stock"), (0, "out_of_stock"),
+     (-1, "out_of_stock"), (None, "out_of_stock")],
+)
+def test_edges_of_stock_bands(spark, stock, band):
+    products = catalog(spark).limit(1).withColumn("stock", F.lit(stock).cast("int"))
+    assert dimensions.product_summary(products).first()["availability"] == band
+
+
+def test_view_of_the_product_summary(spark):
+    dimensions.product_summary(catalog(spark)).createOrReplaceTempView("product_summary")
+    assert spark.sql("SELECT * FROM product_summary WHERE availability = 'low_stock'").count() == 3
+
+
+def test_seed_customers(spark):
+    rows = dimensions.customer_rows(generated_ids(spark, 1000, 1999)).collect()
+    assert len(rows) == 1000
+    assert Counter(row["tier"] for row in rows) == {"gold": 100, "silver": 100, "bronze": 800}
+    assert set(Counter(row["country"] for row in rows).values()) == {200}
+    by_id = {row["user_id"]: row for row in rows}
+    assert by_id[1001]["country"] == "UK"
+    assert by_id[1005]["tier"] == "silver"
+    assert by_id[1000]["email"] == "user1000@example.com"
+
+
+def empty_products(spark):
+    return spark.createDataFrame([], PRODUCTS)
+
+
+def insert_products(spark, existing, incoming):
+    return dimensions.rows_to_insert(
+        existing, incoming, ["name"], ["name", "category", "base_price"],
+        dimensions.product_defaults(), serial="product_id",
+    )
+
+
+def test_insert_into_an_empty_table(spark):
+    frame = insert_products(spark, empty_products(spark), catalog(spark))
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in PRODUCTS]
+    rows = frame.collect()
+    assert sorted(row["product_id"] for row in rows) == list(range(1, 11))
+    assert all(row["active"] and row["created_at"] is not None for row in rows)
+    assert {row["name"]: row["stock"] for row in rows}["phone"] == 250
+
+
+@pytest.mark.parametrize("limit", [dimensions.BROADCAST_BYTES, 0])
+def test_second_insert_adds_only_what_is_new(spark, tmp_path, limit):
+    first = insert_products(spark, empty_products(spark), catalog(spark))
+    first.write.parquet(str(tmp_path / "products"))
+    existing = spark.read.schema(PRODUCTS).parquet(str(tmp_path / "products"))
+    assert insert_products(spark, existing, catalog(spark)).count() == 0
+    more = catalog(spark).unionByName(
+        spark.createDataFrame([("lamp", "home"), ("lamp", "home")], "name string, category string")
+        .withColumn("base_price", F.lit(5).cast("decimal(10,2)")).withColumn("stock", F.lit(None).cast("int"))
+    )
+    row, = dimensions.rows_to_insert(
+        existing, more, ["name"], ["name", "category", "base_price"],
+        dimensions.product_defaults(), serial="product_id", broadcast_limit=limit,
+    ).collect()
+    # A NULL that was given stays NULL.
+    assert (row["product_id"], row["name"], row["stock"]) == (11, "lamp", None)
+
+
+def test_required_columns(spark):
+    rows = spark.createDataFrame(
+        [("a", None), (None, "x"), ("b", "y")], "name string, category string"
+    ).withColumn("base_price", F.lit(1).cast("decimal(10,2)"))
+    assert [row["name"] for row in insert_products(spark, empty_products(spark), rows).collect()] == ["b"]
+
+
+def test_conflicting_rows_resolve_the_same_way_each_time(spark):
+    rows = spark.createDataFrame([(i % 3, f"v{i}") for i in range(300)], "user_id int, email string")
+    existing = spark.createDataFrame([], CUSTOMERS)
+    added = dimensions.rows_to_insert(
+        existing, rows.repartition(7), ["user_id"], defaults=dimensions.customer_defaults()
+    ).collect()
+    assert {row["user_id"]: row["email"] for row in added} == {0: "v0", 1: "v1", 2: "v101"}
+    assert {(row["tier"], row["country"]) for row in added} == {("bronze", "US")}
+
+
+def test_copies_of_a_key_in_the_existing_table(spark):
+    existing = spark.createDataFrame([(1, None, None, None, None)] * 50, CUSTOMERS)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "user_id int, email string")
+    added = dimensions.rows_to_insert(existing, rows, ["user_id"]).collect()
+    assert [row["user_id"] for row in added] == [2]
+
+
+def test_serial_numbers_have_no_gaps_and_depend_on_keys_only(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("k"), F.col("id")).alias("name"))
+
+    def numbers(frame):
+        return {row["name"]: row["n"] for row in dimensions.with_serial(frame, ["name"], "n", 40).collect()}
+
+    first = numbers(keys)
+    assert sorted(first.values()) == list(range(41, 5041))
+    assert numbers(keys.repartition(13)) == first

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,13 +74,13 @@ def utc_yesterday() -> date:
 def source_ready(records: DataFrame, ts: str | None = None, since=None) -> bool:
     """Whether there is a record, or one newer than `since` if that is given.
 
-    Stops at the first one found. A source that cannot be read is not ready.
+    Reads a few files first and more only while none of them has such a record. A source that cannot be read is not ready.
     """
     try:
         wanted = records if since is None else records.filter(F.col(ts) > F.lit(since))
-        return not wanted.isEmpty()
-    except PySparkException as error:
-        log.warning("source not ready: %s", error)
+        return bool(wanted.select(F.lit(1)).take(1))
+    except (PySparkException, Py4JJavaError) as error:
+        log.warning("source not ready: %s", str(error).splitlines()[0])
         return False
 
 
