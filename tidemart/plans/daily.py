@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
@@ -37,6 +37,14 @@ class Layout:
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoints/user_events"
 
+    @property
+    def raw_events(self) -> str:
+        return f"{self.root}/db/raw_events"
+
+    @property
+    def raw_checkpoint(self) -> str:
+        return f"{self.root}/checkpoints/raw_events"
+
     @property
     def revenue(self) -> str:
         return f"{self.root}/analytics/daily_revenue_by_category"
@@ -89,15 +97,16 @@ def check_quality(
     log_path: str,
     run_date: str,
     valid_types: Sequence[str] = EVENT_TYPES,
+    show: Callable[[str], None] = log.info,
 ) -> list:
-    """Check, report, append to the quality log, then raise if a check failed.
+    """Check, log, show the report, and raise if a check failed.
 
     The events are scanned once.
     """
     checks = quality.report(events, valid_types).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append(quality.metrics_log(checks, run_date).coalesce(1), log_path)
-        log.info("%s", quality.describe(checks))
+        show(quality.describe(checks))
         quality.enforce(checks)
         return checks.collect()
     finally:

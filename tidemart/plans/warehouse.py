@@ -1,0 +1,34 @@
+"""The catalog tables of a deployment."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from tidemart import schemas
+from tidemart.sinks.tables import ensure_namespace, ensure_table
+
+# Namespace, name, schema and partition columns of every table.
+TABLES = (
+    ("events", "user_events", schemas.USER_EVENTS, schemas.USER_EVENTS_PARTITIONS),
+    ("db", "raw_events", schemas.RAW_EVENTS, ()),
+    ("analytics", "daily_revenue", schemas.DAILY_REVENUE, ()),
+    ("analytics", "daily_revenue_by_category", schemas.REVENUE_BY_CATEGORY, schemas.MART_PARTITIONS),
+    ("analytics", "top_products_daily", schemas.TOP_PRODUCTS, schemas.MART_PARTITIONS),
+    ("analytics", "hourly_event_counts", schemas.HOURLY_COUNTS, schemas.MART_PARTITIONS),
+)
+
+
+def ensure_warehouse(
+    spark: SparkSession,
+    catalog: str | None = None,
+    table_format: str = "parquet",
+    properties: dict[str, str] | None = None,
+) -> None:
+    """Create what is missing, in the session's catalog or in the one named."""
+    prefix = f"{catalog}." if catalog else ""
+    for namespace in dict.fromkeys(table[0] for table in TABLES):
+        ensure_namespace(spark, f"{prefix}{namespace}")
+    for namespace, name, schema, partition_by in TABLES:
+        ensure_table(
+            spark, f"{prefix}{namespace}.{name}", schema, partition_by, table_format, properties
+        )
