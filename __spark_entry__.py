@@ -87,7 +87,7 @@ FROM facts LEFT JOIN catalog ON product = name"""
 
 _RAW = """
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS event,
-       CASE WHEN event_type <> 'purchase' THEN CAST(round(value) AS INTEGER) END AS amount,
+       CASE WHEN event_type <> 'purchase' THEN round(value) END AS amount,
        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts
 FROM events
 UNION ALL
@@ -207,7 +207,7 @@ def oracle_sql() -> dict[str, str]:
             FROM checks""",
         "product_summary": f"""
             WITH {_CATALOG}
-            SELECT name, category, base_price, stock,
+            SELECT name, category, CAST(base_price AS DOUBLE) AS base_price, stock,
                    CASE WHEN stock > 100 THEN 'in_stock' WHEN stock > 0 THEN 'low_stock'
                         ELSE 'out_of_stock' END AS availability
             FROM catalog""",

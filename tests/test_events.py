@@ -90,6 +90,11 @@ def test_small_catalog_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(enriched(spark, event()))
 
 
+def test_json_is_read_once(spark):
+    parsed_events = events.parse_events(wire(spark, [event()]))
+    assert plan(parsed_events).count("from_json") == 1
+
+
 def hot_facts(spark):
     """A third of the rows have one product and another third none."""
     key = F.when(F.col("id") % 3 == 0, "p0").when(F.col("id") % 3 == 1, F.concat(F.lit("p"), F.col("id") % 50))

@@ -46,18 +46,19 @@ def brute_force(rows, width, step):
     return found
 
 
+@pytest.mark.parametrize("unique", [False, True])
 @pytest.mark.parametrize("width, step", [(60, 60), (60, 15), (60, 45), (30, 60), (7, 7), (600, 60)])
-def test_increase_equals_its_definition(spark, width, step):
+def test_increase_equals_its_definition(spark, width, step, unique):
     rng = random.Random(width * 1000 + step)
     rows = []
     for name in ("a", "b", "c"):
         value, ms = 0.0, rng.randrange(5000)
         for _ in range(250):
-            ms += rng.choice([0, 1, 250, 1000, 3000, 15000, 70000])
+            ms += rng.choice([1 if unique else 0, 1, 250, 1000, 3000, 15000, 70000])
             value = 0.0 if rng.random() < 0.1 else value + rng.randrange(5)
             rows.append((name, ms, None if rng.random() < 0.05 else value))
     frame = metrics.with_labels(samples(spark, rows), "topic")
-    got = metrics.counter_increase(frame, ["topic"], width, step)
+    got = metrics.counter_increase(frame, ["topic"], width, step, unique)
     found = {
         (row["topic"], row["start"]): (row["samples"], row["increase"])
         for row in got.withColumn("start", F.unix_seconds("window_start")).collect()
@@ -76,6 +77,8 @@ def test_rates(spark):
 
 def test_no_window_is_one_tasks_whole_series(spark):
     frame = metrics.with_labels(samples(spark, [("a", 0, 1.0)]), "topic")
+    text = plan(metrics.counter_increase(frame, ["topic"], 60, 60, unique=True))
+    assert text.count("Exchange hashpartitioning") == 2
     text = plan(metrics.counter_increase(frame, ["topic"], 60, 60))
     assert "SortAggregate" not in text
     assert "SinglePartition" not in text and "hashpartitioning(topic#" in text

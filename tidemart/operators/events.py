@@ -12,9 +12,13 @@ from tidemart.schemas import EVENT_PAYLOAD, RAW_PAYLOAD, UNKNOWN_CATEGORY, USER_
 
 
 def parse_json(wire: DataFrame, payload: T.StructType) -> DataFrame:
-    """One row per record; what cannot be read as its declared type becomes NULL."""
-    text = F.col("value").cast("string")
-    return wire.select(F.from_json(text, payload).alias("event")).select("event.*")
+    """One row per record; what cannot be read as its declared type becomes NULL.
+
+    The fields come out of a generator, below which no filter can be moved. Otherwise a
+    filter on a field would have the JSON of every record read twice.
+    """
+    event = F.from_json(F.col("value").cast("string"), payload)
+    return wire.select(F.inline(F.array(event)))
 
 
 def parse_events(wire: DataFrame) -> DataFrame:

@@ -39,25 +39,35 @@ def _floor_to(micros: Column, unit: int) -> Column:
     return micros - F.pmod(micros, F.lit(unit))
 
 
+def _instants(samples: DataFrame, series: Sequence[str], unique: bool) -> DataFrame:
+    """One value per series and instant, copies merged before they are shuffled."""
+    at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
+    present = samples.filter(F.col("value").isNotNull())
+    if unique:
+        return present.select(*series, at, "value")
+    return present.groupBy(*series, at).agg(F.max("value").alias("value"))
+
+
 def counter_increase(
-    samples: DataFrame, series: Sequence[str], width_seconds: int, step_seconds: int
+    samples: DataFrame,
+    series: Sequence[str],
+    width_seconds: int,
+    step_seconds: int,
+    unique: bool = False,
 ) -> DataFrame:
     """Increase of each counter in the windows `[start, start + width)`, one per step.
 
     Only pairs of samples inside a window count, and a window with a single sample of a
     series has no row for it. A series has one value per instant; of several, the highest
-    is taken.
+    is taken. `unique` promises that there are none, which saves a shuffle.
 
     Samples are compared inside short pieces of time first and the pieces are then joined up
     inside each window, so neither a long series nor a busy step is sorted by one task.
     """
     pane = math.gcd(width_seconds, step_seconds) * _MICROS
     piece = pane // _PIECES
-    instants = (
-        samples.filter(F.col("value").isNotNull())
-        .groupBy(*series, F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-        .agg(F.max("value").alias("value"))
-        .withColumn("piece", _floor_to(F.col("at"), piece))
+    instants = _instants(samples, series, unique).withColumn(
+        "piece", _floor_to(F.col("at"), piece)
     )
     in_piece = W.partitionBy(*series, "piece").orderBy("at")
     pieces = (
@@ -95,18 +105,26 @@ def counter_increase(
 
 
 def counter_rate(
-    samples: DataFrame, series: Sequence[str], width_seconds: int, step_seconds: int
+    samples: DataFrame,
+    series: Sequence[str],
+    width_seconds: int,
+    step_seconds: int,
+    unique: bool = False,
 ) -> DataFrame:
     """Increase per second of each series."""
-    increase = counter_increase(samples, series, width_seconds, step_seconds)
+    increase = counter_increase(samples, series, width_seconds, step_seconds, unique)
     return increase.withColumn("rate", F.col("increase") / F.lit(float(width_seconds)))
 
 
 def total_rate(
-    samples: DataFrame, series: Sequence[str], width_seconds: int, step_seconds: int
+    samples: DataFrame,
+    series: Sequence[str],
+    width_seconds: int,
+    step_seconds: int,
+    unique: bool = False,
 ) -> DataFrame:
     """Increase per second of all series together."""
-    increase = counter_increase(samples, series, width_seconds, step_seconds)
+    increase = counter_increase(samples, series, width_seconds, step_seconds, unique)
     return increase.groupBy("window_start").agg(
         (F.sum("increase") / F.lit(float(width_seconds))).alias("rate")
     )

@@ -111,9 +111,14 @@ def ingest_enrich_large_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.enrich(parsed, products(spark, sf_dir), broadcast_limit=0, salts=runs.STREAM_SALTS)
 
 
+def _comparable(rows: DataFrame, name: str) -> DataFrame:
+    """A column as DOUBLE, which clients show alike; integers with NULLs and decimals they do not."""
+    return rows.withColumn(name, F.col(name).cast("double"))
+
+
 def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return events.parse_raw_events(wire_raw_events(spark, sf_dir))
+    return _comparable(events.parse_raw_events(wire_raw_events(spark, sf_dir)), "amount")
 
 
 def _wire_folder(spark: SparkSession, records: DataFrame, purpose: str) -> tuple[str, DataFrame]:
@@ -137,7 +142,7 @@ def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     root, wire = _wire_folder(spark, wire_raw_events(spark, sf_dir), "raw-stream")
     runs.finish(runs.start_raw_ingest(wire, f"{root}/events", f"{root}/checkpoint"))
-    return read_table(spark, f"{root}/events", RAW_EVENTS)
+    return _comparable(read_table(spark, f"{root}/events", RAW_EVENTS), "amount")
 
 
 # --- quality --------------------------------------------------------------------------------
@@ -166,7 +171,7 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return dimensions.product_summary(products(spark, sf_dir))
+    return _comparable(dimensions.product_summary(products(spark, sf_dir)), "base_price")
 
 
 def customer_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
