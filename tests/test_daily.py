@@ -6,9 +6,10 @@ import pytest
 from fixtures import catalog, event, facts, wire
 
 from tidemart.operators import quality
+from tidemart.operators.events import add_event_time
 from tidemart.plans import daily
 from tidemart.schemas import HOURLY_COUNTS, QUALITY_METRICS, REVENUE_BY_CATEGORY, TOP_PRODUCTS
-from tidemart.session import scratch_dir
+from tidemart.session import prepare, scratch_dir
 from tidemart.sources.streams import file_stream
 from tidemart.sources.tables import read_table
 
@@ -69,6 +70,14 @@ def test_failed_gate_is_logged_and_leaves_the_marts(spark, tmp_path):
     assert log.count() == 10 and log.filter("status = 'FAILURE'").count() == 1
 
 
+def test_checks_of_one_day(spark, tmp_path):
+    root = str(tmp_path)
+    bad = event(9, "purchase", "phone", 0.0, "2024-03-02T00:00:00Z")
+    assert run(spark, root, [*DAY_ONE, bad], checked_day="2024-03-01").checks[0]["value"] == 4.0
+    with pytest.raises(quality.QualityGateError):
+        run(spark, root, [], checked_day="2024-03-02")
+
+
 def test_nothing_to_do_is_no_failure(spark, tmp_path):
     wire(spark, DAY_ONE).write.parquet(f"{tmp_path}/wire")
     outcome = run(spark, str(tmp_path), [], ready=False)
@@ -100,6 +109,17 @@ def test_run_dates():
     assert len(daily.utc_yesterday().isoformat()) == 10
 
 
+def test_sessions_of_others_are_set_to_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        prepare(spark)
+        row = add_event_time(spark.createDataFrame([("2024-03-10T02:30:00Z",)], "ts string")).first()
+        assert (row["dt"], row["hr"]) == ("2024-03-10", "02")
+        assert row["event_time"].hour == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")

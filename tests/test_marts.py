@@ -72,8 +72,8 @@ def test_names_listed_twice_count_under_each_category(spark, measured, limit):
     assert (revenue["event_count"], revenue["total_revenue"]) == (4, 5199.96)
 
 
-def test_hourly_counts(spark, measured):
-    frame = marts.hourly_counts(measured)
+def test_hourly_counts(spark):
+    frame = marts.hourly_counts(marts.with_measures(facts(spark, EVENTS)))
     assert [f.dataType for f in frame.schema] == [f.dataType for f in HOURLY_COUNTS]
     rows = {tuple(row)[:3]: row["event_count"] for row in frame.collect()}
     assert rows[("2024-03-01", "11", "purchase")] == 4

@@ -122,8 +122,8 @@ def build_marts(
 ) -> None:
     """Replace the marts of one day, or of all days in the events.
 
-    The events are scanned once, for the cube that all three marts are added up from.
-    Events without a readable time belong to no day.
+    Amounts and products are scanned once, for the cube that two of the marts are added up
+    from. Events without a readable time belong to no day.
     """
     dated = events.filter(F.col("dt").isNotNull()) if day is None else partition_scan(events, day)
     cube = marts.daily_cube(dated).persist(StorageLevel.MEMORY_AND_DISK)
@@ -132,7 +132,7 @@ def build_marts(
         best = marts.top_products(cube, products, broadcast_limit)
         overwrite_partitions(revenue, layout.revenue, MART_PARTITIONS)
         overwrite_partitions(best, layout.top_products, MART_PARTITIONS)
-        overwrite_partitions(marts.hourly_counts(cube), layout.hourly, MART_PARTITIONS)
+        overwrite_partitions(marts.hourly_counts(marts.with_measures(dated)), layout.hourly, MART_PARTITIONS)
     finally:
         cube.unpersist()
 
@@ -146,16 +146,18 @@ def run_daily(
     day: str | None = None,
     ready: bool = True,
     valid_types: Sequence[str] = EVENT_TYPES,
+    checked_day: str | None = None,
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
-    `ready` is the answer of `source_ready`; without data the run is skipped, not failed.
+    `checked_day` limits the checks to one day of a table too large to check whole. `ready` is the answer of `source_ready`; without data the run is skipped, not failed.
     A failed check raises after it has been logged, and leaves the marts as they were.
     """
     if not ready:
         return DailyOutcome(ready=False)
     ingested = finish(start_event_ingest(wire, products, layout.events, layout.checkpoint))
     events = read_table(spark, layout.events, USER_EVENTS)
-    checks = check_quality(events, layout.quality_log, run_date, valid_types)
+    checked = events if checked_day is None else partition_scan(events, checked_day)
+    checks = check_quality(checked, layout.quality_log, run_date, valid_types)
     build_marts(events, products, layout, day)
     return DailyOutcome(ready=True, ingested=ingested, checks=checks)

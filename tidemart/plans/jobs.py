@@ -113,6 +113,7 @@ def _daily(spark: SparkSession, options: argparse.Namespace) -> None:
         options.day,
         daily.source_ready(records),
         options.valid_types,
+        options.checked_day,
     )
     print(f"ingested {outcome.ingested} events" if outcome.ready else "nothing to do")
 
@@ -167,6 +168,7 @@ def parser() -> argparse.ArgumentParser:
     _stream_arguments(whole, starting="earliest", tolerant=True)
     _catalog_arguments(whole)
     whole.add_argument("--run-date", default=daily.utc_today().isoformat())
+    whole.add_argument("--checked-day", help="check this day only, not the whole table")
     whole.add_argument("--valid-types", nargs="+", default=EVENT_TYPES)
 
     summary = command("summary", _summary, "print totals by event type and the best-selling products")
