@@ -8,10 +8,10 @@ from fixtures import catalog, event, facts, wire
 from tidemart.operators import quality
 from tidemart.operators.events import add_event_time
 from tidemart.plans import daily
-from tidemart.schemas import HOURLY_COUNTS, QUALITY_METRICS, REVENUE_BY_CATEGORY, TOP_PRODUCTS
+from tidemart.plans.layout import EVENTS, HOURLY, QUALITY_LOG, REVENUE, TOP_PRODUCTS, CatalogLayout, FolderLayout
 from tidemart.session import prepare, scratch_dir
 from tidemart.sources.streams import file_stream
-from tidemart.sources.tables import read_table
+from tidemart.sources.tables import partition_scan, read_table
 
 DAY_ONE = [event(i, "purchase", "mouse", 10.5, f"2024-03-01T{i:02d}:00:00Z") for i in range(4)]
 DAY_TWO = [event(i, "purchase", "phone", 20.25, f"2024-03-02T{i:02d}:00:00Z") for i in range(3)]
@@ -21,11 +21,11 @@ def run(spark, root, records, **settings):
     if records:
         wire(spark, records).coalesce(1).write.mode("append").parquet(f"{root}/wire")
     stream = file_stream(spark, f"{root}/wire", "parquet")
-    return daily.run_daily(spark, stream, catalog(spark), daily.Layout(root), "2024-03-03", **settings)
+    return daily.run_daily(spark, stream, catalog(spark), FolderLayout(root), "2024-03-03", **settings)
 
 
 def revenue(spark, root):
-    rows = read_table(spark, daily.Layout(root).revenue, REVENUE_BY_CATEGORY).collect()
+    rows = FolderLayout(root).read(spark, REVENUE).collect()
     return {row["dt"]: row["total_revenue"] for row in rows}
 
 
@@ -39,14 +39,14 @@ def test_run_and_rerun(spark, tmp_path):
     assert revenue(spark, root) == {"2024-03-01": 42.0, "2024-03-02": 60.75}
     assert run(spark, root, []).ingested == 0
     assert revenue(spark, root) == {"2024-03-01": 42.0, "2024-03-02": 60.75}
-    layout = daily.Layout(root)
-    top = read_table(spark, layout.top_products, TOP_PRODUCTS).collect()
+    layout = FolderLayout(root)
+    top = layout.read(spark, TOP_PRODUCTS).collect()
     assert {(row["dt"], row["product"], row["orders"]) for row in top} == {
         ("2024-03-01", "mouse", 4), ("2024-03-02", "phone", 3)
     }
-    hourly = read_table(spark, layout.hourly, HOURLY_COUNTS).collect()
+    hourly = layout.read(spark, HOURLY).collect()
     assert sum(row["event_count"] for row in hourly) == 7
-    log = read_table(spark, layout.quality_log, QUALITY_METRICS)
+    log = layout.read(spark, QUALITY_LOG)
     assert log.count() == 15 and log.filter("status = 'FAILURE'").isEmpty()
 
 
@@ -66,7 +66,7 @@ def test_failed_gate_is_logged_and_leaves_the_marts(spark, tmp_path):
         run(spark, root, [event(9, "purchase", "phone", 0.0, "2024-03-02T00:00:00Z")])
     assert error.value.failed == [quality.PURCHASE_CHECK]
     assert revenue(spark, root) == {"2024-03-01": 42.0}
-    log = read_table(spark, daily.Layout(root).quality_log, QUALITY_METRICS)
+    log = FolderLayout(root).read(spark, QUALITY_LOG)
     assert log.count() == 10 and log.filter("status = 'FAILURE'").count() == 1
 
 
@@ -78,6 +78,32 @@ def test_checks_of_one_day(spark, tmp_path):
         run(spark, root, [], checked_day="2024-03-02")
 
 
+def test_tables_of_a_catalog(spark, tmp_path):
+    layout = CatalogLayout(str(tmp_path / "checkpoints"), "spark_catalog", "parquet")
+    layout.prepare(spark)
+    layout.prepare(spark)
+
+    def ingest(records, day):
+        wire(spark, records).coalesce(1).write.mode("append").parquet(f"{tmp_path}/wire")
+        stream = file_stream(spark, f"{tmp_path}/wire", "parquet")
+        return daily.run_daily(spark, stream, catalog(spark), layout, "2024-03-03", day)
+
+    def stored(table, *columns):
+        return {tuple(row[name] for name in columns) for row in layout.read(spark, table).collect()}
+
+    assert ingest(DAY_ONE, "2024-03-01").ingested == 4
+    assert ingest(DAY_TWO, "2024-03-02").ingested == 3
+    assert layout.read(spark, EVENTS).columns == EVENTS.schema.fieldNames()
+    assert partition_scan(layout.read(spark, EVENTS), "2024-03-01").count() == 4
+    wanted = {("2024-03-01", 42.0), ("2024-03-02", 60.75)}
+    assert stored(REVENUE, "dt", "total_revenue") == wanted
+    assert ingest([], "2024-03-02").ingested == 0
+    assert stored(REVENUE, "dt", "total_revenue") == wanted
+    assert stored(TOP_PRODUCTS, "dt", "product") == {("2024-03-01", "mouse"), ("2024-03-02", "phone")}
+    assert layout.read(spark, QUALITY_LOG).count() == 15
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_nothing_to_do_is_no_failure(spark, tmp_path):
     wire(spark, DAY_ONE).write.parquet(f"{tmp_path}/wire")
     outcome = run(spark, str(tmp_path), [], ready=False)

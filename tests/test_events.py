@@ -142,3 +142,30 @@ def test_size_of_a_dimension_is_measured(spark):
     assert payload_bytes(frame) == 2 * 64 + 1000 + 2
     assert fits_broadcast(frame, 2000) and not fits_broadcast(frame, 1000)
     assert payload_bytes(frame.limit(0)) == 0
+
+
+def test_adaptive_execution_splits_a_hot_product_of_a_large_catalog(spark):
+    sizes = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 200_000, 1, 8).selectExpr(
+            "xxhash64(id) AS user_id", "'view' AS event_type", "1.0D AS amount",
+            "'2024-03-01T00:00:00Z' AS ts",
+            "IF(id % 3 = 0, 'hot', concat('p', id % 5000)) AS product",
+        )
+        products = spark.range(5000).selectExpr("concat('p', id) AS name", "'c' AS category")
+        products = products.unionByName(spark.createDataFrame([("hot", "h")], products.schema))
+        frame = events.enrich(rows, products, broadcast_limit=0)
+        counts = frame.groupBy("category").agg(F.count("*").alias("count"), F.max("user_id"))
+        assert {row["category"]: row["count"] for row in counts.collect()} == {"h": 66_667, "c": 133_333}
+        text = counts._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in text
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -6,7 +6,7 @@ import pytest
 from fixtures import catalog, event
 
 from tidemart.plans.jobs import main, parser
-from tidemart.plans.warehouse import TABLES
+from tidemart.plans.layout import TABLES, CatalogLayout
 
 
 @pytest.fixture
@@ -50,11 +50,12 @@ def test_daily_job(spark, deployment, capsys):
     assert "ingested 3 events" in capsys.readouterr().out
 
 
-def test_setup_creates_all_tables(spark):
+def test_setup_creates_all_tables(spark, tmp_path):
     for _ in range(2):
-        assert main(["setup"], spark) == 0
-    for namespace, name, schema, _ in TABLES:
-        assert set(spark.read.table(f"{namespace}.{name}").columns) == set(schema.fieldNames())
+        assert main(["setup", "--root", str(tmp_path)], spark) == 0
+    layout = CatalogLayout(str(tmp_path), table_format="parquet")
+    for table in TABLES:
+        assert layout.read(spark, table).schema == table.schema
 
 
 def test_defaults_of_the_streams():

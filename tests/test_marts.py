@@ -105,3 +105,9 @@ def test_plans(spark):
         assert "SortAggregate" not in plan(frame)
     assert "WindowGroupLimit" in plan(marts.best_sellers(best, 3))
     assert "TakeOrderedAndProject" in plan(marts.top_sales(spark, measures, catalog(spark)))
+
+
+def test_the_category_stored_at_ingest_is_not_used(spark):
+    stored = facts(spark, EVENTS).selectExpr("*", "'old' AS category")
+    revenue = marts.revenue_by_category(marts.with_measures(stored), catalog(spark))
+    assert revenue.filter("category = 'old'").isEmpty() and revenue.count() == 5

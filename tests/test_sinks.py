@@ -26,7 +26,8 @@ def test_overwrite_replaces_the_days_present(spark, tmp_path):
     second = counts(spark, ("2024-03-02", "08", "view", 9))
 
     def stored():
-        return {tuple(row) for row in read_table(spark, path, HOURLY_COUNTS).select(HOURLY_COUNTS.fieldNames()).collect()}
+        rows = read_table(spark, path, HOURLY_COUNTS).select(HOURLY_COUNTS.fieldNames())
+        return {tuple(row) for row in rows.collect()}
 
     overwrite_partitions(first, path)
     assert stored() == {tuple(row) for row in first.collect()}

@@ -12,54 +12,28 @@ from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators import marts, quality
 from tidemart.operators.lookup import BROADCAST_BYTES
-from tidemart.schemas import EVENT_TYPES, MART_PARTITIONS, USER_EVENTS
-from tidemart.sinks.tables import append, overwrite_partitions
-from tidemart.sources.tables import partition_scan, read_table
-from tidemart.streaming.runs import finish, start_event_ingest
+from tidemart.plans.layout import (
+    EVENTS,
+    HOURLY,
+    QUALITY_LOG,
+    RAW_EVENTS,
+    REVENUE,
+    TOP_PRODUCTS,
+    CatalogLayout,
+    FolderLayout,
+)
+from tidemart.schemas import EVENT_TYPES
+from tidemart.sources.tables import partition_scan
+from tidemart.streaming.runs import finish, start_event_ingest, start_raw_ingest
 
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Where a deployment keeps its tables. Every folder has a single writer."""
-
-    root: str
-
-    @property
-    def events(self) -> str:
-        return f"{self.root}/events/user_events"
-
-    @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/checkpoints/user_events"
-
-    @property
-    def raw_events(self) -> str:
-        return f"{self.root}/db/raw_events"
-
-    @property
-    def raw_checkpoint(self) -> str:
-        return f"{self.root}/checkpoints/raw_events"
-
-    @property
-    def revenue(self) -> str:
-        return f"{self.root}/analytics/daily_revenue_by_category"
-
-    @property
-    def top_products(self) -> str:
-        return f"{self.root}/analytics/top_products_daily"
-
-    @property
-    def hourly(self) -> str:
-        return f"{self.root}/analytics/hourly_event_counts"
-
-    @property
-    def quality_log(self) -> str:
-        return f"{self.root}/quality/data_quality_metrics"
+Layout = FolderLayout | CatalogLayout
 
 
 @dataclass
@@ -82,7 +56,8 @@ def utc_yesterday() -> date:
 def source_ready(records: DataFrame, ts: str | None = None, since=None) -> bool:
     """Whether there is a record, or one newer than `since` if that is given.
 
-    Reads a few files first and more only while none of them has such a record. A source that cannot be read is not ready.
+    Reads a few files first and more only while none of them has such a record. A source
+    that cannot be read is not ready.
     """
     try:
         wanted = records if since is None else records.filter(F.col(ts) > F.lit(since))
@@ -92,9 +67,25 @@ def source_ready(records: DataFrame, ts: str | None = None, since=None) -> bool:
         return False
 
 
+def ingest_events(
+    wire: DataFrame, products: DataFrame, layout: Layout, every: str | None = None
+) -> StreamingQuery:
+    return start_event_ingest(
+        wire, products, layout.place(EVENTS), layout.checkpoint(EVENTS), every,
+        layout.table_format, layout.as_table,
+    )
+
+
+def ingest_raw_events(wire: DataFrame, layout: Layout, every: str | None = None) -> StreamingQuery:
+    return start_raw_ingest(
+        wire, layout.place(RAW_EVENTS), layout.checkpoint(RAW_EVENTS), every,
+        layout.table_format, layout.as_table,
+    )
+
+
 def check_quality(
     events: DataFrame,
-    log_path: str,
+    layout: Layout,
     run_date: str,
     valid_types: Sequence[str] = EVENT_TYPES,
     show: Callable[[str], None] = log.info,
@@ -105,7 +96,7 @@ def check_quality(
     """
     checks = quality.report(events, valid_types).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append(quality.metrics_log(checks, run_date).coalesce(1), log_path)
+        layout.append(quality.metrics_log(checks, run_date).coalesce(1), QUALITY_LOG)
         show(quality.describe(checks))
         quality.enforce(checks)
         return checks.collect()
@@ -130,9 +121,9 @@ def build_marts(
     try:
         revenue = marts.revenue_by_category(cube, products, broadcast_limit)
         best = marts.top_products(cube, products, broadcast_limit)
-        overwrite_partitions(revenue, layout.revenue, MART_PARTITIONS)
-        overwrite_partitions(best, layout.top_products, MART_PARTITIONS)
-        overwrite_partitions(marts.hourly_counts(marts.with_measures(dated)), layout.hourly, MART_PARTITIONS)
+        layout.replace_partitions(revenue, REVENUE)
+        layout.replace_partitions(best, TOP_PRODUCTS)
+        layout.replace_partitions(marts.hourly_counts(marts.with_measures(dated)), HOURLY)
     finally:
         cube.unpersist()
 
@@ -150,14 +141,15 @@ def run_daily(
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
-    `checked_day` limits the checks to one day of a table too large to check whole. `ready` is the answer of `source_ready`; without data the run is skipped, not failed.
+    `checked_day` limits the checks to one day of a table too large to check whole. `ready`
+    is the answer of `source_ready`; without data the run is skipped, not failed.
     A failed check raises after it has been logged, and leaves the marts as they were.
     """
     if not ready:
         return DailyOutcome(ready=False)
-    ingested = finish(start_event_ingest(wire, products, layout.events, layout.checkpoint))
-    events = read_table(spark, layout.events, USER_EVENTS)
+    ingested = finish(ingest_events(wire, products, layout))
+    events = layout.read(spark, EVENTS)
     checked = events if checked_day is None else partition_scan(events, checked_day)
-    checks = check_quality(checked, layout.quality_log, run_date, valid_types)
+    checks = check_quality(checked, layout, run_date, valid_types)
     build_marts(events, products, layout, day)
     return DailyOutcome(ready=True, ingested=ingested, checks=checks)

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemart.operators import quality
 from tidemart.operators.marts import event_type_summary, top_sales, with_measures
 from tidemart.plans import daily
-from tidemart.plans.warehouse import ensure_warehouse
-from tidemart.schemas import EVENT_TYPES, USER_EVENTS
+from tidemart.plans.layout import EVENTS, CatalogLayout, FolderLayout
+from tidemart.schemas import EVENT_TYPES
 from tidemart.session import build_session, prepare
 from tidemart.sources.jdbc import read_jdbc
 from tidemart.sources.streams import file_stream, kafka_stream
@@ -67,38 +67,37 @@ def _products(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     return read_jdbc(spark, options.jdbc_url, options.jdbc_table, ["name", "category"], given)
 
 
+def _layout(options: argparse.Namespace) -> daily.Layout:
+    if options.catalog_tables:
+        return CatalogLayout(f"{options.root}/checkpoints", options.catalog, options.table_format)
+    return FolderLayout(options.root, options.table_format)
+
+
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> None:
-    layout = daily.Layout(options.root)
-    query = runs.start_event_ingest(
-        _wire(spark, options), _products(spark, options), layout.events, layout.checkpoint,
-        options.every,
+    query = daily.ingest_events(
+        _wire(spark, options), _products(spark, options), _layout(options), options.every
     )
     print(f"wrote {runs.finish(query)} events")
 
 
 def _raw_ingest(spark: SparkSession, options: argparse.Namespace) -> None:
-    layout = daily.Layout(options.root)
-    query = runs.start_raw_ingest(
-        _wire(spark, options), layout.raw_events, layout.raw_checkpoint, options.every
-    )
+    query = daily.ingest_raw_events(_wire(spark, options), _layout(options), options.every)
     print(f"wrote {runs.finish(query)} records")
 
 
 def _events(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
-    return read_table(spark, daily.Layout(options.root).events, USER_EVENTS)
+    return _layout(options).read(spark, EVENTS)
 
 
 def _quality(spark: SparkSession, options: argparse.Namespace) -> None:
     events = _events(spark, options)
     scope = events if options.day is None else partition_scan(events, options.day)
-    path = daily.Layout(options.root).quality_log
-    daily.check_quality(scope, path, options.run_date, options.valid_types, show=print)
+    daily.check_quality(scope, _layout(options), options.run_date, options.valid_types, show=print)
 
 
 def _marts(spark: SparkSession, options: argparse.Namespace) -> None:
-    layout = daily.Layout(options.root)
     day = None if options.all_days else options.day
-    daily.build_marts(_events(spark, options), _products(spark, options), layout, day)
+    daily.build_marts(_events(spark, options), _products(spark, options), _layout(options), day)
     print(f"built the marts of {day or 'all days'}")
 
 
@@ -108,7 +107,7 @@ def _daily(spark: SparkSession, options: argparse.Namespace) -> None:
         spark,
         _wire(spark, options),
         _products(spark, options),
-        daily.Layout(options.root),
+        _layout(options),
         options.run_date,
         options.day,
         daily.source_ready(records),
@@ -130,7 +129,7 @@ def _summary(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def _setup(spark: SparkSession, options: argparse.Namespace) -> None:
-    ensure_warehouse(spark, options.catalog, options.table_format)
+    CatalogLayout(f"{options.root}/checkpoints", options.catalog, options.table_format).prepare(spark)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -140,8 +139,10 @@ def parser() -> argparse.ArgumentParser:
     def command(name, action, text):
         sub = commands.add_parser(name, help=text)
         sub.set_defaults(action=action)
-        if action is not _setup:
-            sub.add_argument("--root", required=True, help="folder of all tables")
+        sub.add_argument("--root", required=True, help="folder of tables and checkpoints")
+        sub.add_argument("--table-format", default="parquet")
+        sub.add_argument("--catalog-tables", action="store_true", help="tables by name, not by folder")
+        sub.add_argument("--catalog", help="name of the catalog, if it is not the default")
         return sub
 
     ingest = command("ingest", _ingest, "stream events into the fact table")
@@ -174,9 +175,7 @@ def parser() -> argparse.ArgumentParser:
     summary = command("summary", _summary, "print totals by event type and the best-selling products")
     _catalog_arguments(summary)
 
-    setup = command("setup", _setup, "create the catalog tables")
-    setup.add_argument("--catalog")
-    setup.add_argument("--table-format", default="parquet")
+    command("setup", _setup, "create the catalog tables")
     return top
 
 

@@ -22,13 +22,13 @@ from tidemart.given import (
 )
 from tidemart.operators import dimensions, events, marts, metrics, quality
 from tidemart.plans import daily
+from tidemart.plans.layout import REVENUE, FolderLayout
 from tidemart.schemas import (
     CUSTOMERS,
     HOURLY_COUNTS,
     MART_PARTITIONS,
     QUALITY_METRICS,
     RAW_EVENTS,
-    REVENUE_BY_CATEGORY,
     USER_EVENTS,
     USER_EVENTS_PARTITIONS,
 )
@@ -308,9 +308,9 @@ def source_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All marts built from one scan and written; the result is the revenue mart."""
     prepare(spark)
-    layout = daily.Layout(scratch_dir(spark, "daily-marts"))
+    layout = FolderLayout(scratch_dir(spark, "daily-marts"))
     daily.build_marts(user_events(spark, sf_dir), products(spark, sf_dir), layout)
-    return read_table(spark, layout.revenue, REVENUE_BY_CATEGORY)
+    return layout.read(spark, REVENUE)
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +320,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     root, wire = _wire_folder(spark, wire_events(spark, sf_dir), "daily-run")
-    layout = daily.Layout(root)
+    layout = FolderLayout(root)
     try:
         daily.run_daily(
             spark,
@@ -332,5 +332,5 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             valid_types=(*HEALTHY_TYPES, "error"),
         )
     except quality.QualityGateError:
-        return spark.createDataFrame([], REVENUE_BY_CATEGORY)
-    return read_table(spark, layout.revenue, REVENUE_BY_CATEGORY)
+        return spark.createDataFrame([], REVENUE.schema)
+    return layout.read(spark, REVENUE)

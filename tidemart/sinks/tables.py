@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
@@ -88,6 +90,27 @@ def overwrite_partitions(
     )
 
 
-def overwrite_catalog_partitions(rows: DataFrame, table: str) -> None:
-    """The same for a table of a catalog that supports it, such as Iceberg."""
-    rows.writeTo(table).overwritePartitions()
+def _in_table_order(rows: DataFrame, table: str, partition_by: Sequence[str]) -> DataFrame:
+    ordered = rows.select(*rows.sparkSession.read.table(table).columns)
+    return balanced(ordered, partition_by)
+
+
+def append_catalog_table(rows: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    _in_table_order(rows, table, partition_by).write.insertInto(table)
+
+
+def overwrite_catalog_partitions(
+    rows: DataFrame, table: str, partition_by: Sequence[str] = ("dt",)
+) -> None:
+    """Replace exactly the partitions present in `rows` in a table of a catalog.
+
+    Tables of files take the mode of overwriting from the write, tables with their own
+    metadata from the session; it is set for both.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(_OVERWRITE_MODE)
+    conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        _in_table_order(rows, table, partition_by).write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(_OVERWRITE_MODE, before)
