@@ -101,6 +101,7 @@ def test_plans(spark):
     assert "BroadcastHashJoin" in plan(revenue) and exchanges(revenue) == 1
     best = marts.top_products(measures, catalog(spark))
     assert "BroadcastHashJoin" in plan(best) and exchanges(best) == 1
+    assert "rangepartitioning" not in plan(best)
     for frame in (revenue, best, marts.daily_cube(facts(spark, EVENTS))):
         assert "SortAggregate" not in plan(frame)
     assert "WindowGroupLimit" in plan(marts.best_sellers(best, 3))

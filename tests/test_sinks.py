@@ -2,16 +2,17 @@ from __future__ import annotations
 
 import pytest
 from fixtures import facts, plan
+from pyspark.errors import AnalysisException
 
 from tidemart.operators import marts
 from tidemart.schemas import (
     DAILY_REVENUE, HOURLY_COUNTS, PRODUCTS, REVENUE_BY_CATEGORY, TOP_PRODUCTS, USER_EVENTS,
 )
-from tidemart.sinks.jdbc import jdbc_write_options
+from tidemart.sinks.jdbc import append_jdbc, jdbc_write_options
 from tidemart.sinks.tables import append, ensure_namespace, ensure_table, overwrite_partitions
 from tidemart.sources.federation import federated_query, register_views
-from tidemart.sources.jdbc import JdbcSplit, jdbc_options
-from tidemart.sources.streams import kafka_options
+from tidemart.sources.jdbc import JdbcSplit, jdbc_options, read_jdbc
+from tidemart.sources.streams import kafka_options, kafka_stream
 from tidemart.sources.tables import catalog_table, partition_scan, read_documents, read_table
 
 
@@ -122,6 +123,16 @@ def test_jdbc_options():
     assert written["numPartitions"] == "8" and written["user"] == "u"
 
 
+def test_jdbc_and_kafka_reach_their_sources(spark):
+    """Without a driver or package on this machine the source itself reports what is missing."""
+    with pytest.raises(Exception, match="No suitable driver"):
+        read_jdbc(spark, "jdbc:nothing:here", "products", ["name", "category"])
+    with pytest.raises(Exception, match="No suitable driver"):
+        append_jdbc(spark.range(1), "jdbc:nothing:here", "log", properties={"user": "u"})
+    with pytest.raises(AnalysisException, match="[Kk]afka"):
+        kafka_stream(spark, "nowhere:9092", "user_events", fail_on_data_loss=False)
+
+
 def test_kafka_options():
     assert kafka_options("k:9092", "user_events", fail_on_data_loss=False) == {
         "kafka.bootstrap.servers": "k:9092", "subscribe": "user_events",

@@ -125,3 +125,19 @@ def test_throughput_stream_emits_closed_windows(spark, tmp_path, late_by, closed
     batch = throughput(frame, "ts").orderBy("window_start").limit(closed)
     assert batch.count() == closed
     assert same_rows(read_table(spark, target), batch)
+
+
+def test_a_stopped_run_is_continued_without_loss_or_copies(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / name) for name in ("wire", "events", "checkpoint"))
+    for start in range(0, 60, 10):
+        arrive(spark, source, records(start, 10))
+    stream = file_stream(spark, source, "parquet", max_files_per_trigger=1)
+    query = runs.start_event_ingest(stream, catalog(spark), target, checkpoint, every="0 seconds")
+    while not any(progress.numInputRows for progress in query.recentProgress):
+        query.awaitTermination(1)
+    query.stop()
+    assert 0 < read_table(spark, target, USER_EVENTS).count()
+    stream = file_stream(spark, source, "parquet")
+    runs.finish(runs.start_event_ingest(stream, catalog(spark), target, checkpoint))
+    wanted = enrich(parse_events(spark.read.parquet(source)), catalog(spark))
+    assert same_rows(read_table(spark, target, USER_EVENTS), wanted) and wanted.count() == 60

@@ -110,7 +110,11 @@ def start_throughput(
     minutes: int = 1,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append the throughput of each window once no event of it can come any more."""
+    """Append the throughput of each window once no event of it can come any more.
+
+    An event more than `late_by` behind the newest of an earlier micro-batch is not counted,
+    so files that are read in several micro-batches have to come in the order of time.
+    """
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late_by)
     return _start(throughput(timed, ts, minutes), target, checkpoint, "throughput", every, "parquet")
 
