@@ -69,7 +69,22 @@ def test_names_listed_twice_count_under_each_category(spark, measured, limit):
         ("a", 2, 2599.98), ("b", 4, 5199.96)
     }
     revenue = marts.revenue_by_category(measured, products, limit).filter("category = 'b'").first()
-    assert (revenue["event_count"], revenue["total_revenue"]) == (4, 5199.96)
+    assert (revenue["event_count"], revenue["total_revenue"], revenue["avg_order"]) == (4, 5199.96, 1299.99)
+    sales = marts.top_sales(spark, measured, products).collect()
+    assert [(row["category"], row["orders"], row["revenue"]) for row in sales] == [
+        ("b", 4, 5199.96), ("a", 2, 2599.98)
+    ]
+
+
+@pytest.mark.parametrize("limit", [marts.BROADCAST_BYTES, 0])
+def test_copies_of_an_entry_are_not_joined_one_by_one(spark, limit):
+    events = facts(spark, EVENTS[:1] * 1000)
+    copies = spark.range(3000).selectExpr("'laptop' AS name", "'a' AS category")
+    row, = marts.revenue_by_category(marts.with_measures(events), copies, limit).collect()
+    assert (row["event_count"], row["avg_order"]) == (3_000_000, 1299.99)
+    row, = marts.top_products(marts.with_measures(events), copies, limit).collect()
+    assert row["orders"] == 3_000_000
+    assert "listings" in plan(marts.top_products(marts.with_measures(events), copies, limit))
 
 
 def test_hourly_counts(spark):
@@ -98,9 +113,10 @@ def test_top_sales_leaves_out_unlisted_products(spark, measured):
 def test_plans(spark):
     measures = marts.with_measures(facts(spark, EVENTS))
     revenue = marts.revenue_by_category(measures, catalog(spark))
-    assert "BroadcastHashJoin" in plan(revenue) and exchanges(revenue) == 1
+    # One shuffle of facts, one of the catalog.
+    assert "BroadcastHashJoin" in plan(revenue) and exchanges(revenue) == 2
     best = marts.top_products(measures, catalog(spark))
-    assert "BroadcastHashJoin" in plan(best) and exchanges(best) == 1
+    assert "BroadcastHashJoin" in plan(best) and exchanges(best) == 2
     assert "rangepartitioning" not in plan(best)
     for frame in (revenue, best, marts.daily_cube(facts(spark, EVENTS))):
         assert "SortAggregate" not in plan(frame)

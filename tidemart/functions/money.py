@@ -41,8 +41,11 @@ def row_measures(amount: Column) -> list[Column]:
     ]
 
 
-def summed_measures() -> list[Column]:
-    return [F.sum(name).alias(name) for name in MEASURES]
+def summed_measures(times: Column | None = None) -> list[Column]:
+    """Sums of the measures; with `times`, of rows that each stand for that many."""
+    if times is None:
+        return [F.sum(name).alias(name) for name in MEASURES]
+    return [F.sum(F.col(name) * times).alias(name) for name in MEASURES]
 
 
 def total() -> Column:

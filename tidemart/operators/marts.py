@@ -2,13 +2,14 @@
 
 Aggregates add up measures (see `functions.money`), so those without the hour give the same
 result from single events and from the `daily_cube`, in which the events of a product are
-already added up. Catalog lookups of a large catalog happen after adding up per product: a product that
-holds a third of all events is then one row per day and event type.
+already added up. Lookups in a large catalog happen after adding up per product: a product
+that holds a third of all events is then one row per day and event type. Copies of a catalog
+entry are counted rather than joined one by one, so many events never meet many copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from tidemart.schemas import (
 )
 from tidemart.sources.federation import federated_query
 
+_LISTINGS = "listings"
+
 
 def with_measures(events: DataFrame) -> DataFrame:
     """Events reduced to the mart dimensions plus the measures of a single event.
@@ -44,6 +47,15 @@ def daily_cube(events: DataFrame) -> DataFrame:
     )
 
 
+def catalog_listings(products: DataFrame) -> DataFrame:
+    """Names and categories of the catalog with the number of entries that have both."""
+    return catalog_names(products).groupBy("product", "category").agg(F.count("*").alias(_LISTINGS))
+
+
+def _times_listed() -> Column:
+    return F.coalesce(F.col(_LISTINGS), F.lit(1))
+
+
 def revenue_by_category(
     facts: DataFrame, products: DataFrame, broadcast_limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -51,16 +63,16 @@ def revenue_by_category(
 
     `facts` carries measures. The average is over all events of the group with an amount.
     """
-    names = catalog_names(products)
-    if fits_broadcast(names, broadcast_limit):
-        labelled = facts.join(F.broadcast(names), "product", "left")
+    listings = catalog_listings(products)
+    if fits_broadcast(listings, broadcast_limit):
+        labelled = facts.join(F.broadcast(listings), "product", "left")
     else:
         per_product = facts.groupBy("dt", "event_type", "product").agg(*money.summed_measures())
-        labelled = per_product.join(names, "product", "left")
+        labelled = per_product.join(listings, "product", "left")
     return (
         labelled.withColumn("category", known_category(F.col("category")))
         .groupBy("dt", "category", "event_type")
-        .agg(*money.summed_measures())
+        .agg(*money.summed_measures(_times_listed()))
         .withColumn("total_revenue", money.total())
         .withColumn("avg_order", money.average())
         .select(*REVENUE_BY_CATEGORY.fieldNames())
@@ -84,11 +96,11 @@ def top_products(
         .groupBy("dt", "product")
         .agg(*money.summed_measures())
     )
-    labelled = lookup(sold, catalog_names(products), "product", broadcast_limit=broadcast_limit)
+    labelled = lookup(sold, catalog_listings(products), "product", broadcast_limit=broadcast_limit)
     return (
         labelled.withColumn("category", known_category(F.col("category")))
         .groupBy("dt", "product", "category")
-        .agg(*money.summed_measures())
+        .agg(*money.summed_measures(_times_listed()))
         .select(
             "dt",
             "product",
@@ -146,12 +158,16 @@ WITH sold AS (
     WHERE event_type = 'purchase'
     GROUP BY product
 ),
+catalog AS (
+    SELECT name, category, count(*) AS listings FROM {products} GROUP BY name, category
+),
 listed AS (
-    SELECT sold.product, catalog.category,
-           sum(event_count) AS orders,
-           sum(amount_cents) AS amount_cents, sum(amount_residue) AS amount_residue
-    FROM sold JOIN {products} AS catalog ON sold.product = catalog.name
-    GROUP BY sold.product, catalog.category
+    SELECT product, category,
+           sum(event_count * listings) AS orders,
+           sum(amount_cents * listings) AS amount_cents,
+           sum(amount_residue * listings) AS amount_residue
+    FROM sold JOIN catalog ON product = name
+    GROUP BY product, category
 )
 SELECT product, category, orders,
        round(amount_cents / 100.0D + amount_residue, 2) AS revenue

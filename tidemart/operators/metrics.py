@@ -62,7 +62,8 @@ def counter_increase(
     is taken. `unique` promises that there are none, which saves a shuffle.
 
     Samples are compared inside short pieces of time first and the pieces are then joined up
-    inside each window, so neither a long series nor a busy step is sorted by one task.
+    inside each window, so neither a long series nor a busy step is sorted by one task. With
+    one value per instant a piece has at most one sample per microsecond.
     """
     pane = math.gcd(width_seconds, step_seconds) * _MICROS
     piece = pane // _PIECES
