@@ -12,6 +12,22 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemart.plans import reports  # noqa: E402
 
+# The training-data operators may be absent; an import that fails inside them is an error.
+try:
+    import tidemart.llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name != "tidemart.llm":
+        raise
+    llm = None
+else:
+    from tidemart.llm import queries as llm  # noqa: E402
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("tidemart.llm"):
+        raise
+    corpus_pipeline = None
+
 _QUERIES = (
     reports.daily_revenue_by_category,
     reports.daily_revenue_by_category_large_catalog,
@@ -153,10 +169,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm is not None:
+        found |= llm.queries()
+        if corpus_pipeline is not None:
+            found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _library_sql()
+    if llm is not None:
+        found |= llm.oracle_sql()
+        if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _library_sql() -> dict[str, str]:
     return {
         "daily_revenue_by_category": _REVENUE,
         "daily_revenue_by_category_large_catalog": _REVENUE,
