@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.batches import table
+from tidemart.llm.language import identify
 from tidemart.llm.pieces import encode_documents
 
 
@@ -17,8 +18,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_sentencepiece,)}
+    return {query.__name__: query for query in (op2_sentencepiece, op6_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
