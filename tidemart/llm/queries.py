@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.batches import table
+from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
+from tidemart.llm.lines import LINE_SQL, line_report
 from tidemart.llm.pieces import encode_documents
 
 
@@ -18,13 +20,29 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (
+    op2_sentencepiece,
+    op3_line_dedup,
+    op6_language_id,
+    op10_fingerprints,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op2_sentencepiece, op6_language_id)}
+    return {query.__name__: query for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": LINE_SQL}
