@@ -21,12 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.columns import let, named
+from tidemart.llm.columns import checkpointed, let, named
 
 SHINGLE = 3
 WINDOW = 6
-# Ids of one block of neighbours, as a power of two.
+# Ids of one block of neighbours, and blocks that are linked in one task, as powers of two.
 BLOCK_BITS = 8
+LINK_BITS = 12
 _LAST = -(1 << 62)
 
 
@@ -115,7 +116,7 @@ def with_next(docs: DataFrame, keep: list[str]) -> DataFrame:
         .where("place = 1")
         .select(F.col("block").alias("next_block"), F.struct(*keep).alias("head"))
     )
-    links = _next_block(keyed.select(_block_of("key").alias("block")).distinct())
+    links = _next_block(checkpointed(keyed.select(_block_of("key").alias("block")).distinct()))
     across = links.join(heads.hint("merge"), "next_block").select(
         F.col("block").alias("link_block"), F.lit(True).alias("link_last"), F.col("head")
     )
@@ -137,23 +138,27 @@ def _next_block(blocks: DataFrame) -> DataFrame:
 
     A block below which its group has no other takes the largest block of the next lower group.
     """
-    levels = [blocks.select("block", F.col("block").alias("lowest"), F.col("block").alias("highest"))]
-    # 64-bit ids need (64 - 8) / 8 steps at most until a single group is left.
-    for _ in range(7):
-        levels.append(
-            levels[-1]
-            .groupBy(_block_of("block").alias("block"))
-            .agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
-        )
+    group = F.shiftright("block", LINK_BITS)
+    level = blocks.select("block", F.col("block").alias("lowest"), F.col("block").alias("highest"))
     found = None
-    for level in levels:
-        group = Window.partitionBy(_block_of("block")).orderBy(F.desc("block"))
-        links = level.select(
-            F.col("lowest").alias("block"), F.lead("highest").over(group).alias("next_block")
-        ).where("next_block IS NOT NULL")
+    # So many levels leave a single group for any 64-bit id.
+    for _ in range(-(-(64 - BLOCK_BITS) // LINK_BITS)):
+        below = F.lead("highest").over(Window.partitionBy(group).orderBy(F.desc("block")))
+        links = level.select(F.col("lowest").alias("block"), below.alias("next_block"))
+        links = links.where("next_block IS NOT NULL")
         found = links if found is None else found.union(links)
-    around = levels[-1].agg(F.min("lowest").alias("block"), F.max("highest").alias("next_block"))
-    return found.union(around.where("block IS NOT NULL"))
+        level = level.groupBy(group.alias("block")).agg(
+            F.min("lowest").alias("lowest"), F.max("highest").alias("highest")
+        )
+    # The groups 0 and -1 are left.
+    around = level.agg(F.min("lowest").alias("block"), F.max("highest").alias("next_block"))
+    across = level.agg(
+        F.min(F.when(F.col("block") >= 0, F.col("lowest"))).alias("block"),
+        F.max(F.when(F.col("block") < 0, F.col("highest"))).alias("next_block"),
+    )
+    return found.union(across.where("block + next_block IS NOT NULL")).union(
+        around.where("block IS NOT NULL")
+    )
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
