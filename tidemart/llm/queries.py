@@ -12,6 +12,7 @@ from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
 from tidemart.llm.pieces import encode_documents
+from tidemart.llm.simhash import near_duplicates
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ _QUERIES = (
     op2_sentencepiece,
     op3_line_dedup,
     op6_language_id,
+    op7_simhash,
     op10_fingerprints,
 )
 
