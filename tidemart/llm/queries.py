@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.batches import table
+from tidemart.llm.decontamination import leaks
 from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
@@ -15,6 +16,10 @@ from tidemart.llm.pieces import encode_documents
 from tidemart.llm.simhash import near_duplicates
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
@@ -38,6 +43,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op1_decontamination,
     op2_sentencepiece,
     op3_line_dedup,
     op6_language_id,
