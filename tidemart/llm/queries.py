@@ -13,6 +13,7 @@ from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
 from tidemart.llm.pieces import encode_documents
+from tidemart.llm.quality import score_quality
 from tidemart.llm.simhash import near_duplicates
 
 
@@ -38,6 +39,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ _QUERIES = (
     op3_line_dedup,
     op6_language_id,
     op7_simhash,
+    op8_quality,
     op10_fingerprints,
 )
 
