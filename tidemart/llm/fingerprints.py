@@ -102,7 +102,7 @@ def likeness(left: Column, right: Column) -> Column:
 def with_next(docs: DataFrame, keep: list[str]) -> DataFrame:
     """docs and, as next_<column>, columns of the following row by descending key."""
     keyed = docs.withColumn("key", F.coalesce(F.col("doc_id"), F.lit(_LAST)))
-    # Both uses below read one exchange.
+    # Both uses below need the same columns, so that Spark shuffles once for both.
     placed = keyed.withColumn("block", _block_of("key")).repartition("block")
     order = Window.partitionBy("block").orderBy(F.desc("key"), "text")
     inside = placed.withColumns(
@@ -165,7 +165,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprint of every document and of its edited text, with the likenesses to compare."""
     slim = named(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     marked = slim.withColumn("marks", winnow(F.col("text")))
-    pairs = with_next(marked, ["text", "marks"])
+    pairs = with_next(marked, ["doc_id", "text", "marks"])
     third = F.expr("CAST(n_chars DIV 3 AS INT)")
     edited = (
         pairs.withColumn("n_chars", F.length("text").cast("long"))
