@@ -14,6 +14,7 @@ from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
 from tidemart.llm.pieces import encode_documents
 from tidemart.llm.quality import score_quality
+from tidemart.llm.secrets import scan
 from tidemart.llm.simhash import near_duplicates
 
 
@@ -31,6 +32,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"), path="source")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ _QUERIES = (
     op1_decontamination,
     op2_sentencepiece,
     op3_line_dedup,
+    op4_secrets,
     op6_language_id,
     op7_simhash,
     op8_quality,
