@@ -16,6 +16,7 @@ from tidemart.llm.pieces import encode_documents
 from tidemart.llm.quality import score_quality
 from tidemart.llm.secrets import scan
 from tidemart.llm.simhash import near_duplicates
+from tidemart.llm.suffixes import dedup_suffixes
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_suffixes(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ _QUERIES = (
     op6_language_id,
     op7_simhash,
     op8_quality,
+    op9_suffix_dedup,
     op10_fingerprints,
 )
 
