@@ -14,6 +14,7 @@ from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
 from tidemart.llm.pieces import encode_documents
 from tidemart.llm.quality import score_quality
+from tidemart.llm.recompression import dedup_windows
 from tidemart.llm.secrets import scan
 from tidemart.llm.simhash import near_duplicates
 from tidemart.llm.suffixes import dedup_suffixes
@@ -37,6 +38,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"), path="source")
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_windows(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ _QUERIES = (
     op2_sentencepiece,
     op3_line_dedup,
     op4_secrets,
+    op5_recompression,
     op6_language_id,
     op7_simhash,
     op8_quality,

@@ -44,7 +44,7 @@ class RollingHash:
     """
 
     def __init__(self, values: np.ndarray, multiplier: int = _MULTIPLIER) -> None:
-        step, size = np.uint64(multiplier | 1), len(values) + 1
+        step, size = np.uint64((multiplier | 1) & ((1 << 64) - 1)), len(values) + 1
         self.inverse = np.cumprod(
             np.full(size, pow(int(step), -1, 1 << 64), np.uint64), dtype=np.uint64
         )
@@ -65,8 +65,10 @@ def byte_values(flat: np.ndarray) -> np.ndarray:
     return _BYTE_VALUES[flat]
 
 
-def word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return RollingHash(byte_values(flat))(starts, ends)
+def word_hashes(
+    flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, multiplier: int = _MULTIPLIER
+) -> np.ndarray:
+    return RollingHash(byte_values(flat), multiplier)(starts, ends)
 
 
 def lowered(flat: np.ndarray) -> np.ndarray:
