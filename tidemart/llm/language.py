@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.llm.batches import blocks, texts_of
+from tidemart.llm.columns import named
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 1500
@@ -221,40 +223,59 @@ def code_lengths(model: LanguageModel, texts: list[str]) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred, score and bits_per_byte of every row of (doc_id, text)."""
+    """All columns of docs, and lang_pred, score and bits_per_byte in place of columns of these names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.drop("lang_pred", "score", "bits_per_byte")
+    text = F.col("text").cast("string")
+    rows = rows.withColumns(
+        {"_text": text, "_lettered": F.coalesce(text.rlike(r"\p{L}"), F.lit(False))}
+    )
+    names = [name for name in rows.columns if name not in ("_text", "_lettered")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in blocks(batches):
-            texts = texts_of(batch)
-            lettered = np.array(batch.column("lettered").to_pylist(), bool)
-            names = np.full(len(texts), UNKNOWN, object)
+        for batch in blocks(batches, "_text"):
+            texts = texts_of(batch, "_text")
+            lettered = np.array(batch.column("_lettered").to_pylist(), bool)
+            found = np.full(len(texts), UNKNOWN, object)
             score, density = np.zeros(len(texts)), np.zeros(len(texts))
             if own.languages:
                 total = code_lengths(own, texts)
                 best = total.argmin(axis=1)
                 share = 1 / np.exp2(np.minimum(total.min(axis=1, keepdims=True) - total, 0)).sum(axis=1)
                 sizes = np.array([max(1, len(text.encode("utf-8", "replace"))) for text in texts])
-                names = np.where(lettered, np.array(own.languages, object)[best], UNKNOWN)
+                found = np.where(lettered, np.array(own.languages, object)[best], UNKNOWN)
                 score = np.where(lettered, share, 0.0)
                 density = np.where(lettered, total.min(axis=1) / sizes, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(density)],
-                ["doc_id", "lang_pred", "score", "bits_per_byte"],
+                [*(batch.column(name) for name in names), pa.array(found, pa.string()), pa.array(score), pa.array(density)],
+                [*names, "lang_pred", "score", "bits_per_byte"],
             )
 
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-    ).mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
+    schema = T.StructType(
+        [
+            *rows.select(*names).schema.fields,
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("bits_per_byte", T.DoubleType()),
+        ]
+    )
+    return rows.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, folds: int = 3, fold: int = 1) -> DataFrame:
     """Learn from the documents outside the fold, predict all: doc_id, held_out, lang_pred, score."""
     held_out = is_held_out(F.col("doc_id"), folds, fold)
     model = train(docs.where(~held_out))
-    return predict(docs, model).select(
+    return predict(named(docs, "doc_id", "text"), model).select(
         "doc_id", is_held_out(F.col("doc_id"), folds, fold).alias("held_out"), "lang_pred", "score", "bits_per_byte"
     )
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The documents whose language can be told, learned from all that name theirs; columns as they were.
+
+    Rejected are texts without a letter and those that no language explains better than the others together.
+    """
+    found = predict(docs, train(docs))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)

@@ -71,13 +71,13 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns of docs, with text cleaned, and n_lines, n_removed."""
-    slim = named(docs, "doc_id", "text")
-    starts = repeated(slim).withColumnRenamed("doc_id", "repeated_in")
+    """All columns of docs, with text cleaned, and n_lines, n_removed in place of columns of these names."""
+    docs = docs.drop("n_lines", "n_removed")
+    starts = repeated(named(docs, "doc_id", "text")).select(F.col("doc_id").alias("_in"), F.col("starts").alias("_starts"))
 
     def cleaned(lines: Column) -> Column:
         covered = F.array_distinct(
-            F.flatten(F.transform("starts", lambda at: F.sequence(at, at + (WINDOW - 1))))
+            F.flatten(F.transform("_starts", lambda at: F.sequence(at, at + (WINDOW - 1))))
         )
         return let(
             covered,
@@ -93,23 +93,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
             ),
         )
 
-    joined = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(
-        starts.hint("merge"), F.col("doc_id") == F.col("repeated_in"), "left"
-    )
     lines = _lines(F.col("text").cast("string"))
-    done = joined.withColumn(
-        "cleaned", F.when(F.col("starts").isNotNull(), let(lines, cleaned))
+    # Rows that share an id but not the text may have fewer lines than the places say.
+    done = docs.join(starts.hint("merge"), F.col("doc_id").cast("long") == F.col("_in"), "left").withColumn(
+        "_cleaned", F.when(F.col("_starts").isNotNull() & F.col("text").isNotNull(), let(lines, cleaned))
     )
-    keep = [
-        F.when(F.col("cleaned").isNotNull(), F.col("cleaned.text")).otherwise(F.col("text")).alias("text")
-        if name == "text"
-        else F.col(name)
-        for name in docs.columns
-    ]
+    kept = F.when(F.col("_cleaned").isNotNull(), F.col("_cleaned.text")).otherwise(F.col("text"))
     return done.select(
-        *keep,
+        *[kept.alias("text") if name == "text" else F.col(name) for name in docs.columns],
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce("cleaned.n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("_cleaned.n_removed", F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

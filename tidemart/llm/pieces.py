@@ -206,9 +206,11 @@ class PieceCoder:
             text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
             self.known[word] = (",".join(map(str, ids)), text)
 
-    def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str], list[str]]:
-        """Number of ids, digest of the ids, digest of the decoded text, and that text."""
-        counts, id_digests, text_digests, decoded = [], [], [], []
+    def digests(
+        self, texts: list[str], keep_ids: bool = False
+    ) -> tuple[list[int], list[str], list[str], list[str], list[np.ndarray]]:
+        """Number of ids, digest of the ids, digest of the decoded text, that text, and the ids if kept."""
+        counts, id_digests, text_digests, decoded, kept = [], [], [], [], []
         split = [self.words_of(text) for text in texts]
         self.learn(set().union(*split))
         for words in split:
@@ -220,14 +222,17 @@ class PieceCoder:
             id_digests.append(hashlib.sha256(ids.encode()).hexdigest())
             text_digests.append(hashlib.sha256(text.encode()).hexdigest())
             decoded.append(text)
+            if keep_ids:
+                kept.append(np.array(ids.split(",") if ids else [], np.int32))
         if len(self.known) > _KNOWN_WORDS:
             self.known.clear()
-        return counts, id_digests, text_digests, decoded
+        return counts, id_digests, text_digests, decoded, kept
 
     def encode(self, text: str) -> list[int]:
         """All ids of one text."""
         words = self.words_of(text)
-        encoded = dict(zip(distinct := list(dict.fromkeys(words)), self.encode_words(distinct), strict=True))
+        distinct = list(dict.fromkeys(words))
+        encoded = dict(zip(distinct, self.encode_words(distinct), strict=True))
         return [i for word in words for i in encoded[word].tolist()]
 
 
@@ -252,11 +257,11 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
         own = coder(model)
         for batch in blocks(batches):
             texts = texts_of(batch)
-            counts, ids, decoded, _ = own.digests(texts)
+            counts, ids, decoded, _, kept = own.digests(texts, keep_ids)
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array([own.encode(text) for text in texts], pa.list_(pa.int32())))
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.batches import blocks
@@ -249,12 +249,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates, the one with the smallest id, with all columns."""
+    """One row of each group of near-duplicates, the one with the smallest id, with all columns.
+
+    Of rows that share an id one stays, that with the smallest text; rows without an id all stay.
+    """
     groups = near_duplicates(docs)
-    stays = groups.where("doc_id = component_id OR component_id IS NULL").select(
-        F.col("doc_id").alias("kept_id")
-    ).distinct()
-    one = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(
-        stays.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi"
+    stays = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    order = Window.partitionBy("doc_id").orderBy("text")
+    one = (
+        docs.join(stays.hint("merge"), F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+        .withColumn("_place", F.row_number().over(order))
+        .where("_place = 1")
+        .drop("_place")
     )
-    return one.dropDuplicates(["doc_id"])
+    return one.union(docs.where("doc_id IS NULL"))
