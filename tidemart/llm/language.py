@@ -186,7 +186,7 @@ def build(counts: dict[str, list[tuple[int, int]]]) -> LanguageModel:
         view = slot.reshape(-1, classes**order)
         view[:, contexts[order]] = offsets[order] + np.arange(len(contexts[order]), dtype=np.int32)
     return LanguageModel(
-        languages, byte_class, slot.reshape(-1), bits.reshape(-1, len(languages)), classes
+        languages, byte_class, slot.reshape(-1), bits.reshape(bits.shape[0] * bits.shape[1], bits.shape[2]), classes
     )
 
 
