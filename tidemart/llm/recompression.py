@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from tidemart.llm.repeats import (
     Judged,
     Segments,
+    any_contested,
     checks_of,
     covered,
     document_id,
@@ -131,15 +132,16 @@ def segments_of_words(words: np.ndarray, texts: np.ndarray) -> Segments:
         open_ = open_[~fits]
         base += len(name)
     if not len(windows):
-        none = np.zeros(0, np.int64)
-        return Segments(none.view(np.uint64), none.view(np.uint64), none, none, none)
+        return Segments.joined([])
     symbol, anchor = symbol[windows], anchor[windows]
     new = np.r_[True, (symbol[1:] != symbol[:-1]) | (windows[1:] != windows[:-1] + 1)]
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(windows)] - 1
     start, end = windows[first], windows[last] + WINDOW
     text = np.searchsorted(texts, start, side="right") - 1
-    return Segments(anchor[first], RollingHash(words)(start, end), text, start - texts[text], end - start)
+    # Stretches with one anchor all count as possibly sharing a window.
+    mark = np.ones(len(first), np.int64)
+    return Segments(anchor[first], RollingHash(words)(start, end), text, start - texts[text], end - start, mark, mark)
 
 
 def segments(flat: np.ndarray, offsets: np.ndarray) -> Segments:
@@ -180,10 +182,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ):
             if not numbers[row].is_valid:
                 continue
+            listed = numbers[row].values.to_numpy()
+            if not any_contested(listed):
+                continue
             flat = np.frombuffer(unzipped(zipped), np.uint8)
             offsets = np.array([0, len(flat)])
             check = int(checks_of(flat, offsets)[0])
-            own = verdicts_of(numbers[row].values.to_numpy(), check)
+            own = verdicts_of(listed, check)
             if not own.contested.any():
                 continue
             starts, ends, _ = split_words(flat, offsets, BLANK)

@@ -7,7 +7,9 @@ of a document with one anchor form a segment. Segments are told apart by hashes
 1. Tasks collect segments and settle those that repeat within the task; of each repeated one a
    representative goes on. So what a third of all documents share is one row per task afterwards.
 2. Segments are dealt by anchor, as compact blocks of bytes. Repeated segments are settled here as wholes;
-   segments that differ but share an anchor may still have windows in common and are contested.
+   segments that differ but share an anchor may still have windows in common and are contested. An operator
+   can name two marks of a segment of which any two segments with a common window share one; segments
+   that share none with another of their anchor are not contested.
 3. The operator settles contested segments from their texts.
 4. The settled stretches of every document are put together again with its text.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +31,11 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.batches import blocks, flat_bytes
 from tidemart.llm.columns import named
-from tidemart.llm.words import RollingHash, byte_values
 
 # Segments that a task collects before it passes them on.
-COLLECTED = 1 << 20
+COLLECTED = 1 << 19
 # Bytes of text whose segments one step of a task compares with one another.
-PART_BYTES = 32 << 20
+PART_BYTES = 16 << 20
 # Different segments with one anchor from which on their windows are dealt one by one.
 HOT = 4096
 
@@ -47,13 +49,25 @@ _CHECK_SHIFT = 45
 
 @dataclass
 class Segments:
-    """Segments of a batch of texts. `start` counts symbols of the text, `length` too."""
+    """Segments of a batch of texts. `start` counts symbols of the text, `length` too.
+
+    `left` and `right` are the marks, numbers of 16 bits; 0 is a mark that none shares.
+    """
 
     anchor: np.ndarray
     content: np.ndarray
     text: np.ndarray
     start: np.ndarray
     length: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+
+    @staticmethod
+    def joined(found: list[tuple[np.ndarray, ...]]) -> Segments:
+        if not found:
+            none = np.zeros(0, np.int64)
+            return Segments(none.view(np.uint64), none.view(np.uint64), *[none] * 5)
+        return Segments(*(np.concatenate(column) for column in zip(*found, strict=True)))
 
 
 @dataclass
@@ -83,18 +97,21 @@ def verdicts_of(numbers: np.ndarray, check: int) -> Verdicts:
     )
 
 
+def any_contested(numbers: np.ndarray) -> bool:
+    return bool((numbers & _CONTESTED).any())
+
+
 def checks_of(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A check value of 18 bits of every text."""
-    return (RollingHash(byte_values(flat))(offsets[:-1], offsets[1:]) >> np.uint64(46)).astype(np.int64)
+    return np.array([crc32(flat[low:high]) >> 14 for low, high in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
 
 
 def covered(verdicts: Verdicts, size: int) -> np.ndarray:
     """Which of `size` symbols lie in a settled stretch."""
     settled = ~verdicts.contested
-    change = np.zeros(size + 1, np.int64)
-    np.add.at(change, verdicts.start[settled], 1)
-    np.add.at(change, np.minimum(verdicts.start[settled] + verdicts.length[settled], size), -1)
-    return np.cumsum(change[:-1]) > 0
+    begins = np.bincount(verdicts.start[settled], minlength=size + 1)
+    ends = np.bincount(verdicts.start[settled] + verdicts.length[settled], minlength=size + 1)
+    return np.cumsum(begins[:size] - ends[:size]) > 0
 
 
 def _groups(*keys: np.ndarray) -> np.ndarray:
@@ -107,12 +124,28 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _packed(anchor, content, doc, check, start, length) -> bytes:
+def _ordered(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Columns of all rows, sorted by anchor, content, document and place."""
+    columns = [np.concatenate(column) for column in zip(*rows, strict=True)]
+    anchor, content, doc, _, start = columns[:5]
+    order = np.lexsort((start, doc, content, anchor))
+    return tuple(column[order] for column in columns)
+
+
+def _shared(bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Rows whose mark another row of the bucket has as well."""
+    key = (bucket.astype(np.int64) << 16) | mark
+    _, place, count = np.unique(key, return_inverse=True, return_counts=True)
+    return (count[place] > 1) & (mark != 0)
+
+
+def _packed(anchor, content, doc, check, start, length, left, right) -> bytes:
     """Rows sorted by document and place, as bytes: hashes of six bytes, then differences, compressed."""
     short = np.stack([anchor, content]).view(np.uint8).reshape(2, -1, 8)[:, :, :6].tobytes()
+    marks = np.stack([left, right]).astype(np.uint16).tobytes()
     columns = (np.diff(doc, prepend=0), np.diff(start, prepend=0), check.astype(np.int32), length.astype(np.uint8))
     rest = zstandard.ZstdCompressor(level=1).compress(b"".join(column.tobytes() for column in columns))
-    return len(anchor).to_bytes(8, "little") + short + rest
+    return len(anchor).to_bytes(8, "little") + short + marks + rest
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
@@ -120,14 +153,15 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
     hashes = np.zeros((2, count, 8), np.uint8)
     hashes[:, :, :6] = np.frombuffer(blob, np.uint8, 12 * count, 8).reshape(2, count, 6)
     anchor, content = hashes.view(np.uint64)[:, :, 0]
-    rest = zstandard.ZstdDecompressor().decompress(blob[8 + 12 * count :])
+    left, right = np.frombuffer(blob[8 + 12 * count : 8 + 16 * count], np.uint16).reshape(2, count).astype(np.int64)
+    rest = zstandard.ZstdDecompressor().decompress(blob[8 + 16 * count :])
     doc = np.cumsum(np.frombuffer(rest, np.int64, count))
     start = np.cumsum(np.frombuffer(rest, np.int64, count, 8 * count))
     check = np.frombuffer(rest, np.int32, count, 16 * count).astype(np.int64)
-    return anchor, content, doc, check, start, np.frombuffer(rest, np.uint8, count, 20 * count).astype(np.int64)
+    length = np.frombuffer(rest, np.uint8, count, 20 * count).astype(np.int64)
+    return anchor, content, doc, check, start, length, left, right
 
 
-_SETTLED = -1
 _DEALT = "part int, blob binary"
 
 
@@ -140,11 +174,7 @@ def _dealt(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, smaller_id_only: bool):
     def send(pending: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        anchor, content, doc, check, start, length = (np.concatenate(c) for c in zip(*pending, strict=True))
-        order = np.lexsort((start, doc, content, anchor))
-        anchor, content, doc, check, start, length = (
-            c[order] for c in (anchor, content, doc, check, start, length)
-        )
+        anchor, content, doc, check, start, length, left, right = _ordered(pending)
         group = _groups(anchor, content)
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
         if smaller_id_only:
@@ -164,7 +194,7 @@ def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, sm
         for part in np.unique(home):
             own = home == part
             rows.append((int(part) - parts, np.stack([doc[done][own], settled[own]]).tobytes()))
-        columns = [c[stays] for c in (anchor, content, doc, check, start, length)]
+        columns = [c[stays] for c in (anchor, content, doc, check, start, length, left, right)]
         part = (columns[0] % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((columns[4], columns[2], part))
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
@@ -181,7 +211,10 @@ def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, sm
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             check = checks_of(flat, offsets)
             pending.append(
-                (found.anchor & _SHORT, found.content & _SHORT, ids[found.text], check[found.text], found.start, found.length)
+                (
+                    found.anchor & _SHORT, found.content & _SHORT, ids[found.text], check[found.text],
+                    found.start, found.length, found.left, found.right,
+                )
             )
             count += len(found.anchor)
             if count >= COLLECTED:
@@ -195,21 +228,17 @@ def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, sm
 
 def _settle(smaller_id_only: bool):
     def decide(blobs: list[bytes]) -> pa.RecordBatch:
-        anchor, content, doc, check, start, length = (
-            np.concatenate(c) for c in zip(*map(_unpacked, blobs), strict=True)
-        )
-        order = np.lexsort((start, doc, content, anchor))
-        anchor, content, doc, check, start, length = (
-            c[order] for c in (anchor, content, doc, check, start, length)
-        )
+        anchor, content, doc, check, start, length, left, right = _ordered([_unpacked(blob) for blob in blobs])
         group, bucket = _groups(anchor, content), _groups(anchor)
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        kinds = np.bincount(bucket[first])[bucket]
+        # Segments of an anchor that share a mark with another one.
+        meets = (_shared(bucket[first], left[first]) | _shared(bucket[first], right[first]))[group]
+        kinds = np.bincount(bucket[first][meets[first]], minlength=bucket[-1] + 1)[bucket]
         hot = np.where(kinds >= HOT, _HOT, 0)
         size, several = length & 127, length >> _LENGTH_BITS
         if smaller_id_only:
             done = doc > doc[first][group]
-            open_ = ~done & (kinds > 1)
+            open_ = ~done & meets
             reference = np.zeros(len(doc), np.int64)
         else:
             count = np.bincount(group, 1 + several)
@@ -218,7 +247,7 @@ def _settle(smaller_id_only: bool):
             some_single = np.bincount(bucket, single)[bucket] > 0
             leading = np.zeros(len(doc), bool)
             leading[first] = True
-            open_ = (kinds > 1) & some_single & leading
+            open_ = meets & some_single & leading
             reference = np.where(single, 0, _REFERENCE)
         settled = verdict(check[done], start[done], size[done])
         contested = verdict(check, start, size, _CONTESTED | hot | reference)[open_]

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from tidemart.llm.repeats import (
     Judged,
     Segments,
+    any_contested,
     checks_of,
     covered,
     document_id,
@@ -46,6 +47,8 @@ from tidemart.llm.words import RollingHash, byte_values
 LENGTH = 50
 GRAM = 16
 _GRAMS = LENGTH - GRAM + 1
+# A 50-byte string holds so many bytes before its anchor, or so many behind it.
+_SIDE = (LENGTH - GRAM) // 2
 # A difference cover, and its period.
 COVER, PERIOD = (0, 1, 3), 7
 # Bytes of text looked at in one step, and suffixes sorted in one block.
@@ -81,14 +84,21 @@ def segments(flat: np.ndarray, offsets: np.ndarray) -> Segments:
         place, text = place[inside], text[inside]
         first = _run_starts(place, text)
         last = np.r_[first[1:], len(inside)] - 1
-        start, end = inside[first], inside[last] + LENGTH
+        start, end, anchor = inside[first], inside[last] + LENGTH, place[first]
         found.append(
-            (grams[place[first]], rolling(start, end), text[first], base + start - offsets[text[first]], end - start)
+            (
+                grams[anchor], rolling(start, end), text[first], base + start - offsets[text[first]], end - start,
+                _mark(rolling, anchor - _SIDE, anchor, anchor - _SIDE >= start),
+                _mark(rolling, anchor + GRAM, anchor + GRAM + _SIDE, anchor + GRAM + _SIDE <= end),
+            )
         )
-    if not found:
-        none = np.zeros(0, np.int64)
-        return Segments(none.view(np.uint64), none.view(np.uint64), none, none, none)
-    return Segments(*(np.concatenate(column) for column in zip(*found, strict=True)))
+    return Segments.joined(found)
+
+
+def _mark(rolling: RollingHash, start: np.ndarray, end: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """16 bits of the bytes on one side of an anchor, 0 where the stretch does not reach so far."""
+    hashes = rolling(np.where(inside, start, 0), np.where(inside, end, 0)) >> np.uint64(48)
+    return np.where(inside, np.maximum(hashes, np.uint64(1)), np.uint64(0)).astype(np.int64)
 
 
 _CONTENT = "bucket long, doc_id long, verdict long, content binary"
@@ -97,26 +107,28 @@ _CONTENT = "bucket long, doc_id long, verdict long, content binary"
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text of every contested stretch, by the bucket it belongs to."""
     for batch in batches:
-        rows: list[tuple] = []
+        docs: list[int] = []
+        names: list[np.ndarray] = []
+        contents: list[bytes] = []
         crowded: list[tuple[np.ndarray, ...]] = []
         ids, numbers = batch.column("doc_id").to_pylist(), batch.column("verdicts")
         for row, (doc, zipped) in enumerate(zip(ids, batch.column("zipped").to_pylist(), strict=True)):
             if not numbers[row].is_valid:
                 continue
+            listed = numbers[row].values.to_numpy()
+            if not any_contested(listed):
+                continue
             text = unzipped(zipped)
             flat = np.frombuffer(text, np.uint8)
             check = int(checks_of(flat, np.array([0, len(flat)]))[0])
-            own = verdicts_of(numbers[row].values.to_numpy(), check)
-            if not own.contested.any():
-                continue
+            own = verdicts_of(listed, check)
             open_ = own.contested & ~own.hot
             start, length = own.start[open_], own.length[open_]
-            if len(start):
-                names = verdict(np.full(len(start), check), start, length)
-                for low, size, anchor, name in zip(
-                    start.tolist(), length.tolist(), _anchors(flat, start, length).tolist(), names.tolist(), strict=True
-                ):
-                    rows.append((anchor, doc, name, text[low : low + size]))
+            docs.extend([doc] * len(start))
+            names.append(verdict(np.full(len(start), check), start, length))
+            contents.extend(
+                [text[low:high] for low, high in zip(start.tolist(), (start + length).tolist(), strict=True)]
+            )
             if own.hot.any():
                 count = own.length[own.hot] - LENGTH + 1
                 first = np.repeat(own.start[own.hot] - np.r_[0, np.cumsum(count)[:-1]], count)
@@ -129,36 +141,40 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at],
                     )
                 )
+        if docs:
+            yield _rows(_anchors(contents), docs, np.concatenate(names), contents)
         if crowded:
-            rows.extend(_distinct(*(np.concatenate(column) for column in zip(*crowded, strict=True))))
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-            ["bucket", "doc_id", "verdict", "content"],
-        )
+            yield _rows(*_distinct(*(np.concatenate(column) for column in zip(*crowded, strict=True))))
 
 
-def _anchors(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Least hash among the strings of 16 bytes of each stretch; the stretches are short."""
-    count = length - GRAM + 1
-    at = np.repeat(start - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-    grams = RollingHash(byte_values(flat))(at, at + GRAM) & ~_PLACE
-    return np.minimum.reduceat(grams, np.r_[0, np.cumsum(count)[:-1]]).view(np.int64)
+def _rows(bucket, docs, names, contents) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip((bucket, docs, names, contents), kinds, strict=True)],
+        ["bucket", "doc_id", "verdict", "content"],
+    )
+
+
+def _anchors(contents: list[bytes]) -> np.ndarray:
+    """Least hash among the strings of 16 bytes of each stretch."""
+    flat = np.frombuffer(b"".join(contents), np.uint8)
+    sizes = np.array([len(content) for content in contents], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    grams = RollingHash(byte_values(flat)).every(GRAM) & ~_PLACE
+    # The strings that reach into the next stretch are left out of the sums.
+    marks = np.stack([begins, np.minimum(begins + sizes - GRAM + 1, len(grams))], axis=1).ravel()
+    grams = np.r_[grams, ~np.uint64(0)]
+    return np.minimum.reduceat(grams, marks)[::2].view(np.int64)
 
 
-def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.ndarray) -> list[tuple]:
+def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.ndarray) -> tuple:
     """Strings of a crowded bucket: the smallest id of each goes on, the others are settled (no content)."""
     order = np.lexsort((name, doc, key))
     key, doc, name, windows = key[order], doc[order], name[order], windows[order]
     first = _run_starts(key)
     smallest = np.repeat(doc[first], np.diff(np.r_[first, len(key)]))
-    return [
-        (k, d, n, w.tobytes() if d == s else None)
-        for k, d, n, s, w in zip(
-            key.view(np.int64).tolist(), doc.tolist(), name.tolist(), smallest.tolist(), windows, strict=True
-        )
-    ]
+    contents = [w.tobytes() if goes_on else None for w, goes_on in zip(windows, doc == smallest, strict=True)]
+    return key.view(np.int64), doc, name, contents
 
 
 def _words_at(padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
