@@ -257,10 +257,9 @@ def _library_sql() -> dict[str, str]:
         "serial_keys": """
             WITH names AS (SELECT p_name AS name FROM part UNION SELECT s_name FROM supplier),
             used AS (SELECT max(p_partkey) AS last FROM part)
-            SELECT count(*) AS added, count(*) AS names, count(*) AS ids,
-                   CAST(min(last) + 1 AS INTEGER) AS first_id,
-                   CAST(min(last) + count(*) AS INTEGER) AS last_id,
-                   CAST(0 AS BIGINT) AS stock, CAST(0 AS BIGINT) AS categories
+            SELECT name, CAST(NULL AS VARCHAR) AS category, CAST(0 AS BIGINT) AS stock,
+                   CAST(last + 1 AS BIGINT) AS first_id,
+                   CAST(last + count(*) OVER () AS BIGINT) AS last_id, true AS without_gaps
             FROM names, used""",
         "partition_overwrite": f"""
             WITH {_FACTS}

@@ -10,8 +10,13 @@ import pytest
 import __spark_entry__ as registered
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = registered.queries()
 ORACLES = registered.oracle_sql()
+# The training-data operators, where they are there, have tests of their own; some have no SQL.
+QUERIES = {
+    name: query
+    for name, query in registered.queries().items()
+    if name in ORACLES or not (name == "pipeline" or name.startswith("op"))
+}
 
 
 @pytest.fixture(scope="module")

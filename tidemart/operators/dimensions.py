@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import bands
 from tidemart.operators.lookup import BROADCAST_BYTES, fits_broadcast
+from tidemart.session import checkpointed
 
 # Groups that new rows are numbered in; each holds an equal share of them.
 NUMBERING_GROUPS = 1024
@@ -86,7 +87,8 @@ def absent_rows(
     broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row for each key of `incoming` that `existing` lacks."""
-    candidates = one_per_key(incoming, keys)
+    # Written once: measured, joined and, for serial numbers, counted from there.
+    candidates = checkpointed(one_per_key(incoming, keys))
     present = existing.select(*keys)
     wanted = candidates.select(*keys)
     if fits_broadcast(wanted, broadcast_limit):
@@ -134,7 +136,7 @@ def with_serial(rows: DataFrame, keys: Sequence[str], serial: str, last: int) ->
     Rows are numbered inside groups of hashed keys, each starting where the previous group
     ends, so no task orders more than its group. The numbers depend on the keys alone.
     """
-    grouped = rows.withColumn(_GROUP, F.pmod(F.xxhash64(*keys), F.lit(NUMBERING_GROUPS)))
+    grouped = checkpointed(rows).withColumn(_GROUP, F.pmod(F.xxhash64(*keys), F.lit(NUMBERING_GROUPS)))
     sizes = grouped.groupBy(_GROUP).count()
     # At most NUMBERING_GROUPS rows, whatever the size of the input.
     running = W.partitionBy(F.lit(0)).orderBy(_GROUP).rowsBetween(W.unboundedPreceding, -1)

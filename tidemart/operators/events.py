@@ -51,7 +51,7 @@ def add_event_time(events: DataFrame) -> DataFrame:
 def enrich(
     events: DataFrame,
     products: DataFrame,
-    broadcast_limit: int = BROADCAST_BYTES,
+    broadcast_limit: int | None = BROADCAST_BYTES,
     salts: int = 1,
 ) -> DataFrame:
     """Fact rows: events with the category of their product and with their day and hour."""

@@ -9,7 +9,7 @@ entry are counted rather than joined one by one, so many events never meet many
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -52,27 +52,30 @@ def catalog_listings(products: DataFrame) -> DataFrame:
     return catalog_names(products).groupBy("product", "category").agg(F.count("*").alias(_LISTINGS))
 
 
-def _times_listed() -> Column:
-    return F.coalesce(F.col(_LISTINGS), F.lit(1))
+_TIMES_LISTED = f"coalesce({_LISTINGS}, 1)"
 
 
 def revenue_by_category(
-    facts: DataFrame, products: DataFrame, broadcast_limit: int = BROADCAST_BYTES
+    facts: DataFrame,
+    products: DataFrame,
+    broadcast_limit: int = BROADCAST_BYTES,
+    listings: DataFrame | None = None,
 ) -> DataFrame:
     """Events, revenue and average amount per day, category and event type.
 
     `facts` carries measures. The average is over all events of the group with an amount.
+    `listings` are the `catalog_listings` of the products where they are at hand.
     """
-    listings = catalog_listings(products)
+    listings = catalog_listings(products) if listings is None else listings
     if fits_broadcast(listings, broadcast_limit):
         labelled = facts.join(F.broadcast(listings), "product", "left")
     else:
         per_product = facts.groupBy("dt", "event_type", "product").agg(*money.summed_measures())
-        labelled = per_product.join(listings, "product", "left")
+        labelled = per_product.join(listings.hint("merge"), "product", "left")
     return (
         labelled.withColumn("category", known_category(F.col("category")))
         .groupBy("dt", "category", "event_type")
-        .agg(*money.summed_measures(_times_listed()))
+        .agg(*money.summed_measures(_TIMES_LISTED))
         .withColumn("total_revenue", money.total())
         .withColumn("avg_order", money.average())
         .select(*REVENUE_BY_CATEGORY.fieldNames())
@@ -85,22 +88,26 @@ def daily_revenue(revenue: DataFrame) -> DataFrame:
 
 
 def top_products(
-    facts: DataFrame, products: DataFrame, broadcast_limit: int = BROADCAST_BYTES
+    facts: DataFrame,
+    products: DataFrame,
+    broadcast_limit: int = BROADCAST_BYTES,
+    listings: DataFrame | None = None,
 ) -> DataFrame:
     """Orders and revenue per day, product and category, purchases only.
 
     A product name listed under several categories counts under each of them.
     """
+    listings = catalog_listings(products) if listings is None else listings
     sold = (
         facts.filter(F.col("event_type") == PURCHASE)
         .groupBy("dt", "product")
         .agg(*money.summed_measures())
     )
-    labelled = lookup(sold, catalog_listings(products), "product", broadcast_limit=broadcast_limit)
+    labelled = lookup(sold, listings, "product", broadcast_limit=broadcast_limit)
     return (
         labelled.withColumn("category", known_category(F.col("category")))
         .groupBy("dt", "product", "category")
-        .agg(*money.summed_measures(_times_listed()))
+        .agg(*money.summed_measures(_TIMES_LISTED))
         .select(
             "dt",
             "product",
@@ -149,29 +156,23 @@ def event_type_summary(facts: DataFrame) -> DataFrame:
 
 # Sales are added up per product before the catalog is joined, so the join sees one row per
 # product whatever the size of either source, and both sides may be shuffled cheaply.
-_SALES_BY_PRODUCT = """
+_SUMS = ", ".join(f"sum({name}) AS {name}" for name in money.MEASURES)
+_AMOUNTS = (*money.AMOUNT_CENTS, money.AMOUNT_RESIDUE)
+_WEIGHTED = ", ".join(f"{money.weighted_sql(name, _LISTINGS)} AS {name}" for name in _AMOUNTS)
+_SALES_BY_PRODUCT = f"""
 WITH sold AS (
-    SELECT product,
-           sum(event_count) AS event_count, sum(amount_count) AS amount_count,
-           sum(amount_cents) AS amount_cents, sum(amount_residue) AS amount_residue
-    FROM {events}
-    WHERE event_type = 'purchase'
-    GROUP BY product
+    SELECT product, {_SUMS} FROM {{events}} WHERE event_type = 'purchase' GROUP BY product
 ),
 catalog AS (
-    SELECT name, category, count(*) AS listings FROM {products} GROUP BY name, category
+    SELECT name, category, count(*) AS {_LISTINGS} FROM {{products}} GROUP BY name, category
 ),
 listed AS (
     SELECT product, category,
-           sum(event_count * listings) AS orders,
-           sum(amount_cents * listings) AS amount_cents,
-           sum(amount_residue * listings) AS amount_residue
+           CAST({money.weighted_sql(money.EVENT_COUNT, _LISTINGS)} AS BIGINT) AS orders, {_WEIGHTED}
     FROM sold JOIN catalog ON product = name
     GROUP BY product, category
 )
-SELECT product, category, orders,
-       round(amount_cents / 100.0D + amount_residue, 2) AS revenue
-FROM listed
+SELECT product, category, orders, {money.TOTAL_SQL} AS revenue FROM listed
 """
 
 

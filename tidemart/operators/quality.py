@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemart.schemas import EVENT_TYPES, PURCHASE
@@ -123,12 +123,18 @@ def verdict(checks: DataFrame) -> DataFrame:
 
 def describe(checks: DataFrame) -> str:
     """The report for reading; it has five rows at most."""
+
+    def number(row: Row, name: str) -> str:
+        return f"{row[name]:.0f}" if row["check_name"] == ROW_COUNT_CHECK else f"{row[name]:g}"
+
+    rows = checks.collect()
+    passed = sum(row["status"] == SUCCESS for row in rows)
     lines = [
-        f"  {'ok  ' if row['status'] == SUCCESS else 'FAIL'} {row['check_name']:<40} "
-        f"value={row['value']:.10g}  threshold={row['threshold']:.10g}"
-        for row in checks.collect()
+        f"{'ok  ' if row['status'] == SUCCESS else 'FAIL'} {row['check_name']}: "
+        f"found {number(row, 'value')}, wanted at least {number(row, 'threshold')}"
+        for row in rows
     ]
-    return "\n".join(["Data quality report", *lines])
+    return "\n".join([f"{passed} of {len(rows)} checks of the events passed", *lines])
 
 
 def enforce(checks: DataFrame) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemart.operators import marts, quality
 from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.plans.layout import (
+    DAILY_REVENUE,
     EVENTS,
     HOURLY,
     QUALITY_LOG,
@@ -25,10 +26,12 @@ from tidemart.plans.layout import (
     TOP_PRODUCTS,
     CatalogLayout,
     FolderLayout,
+    Table,
 )
 from tidemart.schemas import EVENT_TYPES
+from tidemart.sinks.jdbc import append_jdbc
 from tidemart.sources.tables import partition_scan
-from tidemart.streaming.runs import finish, start_event_ingest, start_raw_ingest
+from tidemart.streaming.runs import Report, finish, start_event_ingest, start_raw_ingest
 
 log = logging.getLogger(__name__)
 
@@ -68,35 +71,76 @@ def source_ready(records: DataFrame, ts: str | None = None, since=None) -> bool:
 
 
 def ingest_events(
-    wire: DataFrame, products: DataFrame, layout: Layout, every: str | None = None
+    wire: DataFrame,
+    products: DataFrame,
+    layout: Layout,
+    every: str | None = None,
+    report: Report | None = None,
 ) -> StreamingQuery:
     return start_event_ingest(
         wire, products, layout.place(EVENTS), layout.checkpoint(EVENTS), every,
-        layout.table_format, layout.as_table,
+        layout.table_format, layout.as_table, report=report,
     )
 
 
-def ingest_raw_events(wire: DataFrame, layout: Layout, every: str | None = None) -> StreamingQuery:
+def ingest_raw_events(
+    wire: DataFrame, layout: Layout, every: str | None = None, report: Report | None = None
+) -> StreamingQuery:
     return start_raw_ingest(
         wire, layout.place(RAW_EVENTS), layout.checkpoint(RAW_EVENTS), every,
-        layout.table_format, layout.as_table,
+        layout.table_format, layout.as_table, report=report,
     )
 
 
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the newest micro-batch that a stream has finished, -1 before the first."""
+    try:
+        files = spark.read.format("binaryFile").load(f"{checkpoint}/commits")
+    except PySparkException:
+        return -1
+    number = F.regexp_extract("path", r"/commits/(\d+)$", 1)
+    numbers = files.select(number.alias("n")).where("n <> ''")
+    found = numbers.agg(F.max(F.col("n").cast("int")).alias("n")).first()["n"]
+    return -1 if found is None else found
+
+
+def _finished_runs(spark: SparkSession, layout: Layout) -> DataFrame:
+    return spark.read.schema("day string, batch int").json(f"{layout.checkpoint(EVENTS)}-daily-runs")
+
+
+def already_built(spark: SparkSession, layout: Layout, day: str | None, batch: int) -> bool:
+    """Whether a run for this day has ended well on the events up to this micro-batch."""
+    try:
+        runs = _finished_runs(spark, layout)
+        return not runs.where((F.col("day") == (day or "all")) & (F.col("batch") == batch)).isEmpty()
+    except PySparkException:
+        return False
+
+
+def note_built(spark: SparkSession, layout: Layout, day: str | None, batch: int) -> None:
+    row = spark.createDataFrame([(day or "all", batch)], "day string, batch int")
+    row.coalesce(1).write.mode("append").json(f"{layout.checkpoint(EVENTS)}-daily-runs")
+
+
 def check_quality(
     events: DataFrame,
     layout: Layout,
     run_date: str,
     valid_types: Sequence[str] = EVENT_TYPES,
     show: Callable[[str], None] = log.info,
+    metrics_jdbc: dict | None = None,
 ) -> list:
     """Check, log, show the report, and raise if a check failed.
 
-    The events are scanned once.
+    The events are scanned once. `metrics_jdbc` are the settings of `append_jdbc` where the log is kept
+    in a database as well.
     """
     checks = quality.report(events, valid_types).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        layout.append(quality.metrics_log(checks, run_date).coalesce(1), QUALITY_LOG)
+        rows = quality.metrics_log(checks, run_date).coalesce(1)
+        layout.append(rows, QUALITY_LOG)
+        if metrics_jdbc:
+            append_jdbc(rows, **metrics_jdbc)
         show(quality.describe(checks))
         quality.enforce(checks)
         return checks.collect()
@@ -113,19 +157,31 @@ def build_marts(
 ) -> None:
     """Replace the marts of one day, or of all days in the events.
 
-    Amounts and products are scanned once, for the cube that two of the marts are added up
-    from. Events without a readable time belong to no day.
+    Amounts and products are scanned once, for the cube that three of the marts are added up
+    from; the catalog is read once. Events without a readable time belong to no day. A given day
+    that has no events any more is emptied in every mart.
     """
     dated = events.filter(F.col("dt").isNotNull()) if day is None else partition_scan(events, day)
     cube = marts.daily_cube(dated).persist(StorageLevel.MEMORY_AND_DISK)
+    listings = marts.catalog_listings(products).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def replace(rows: DataFrame, table: Table) -> None:
+        if day is None:
+            layout.replace_partitions(rows, table)
+        else:
+            layout.replace_day(rows, table, day)
+
     try:
-        revenue = marts.revenue_by_category(cube, products, broadcast_limit)
-        best = marts.top_products(cube, products, broadcast_limit)
-        layout.replace_partitions(revenue, REVENUE)
-        layout.replace_partitions(best, TOP_PRODUCTS)
-        layout.replace_partitions(marts.hourly_counts(marts.with_measures(dated)), HOURLY)
+        revenue = marts.revenue_by_category(cube, products, broadcast_limit, listings)
+        revenue = revenue.persist(StorageLevel.MEMORY_AND_DISK)
+        replace(revenue, REVENUE)
+        replace(marts.daily_revenue(revenue), DAILY_REVENUE)
+        revenue.unpersist()
+        replace(marts.top_products(cube, products, broadcast_limit, listings), TOP_PRODUCTS)
+        replace(marts.hourly_counts(marts.with_measures(dated)), HOURLY)
     finally:
         cube.unpersist()
+        listings.unpersist()
 
 
 def run_daily(
@@ -138,18 +194,26 @@ def run_daily(
     ready: bool = True,
     valid_types: Sequence[str] = EVENT_TYPES,
     checked_day: str | None = None,
+    skip_built: bool = False,
+    report: Report | None = None,
+    metrics_jdbc: dict | None = None,
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
     `checked_day` limits the checks to one day of a table too large to check whole. `ready`
-    is the answer of `source_ready`; without data the run is skipped, not failed.
+    is the answer of `source_ready`; without data the run is skipped, not failed. With `skip_built`
+    it is also skipped if there was nothing new to ingest since the last run for this day that ended well.
     A failed check raises after it has been logged, and leaves the marts as they were.
     """
     if not ready:
         return DailyOutcome(ready=False)
-    ingested = finish(ingest_events(wire, products, layout))
+    ingested = finish(ingest_events(wire, products, layout, report=report))
+    batch = last_batch(spark, layout.checkpoint(EVENTS))
+    if skip_built and already_built(spark, layout, day, batch):
+        return DailyOutcome(ready=False)
     events = layout.read(spark, EVENTS)
     checked = events if checked_day is None else partition_scan(events, checked_day)
-    checks = check_quality(checked, layout, run_date, valid_types)
+    checks = check_quality(checked, layout, run_date, valid_types, metrics_jdbc=metrics_jdbc)
     build_marts(events, products, layout, day)
+    note_built(spark, layout, day, batch)
     return DailyOutcome(ready=True, ingested=ingested, checks=checks)

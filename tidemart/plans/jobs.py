@@ -15,22 +15,37 @@ from tidemart.plans import daily
 from tidemart.plans.layout import EVENTS, CatalogLayout, FolderLayout
 from tidemart.schemas import EVENT_TYPES
 from tidemart.session import build_session, prepare
-from tidemart.sources.jdbc import read_jdbc
+from tidemart.sources.jdbc import JdbcSplit, read_jdbc
 from tidemart.sources.streams import file_stream, kafka_stream
 from tidemart.sources.tables import partition_scan, read_table
 from tidemart.streaming import runs
 
 
+class _Given(argparse.Action):
+    """Remember that an argument was given, and is not its default."""
+
+    def __call__(self, parser, namespace, value, option_string=None) -> None:
+        setattr(namespace, self.dest, value)
+        setattr(namespace, f"{self.dest}_given", True)
+
+
 def _stream_arguments(parser: argparse.ArgumentParser, starting: str, tolerant: bool) -> None:
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--topic", help="Kafka topic")
-    parser.add_argument("--starting-offsets", default=starting)
+    parser.add_argument("--starting-offsets", default=starting, action=_Given)
+    parser.set_defaults(starting_offsets_given=False)
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--wire-dir", help="folder of text files, instead of Kafka")
     parser.set_defaults(tolerant=tolerant)
 
 
+def first_offsets(options: argparse.Namespace) -> str:
+    """Where a new stream starts: a run that ends by itself would find nothing at `latest`."""
+    standing = getattr(options, "every", None) is not None
+    return options.starting_offsets if standing or options.starting_offsets_given else "earliest"
+
+
 def _wire(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.wire_dir:
         return file_stream(spark, options.wire_dir)
@@ -38,7 +53,7 @@ def _wire(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
         spark,
         options.servers,
         options.topic,
-        starting_offsets=options.starting_offsets,
+        starting_offsets=first_offsets(options),
         fail_on_data_loss=not options.tolerant,
         max_offsets_per_trigger=options.max_offsets_per_trigger,
         min_partitions=options.min_partitions,
@@ -52,36 +67,76 @@ def _catalog_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--jdbc-user")
     parser.add_argument("--jdbc-password-variable", help="environment variable with the password")
     parser.add_argument("--jdbc-driver")
+    parser.add_argument("--jdbc-split", help="numeric or date column to read ranges of in parallel")
+    parser.add_argument("--jdbc-lower", help="start of the second range, about")
+    parser.add_argument("--jdbc-upper", help="start of the last range, about")
+    parser.add_argument("--jdbc-partitions", type=int, default=16)
+
+
+def jdbc_split(options: argparse.Namespace) -> JdbcSplit | None:
+    if options.jdbc_split is None:
+        return None
+    return JdbcSplit(options.jdbc_split, options.jdbc_lower, options.jdbc_upper, options.jdbc_partitions)
+
+
+def _metrics_arguments(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--metrics-jdbc-url", help="database that keeps the quality log as well")
+    parser.add_argument("--metrics-jdbc-table", default="data_quality_metrics")
+    parser.add_argument("--metrics-jdbc-user")
+    parser.add_argument("--metrics-jdbc-password-variable", help="environment variable with the password")
+    parser.add_argument("--metrics-jdbc-driver")
+
+
+def metrics_jdbc(options: argparse.Namespace) -> dict | None:
+    """Settings of `append_jdbc` for the quality log."""
+    if options.metrics_jdbc_url is None:
+        return None
+    secret = options.metrics_jdbc_password_variable
+    properties = _present(
+        user=options.metrics_jdbc_user,
+        password=os.environ[secret] if secret else None,
+        driver=options.metrics_jdbc_driver,
+    )
+    return {"url": options.metrics_jdbc_url, "table": options.metrics_jdbc_table, "properties": properties}
+
+
+def _present(**properties: str | None) -> dict[str, str]:
+    return {key: value for key, value in properties.items() if value is not None}
 
 
 def _products(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.products:
         return read_table(spark, options.products)
     secret = options.jdbc_password_variable
-    properties = {
-        "user": options.jdbc_user,
-        "password": os.environ[secret] if secret else None,
-        "driver": options.jdbc_driver,
-    }
-    given = {key: value for key, value in properties.items() if value is not None}
-    return read_jdbc(spark, options.jdbc_url, options.jdbc_table, ["name", "category"], given)
+    properties = _present(
+        user=options.jdbc_user,
+        password=os.environ[secret] if secret else None,
+        driver=options.jdbc_driver,
+    )
+    return read_jdbc(
+        spark, options.jdbc_url, options.jdbc_table, ["name", "category"], properties, jdbc_split(options)
+    )
 
 
 def _layout(options: argparse.Namespace) -> daily.Layout:
     if options.catalog_tables:
         return CatalogLayout(f"{options.root}/checkpoints", options.catalog, options.table_format)
-    return FolderLayout(options.root, options.table_format)
+    return FolderLayout(options.root, options.table_format, options.spread)
+
+
+def _print_batch(number: int, rows: int) -> None:
+    print(f"micro-batch {number}: {rows} rows", flush=True)
 
 
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> None:
     query = daily.ingest_events(
-        _wire(spark, options), _products(spark, options), _layout(options), options.every
+        _wire(spark, options), _products(spark, options), _layout(options), options.every, _print_batch
     )
     print(f"wrote {runs.finish(query)} events")
 
 
 def _raw_ingest(spark: SparkSession, options: argparse.Namespace) -> None:
-    query = daily.ingest_raw_events(_wire(spark, options), _layout(options), options.every)
+    query = daily.ingest_raw_events(_wire(spark, options), _layout(options), options.every, _print_batch)
     print(f"wrote {runs.finish(query)} records")
 
 
@@ -92,7 +147,9 @@ def _events(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
 def _quality(spark: SparkSession, options: argparse.Namespace) -> None:
     events = _events(spark, options)
     scope = events if options.day is None else partition_scan(events, options.day)
-    daily.check_quality(scope, _layout(options), options.run_date, options.valid_types, show=print)
+    daily.check_quality(
+        scope, _layout(options), options.run_date, options.valid_types, print, metrics_jdbc(options)
+    )
 
 
 def _marts(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -112,7 +169,10 @@ def _daily(spark: SparkSession, options: argparse.Namespace) -> None:
         options.day,
         daily.source_ready(records),
         options.valid_types,
-        options.checked_day,
+        None if options.check_all else options.checked_day or options.day,
+        skip_built=True,
+        report=_print_batch,
+        metrics_jdbc=metrics_jdbc(options),
     )
     print(f"ingested {outcome.ingested} events" if outcome.ready else "nothing to do")
 
@@ -143,6 +203,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--table-format", default="parquet")
         sub.add_argument("--catalog-tables", action="store_true", help="tables by name, not by folder")
         sub.add_argument("--catalog", help="name of the catalog, if it is not the default")
+        sub.add_argument("--spread", type=int, help="shuffle partitions that writes to folders start from")
         return sub
 
     ingest = command("ingest", _ingest, "stream events into the fact table")
@@ -155,6 +216,7 @@ def parser() -> argparse.ArgumentParser:
     raw.add_argument("--every")
 
     checks = command("quality", _quality, "check the fact table; fails if a check fails")
+    _metrics_arguments(checks)
     checks.add_argument("--day", help="check this day only")
     checks.add_argument("--run-date", default=daily.utc_today().isoformat())
     checks.add_argument("--valid-types", nargs="+", default=EVENT_TYPES)
@@ -169,7 +231,9 @@ def parser() -> argparse.ArgumentParser:
     _stream_arguments(whole, starting="earliest", tolerant=True)
     _catalog_arguments(whole)
     whole.add_argument("--run-date", default=daily.utc_today().isoformat())
-    whole.add_argument("--checked-day", help="check this day only, not the whole table")
+    whole.add_argument("--checked-day", help="check this day, by default that of the marts")
+    whole.add_argument("--check-all", action="store_true", help="check the whole table")
+    _metrics_arguments(whole)
     whole.add_argument("--valid-types", nargs="+", default=EVENT_TYPES)
 
     summary = command("summary", _summary, "print totals by event type and the best-selling products")

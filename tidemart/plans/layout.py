@@ -29,19 +29,32 @@ REVENUE = Table(
 )
 TOP_PRODUCTS = Table("analytics", "top_products_daily", schemas.TOP_PRODUCTS, schemas.MART_PARTITIONS)
 HOURLY = Table("analytics", "hourly_event_counts", schemas.HOURLY_COUNTS, schemas.MART_PARTITIONS)
-DAILY_REVENUE = Table("analytics", "daily_revenue", schemas.DAILY_REVENUE)
+DAILY_REVENUE = Table("analytics", "daily_revenue", schemas.DAILY_REVENUE, schemas.MART_PARTITIONS)
 QUALITY_LOG = Table("quality", "data_quality_metrics", schemas.QUALITY_METRICS)
 TABLES = (EVENTS, RAW_EVENTS, REVENUE, TOP_PRODUCTS, HOURLY, DAILY_REVENUE, QUALITY_LOG)
 
 
+# Formats whose tables are just the files of a folder.
+FILE_FORMATS = ("parquet", "orc", "avro", "json")
+
+
 @dataclass(frozen=True)
 class FolderLayout:
-    """Every table is a folder below `root` with a single writer."""
+    """Every table is a folder below `root` with a single writer.
+
+    `spread` is the number of shuffle partitions that writes start from.
+    """
 
     root: str
     table_format: str = "parquet"
+    spread: int | None = None
     as_table = False
 
+    def __post_init__(self) -> None:
+        # Overwriting by partition would replace whole tables of formats with their own metadata.
+        if self.table_format not in FILE_FORMATS:
+            raise ValueError(f"{self.table_format} tables belong into a catalog, not into folders")
+
     def place(self, table: Table) -> str:
         return f"{self.root}/{table.namespace}/{table.name}"
 
@@ -52,10 +65,15 @@ class FolderLayout:
         return sources.read_table(spark, self.place(table), table.schema, self.table_format)
 
     def append(self, rows: DataFrame, table: Table) -> None:
-        sinks.append(rows, self.place(table), table.partition_by, self.table_format)
+        sinks.append(rows, self.place(table), table.partition_by, self.table_format, self.spread)
 
     def replace_partitions(self, rows: DataFrame, table: Table) -> None:
-        sinks.overwrite_partitions(rows, self.place(table), table.partition_by, self.table_format)
+        sinks.overwrite_partitions(
+            rows, self.place(table), table.partition_by, self.table_format, self.spread
+        )
+
+    def replace_day(self, rows: DataFrame, table: Table, day: str) -> None:
+        sinks.overwrite_day(rows, self.place(table), day, table_format=self.table_format)
 
 
 @dataclass(frozen=True)
@@ -93,3 +111,6 @@ class CatalogLayout:
 
     def replace_partitions(self, rows: DataFrame, table: Table) -> None:
         sinks.overwrite_catalog_partitions(rows, self.place(table), table.partition_by)
+
+    def replace_day(self, rows: DataFrame, table: Table, day: str) -> None:
+        sinks.overwrite_catalog_day(rows, self.place(table), day)

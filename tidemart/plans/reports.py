@@ -22,7 +22,7 @@ from tidemart.given import (
 )
 from tidemart.operators import dimensions, events, marts, metrics, quality
 from tidemart.plans import daily
-from tidemart.plans.layout import REVENUE, FolderLayout
+from tidemart.plans.layout import DAILY_REVENUE, REVENUE, FolderLayout
 from tidemart.schemas import (
     CUSTOMERS,
     HOURLY_COUNTS,
@@ -32,7 +32,7 @@ from tidemart.schemas import (
     USER_EVENTS,
     USER_EVENTS_PARTITIONS,
 )
-from tidemart.session import prepare, scratch_dir
+from tidemart.session import checkpointed, prepare, scratch_dir
 from tidemart.sinks.tables import append, overwrite_partitions
 from tidemart.sources.streams import file_stream
 from tidemart.sources.tables import partition_scan as scan_day
@@ -59,13 +59,17 @@ def daily_revenue_by_category_large_catalog(spark: SparkSession, sf_dir: str) ->
 
 
 def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.daily_revenue(daily_revenue_by_category(spark, sf_dir))
+    """The mart as a run over all days leaves it behind."""
+    prepare(spark)
+    layout = FolderLayout(scratch_dir(spark, "daily-revenue"))
+    daily.build_marts(user_events(spark, sf_dir), products(spark, sf_dir), layout)
+    return layout.read(spark, DAILY_REVENUE)
 
 
 def top_products_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as it is kept, without an order; `best_sellers_daily` ranks its days."""
     prepare(spark)
-    mart = marts.top_products(_facts(spark, sf_dir), products(spark, sf_dir))
-    return marts.by_revenue(mart)
+    return marts.top_products(_facts(spark, sf_dir), products(spark, sf_dir))
 
 
 def best_sellers_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +204,11 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serial_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products numbered on insert: names of parts and suppliers, on top of the catalog."""
+    """Products numbered on insert: names of parts and suppliers, on top of the catalog.
+
+    The numbers follow hashes of the names, so of each row only its being numbered once, in the
+    range without gaps, is told.
+    """
     prepare(spark)
     names = given(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
     names = names.unionByName(given(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")))
@@ -208,14 +216,18 @@ def serial_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = dimensions.rows_to_insert(
         catalog, names, ["name"], ["name"], dimensions.product_defaults(), serial="product_id"
     )
-    return added.agg(
-        F.count("*").alias("added"),
-        F.count_distinct("name").alias("names"),
-        F.count_distinct("product_id").alias("ids"),
-        F.min("product_id").alias("first_id"),
-        F.max("product_id").alias("last_id"),
-        F.sum("stock").alias("stock"),
-        F.count("category").alias("categories"),
+    kept = checkpointed(added)
+    rows, first, last, ids = kept.agg(
+        F.count("*"), F.min("product_id"), F.max("product_id"), F.count_distinct("product_id")
+    ).first()
+    without_gaps = rows == ids and (rows == 0 or last - first + 1 == rows)
+    return kept.select(
+        "name",
+        "category",
+        F.col("stock").cast("long").alias("stock"),
+        F.lit(first).cast("long").alias("first_id"),
+        F.lit(last).cast("long").alias("last_id"),
+        F.lit(without_gaps).alias("without_gaps"),
     )
 
 
@@ -286,7 +298,7 @@ def events_per_minute_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = spark.readStream.schema(given(spark, sf_dir, "events").schema).parquet(
         f"{sf_dir}/events.parquet*"
     )
-    query = runs.start_throughput(source, "ts", f"{root}/minutes", f"{root}/checkpoint")
+    query = runs.start_throughput(source, "ts", f"{root}/minutes", f"{root}/checkpoint", "10 minutes")
     query.awaitTermination()
     return read_table(spark, f"{root}/minutes")
 

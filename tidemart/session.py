@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ADAPTIVE_STREAMS = "spark.sql.adaptive.streaming.stateless.enabled"
 
@@ -60,3 +60,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return os.path.join(tempfile.mkdtemp(prefix="tidemart-"), purpose)
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """Cut lineage with a checkpoint in the folder that all executors share."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(frame.sparkSession, "checkpoints"))
+    return frame.checkpoint()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -55,6 +56,13 @@ def balanced(
     return rows.hint("rebalance", *counted, *partition_by)
 
 
+def ensure_folder(spark: SparkSession, path: str, schema: T.StructType, table_format: str = "parquet") -> None:
+    """Make the folder of a table that may not have any rows yet."""
+    spark.createDataFrame([], schema).limit(0).write.format(table_format).mode("append").partitionBy(
+        schema.fieldNames()[-1]
+    ).save(path)
+
+
 def append(
     rows: DataFrame,
     path: str,
@@ -90,6 +98,27 @@ def overwrite_partitions(
     )
 
 
+def overwrite_day(
+    rows: DataFrame, path: str, day: str, day_column: str = "dt", table_format: str = "parquet"
+) -> None:
+    """Replace the partition of one day by the rows of that day, also where there are none left."""
+    own = rows.filter(F.col(day_column) == day).drop(day_column)
+    own.hint("rebalance").write.format(table_format).mode("overwrite").save(f"{path}/{day_column}={day}")
+
+
+def overwrite_catalog_day(rows: DataFrame, table: str, day: str, day_column: str = "dt") -> None:
+    """The same in a table of a catalog."""
+    spark = rows.sparkSession
+    columns = [name for name in spark.read.table(table).columns if name != day_column]
+    own = rows.filter(F.col(day_column) == day).select(*columns)
+    quoted = day.replace("'", "")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({day_column} = '{quoted}') ({', '.join(columns)}) "
+        "SELECT * FROM {own}",
+        own=own,
+    )
+
+
 def _in_table_order(rows: DataFrame, table: str, partition_by: Sequence[str]) -> DataFrame:
     ordered = rows.select(*rows.sparkSession.read.table(table).columns)
     return balanced(ordered, partition_by)

@@ -16,12 +16,12 @@ def read_table(
     """Scan a table by path.
 
     Passing the schema keeps partition values such as hour `05` as written text; without
-    it Spark would guess dates and integers.
+    it Spark would guess dates and integers. Folder levels that are no columns of it are left out.
     """
     reader = spark.read.format(table_format)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(location)
+    if schema is None:
+        return reader.load(location)
+    return reader.schema(schema).load(location).select(*schema.fieldNames())
 
 
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:

@@ -1,42 +1,92 @@
 """Streaming ingest and streaming throughput.
 
-A checkpoint belongs to one query and one target. Restarting a run on its checkpoint
-continues where it stopped and adds nothing twice: the file sink commits each micro-batch
-once, so no batch numbers have to be remembered. Target folders are written by their
-stream alone.
+A checkpoint belongs to one query and one target. Restarting a run on its checkpoint continues
+where it stopped and adds nothing twice. Into folders each micro-batch is written by itself, as an
+ordinary batch: to folder levels that carry the id of the query and the number of the micro-batch, which
+a repeated micro-batch replaces. No log of files is kept, so neither the driver nor readers depend on
+how much was ever written, and joins and writes of a micro-batch are planned by its own size. Into
+catalog tables with their own metadata Spark's native sink writes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+import threading
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemart.operators.events import enrich, parse_events, parse_raw_events
 from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.operators.metrics import throughput
-from tidemart.schemas import USER_EVENTS_PARTITIONS
+from tidemart.schemas import RAW_EVENTS, USER_EVENTS, USER_EVENTS_PARTITIONS
 from tidemart.session import ADAPTIVE_STREAMS
-from tidemart.sinks.tables import balanced
+from tidemart.sinks.tables import balanced, ensure_folder, overwrite_partitions
+
+log = logging.getLogger(__name__)
 
 # How often a standing job starts a micro-batch.
 STANDING_INTERVAL = "60 seconds"
 
-# Tasks a product is spread over where the catalog is too large to broadcast and the engine
-# has no adaptive execution for streams.
+# Tasks that hot products are shared among where the catalog is too large to broadcast and the engine
+# has no adaptive execution.
 STREAM_SALTS = 16
 
+# Folder level with the query and the micro-batch that wrote a file.
+BATCH = "batch"
+
 _OBSERVED = "written"
 
+Report = Callable[[int, int], None]
+
 
 def adapts(wire: DataFrame) -> bool:
-    """Whether this engine rebalances writes and splits hot keys of streams by itself."""
-    return wire.sparkSession.conf.get(ADAPTIVE_STREAMS, "false") == "true"
+    """Whether this engine knows adaptive execution of streams; it then uses it (see `session`)."""
+    return wire.sparkSession.conf.isModifiable(ADAPTIVE_STREAMS)
+
+
+class _Count(StreamingQueryListener):
+    """Rows written by one run, added up from every micro-batch, however many there are."""
+
+    def __init__(self, name: str, report: Report | None) -> None:
+        self.name, self.report = name, report
+        self.rows, self.run = 0, None
+        self.ended = threading.Event()
+
+    def add(self, batch: int, rows: int) -> None:
+        self.rows += rows
+        log.info("%s: micro-batch %d wrote %d rows", self.name, batch, rows)
+        if self.report is not None:
+            self.report(batch, rows)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        observed = event.progress.observedMetrics.get(_OBSERVED)
+        if observed is not None and event.progress.name == self.name:
+            self.add(event.progress.batchId, observed["rows"])
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        if self.run is None or str(event.runId) == self.run:
+            self.ended.set()
+
+
+# By the id of the run; one entry for each run of this process.
+_COUNTS: dict[str, _Count] = {}
+
 
+def _writer(rows: DataFrame, checkpoint: str, name: str, every: str | None) -> DataStreamWriter:
+    writer = rows.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
-def _start(
+
+def _start_native(
     rows: DataFrame,
     target: str,
     checkpoint: str,
@@ -45,18 +95,50 @@ def _start(
     table_format: str,
     partition_by: Sequence[str] = (),
     as_table: bool = False,
+    report: Report | None = None,
 ) -> StreamingQuery:
     observed = rows.observe(_OBSERVED, F.count(F.lit(1)).alias("rows"))
-    writer: DataStreamWriter = (
-        observed.writeStream.queryName(name)
-        .format(table_format)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = _writer(observed, checkpoint, name, every).format(table_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.toTable(target) if as_table else writer.start(target)
+    count = _Count(name, report)
+    rows.sparkSession.streams.addListener(count)
+    query = writer.toTable(target) if as_table else writer.start(target)
+    count.run = str(query.runId)
+    _COUNTS[count.run] = count
+    return query
+
+
+def _start_batches(
+    wire: DataFrame,
+    rows_of: Callable[[DataFrame], DataFrame],
+    target: str,
+    checkpoint: str,
+    name: str,
+    every: str | None,
+    table_format: str,
+    partition_by: Sequence[str] = (),
+    report: Report | None = None,
+) -> StreamingQuery:
+    count = _Count(name, report)
+    started = threading.Event()
+    writes_as: list[str] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        started.wait()
+        observation = Observation(f"{_OBSERVED}-{number}")
+        rows = rows_of(batch).observe(observation, F.count(F.lit(1)).alias("rows"))
+        marked = rows.withColumn(BATCH, F.lit(f"{writes_as[0]}-{number}"))
+        overwrite_partitions(marked, target, [*partition_by, BATCH], table_format)
+        count.add(number, observation.get["rows"])
+
+    query = _writer(wire, checkpoint, name, every).foreachBatch(write).start()
+    # The id stays that of the checkpoint when a run is started again.
+    writes_as.append(str(query.id))
+    _COUNTS[str(query.runId)] = count
+    count.ended.set()
+    started.set()
+    return query
 
 
 def start_event_ingest(
@@ -68,24 +150,30 @@ def start_event_ingest(
     table_format: str = "parquet",
     as_table: bool = False,
     broadcast_limit: int = BROADCAST_BYTES,
-    salts: int | None = None,
+    salts: int = 1,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Parse, enrich and append events to the fact table partitioned by day and hour.
 
     Without `every` the run takes what is there and ends; with it, it is a standing job.
-    `target` is a folder, or the name of a catalog table with `as_table`. The size of the
-    catalog is measured once at the start, its rows are read again for each micro-batch.
+    `target` is a folder, or the name of a catalog table with `as_table`. The catalog is read and
+    measured anew for each micro-batch; into a catalog table, Spark decides by its own
+    statistics. `report` gets the number and the row count of every micro-batch.
     """
-    adaptive = adapts(wire)
-    if salts is None:
-        salts = 1 if adaptive else STREAM_SALTS
-    facts = enrich(parse_events(wire), products, broadcast_limit, salts)
-    if adaptive:
-        facts = balanced(facts, USER_EVENTS_PARTITIONS)
-    return _start(
-        facts, target, checkpoint, "event_ingest", every, table_format,
-        USER_EVENTS_PARTITIONS, as_table,
-    )
+    if as_table:
+        facts = enrich(parse_events(wire), products, broadcast_limit=None)
+        if adapts(wire):
+            facts = balanced(facts, USER_EVENTS_PARTITIONS)
+        return _start_native(
+            facts, target, checkpoint, "event_ingest", every, table_format,
+            USER_EVENTS_PARTITIONS, as_table, report,
+        )
+    ensure_folder(wire.sparkSession, target, USER_EVENTS, table_format)
+    return _start_batches(
+        wire,
+        lambda batch: enrich(parse_events(batch), products, broadcast_limit, salts or 1),
+        target, checkpoint, "event_ingest", every, table_format, USER_EVENTS_PARTITIONS, report,
+    )
 
 
 def start_raw_ingest(
@@ -95,10 +183,16 @@ def start_raw_ingest(
     every: str | None = None,
     table_format: str = "parquet",
     as_table: bool = False,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Parse and append raw events; nothing is filtered or enriched."""
-    rows = parse_raw_events(wire)
-    return _start(rows, target, checkpoint, "raw_ingest", every, table_format, (), as_table)
+    if as_table:
+        rows = parse_raw_events(wire)
+        return _start_native(rows, target, checkpoint, "raw_ingest", every, table_format, (), as_table, report)
+    ensure_folder(wire.sparkSession, target, RAW_EVENTS, table_format)
+    return _start_batches(
+        wire, parse_raw_events, target, checkpoint, "raw_ingest", every, table_format, (), report
+    )
 
 
 def start_throughput(
@@ -106,7 +200,7 @@ def start_throughput(
     ts: str,
     target: str,
     checkpoint: str,
-    late_by: str = "10 minutes",
+    late_by: str,
     minutes: int = 1,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -114,9 +208,10 @@ def start_throughput(
 
     An event more than `late_by` behind the newest of an earlier micro-batch is not counted,
     so files that are read in several micro-batches have to come in the order of time.
+    The native sink writes the few rows of this stream.
     """
     timed = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late_by)
-    return _start(throughput(timed, ts, minutes), target, checkpoint, "throughput", every, "parquet")
+    return _start_native(throughput(timed, ts, minutes), target, checkpoint, "throughput", every, "parquet")
 
 
 def finish(query: StreamingQuery) -> int:
@@ -126,6 +221,9 @@ def finish(query: StreamingQuery) -> int:
 
 
 def written_rows(query: StreamingQuery) -> int:
-    """Rows written according to the progress reports Spark still holds (the last hundred)."""
-    counted = [progress.observedMetrics.get(_OBSERVED) for progress in query.recentProgress]
-    return sum(row["rows"] for row in counted if row is not None)
+    """Rows written by this run so far; complete once it has ended or was told to process all."""
+    count = _COUNTS[str(query.runId)]
+    if not query.isActive:
+        # The reports of a native sink arrive a moment later.
+        count.ended.wait(60)
+    return count.rows
