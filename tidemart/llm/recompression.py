@@ -54,13 +54,17 @@ _SECOND = 0xC2B2AE3D27D4EB4F
 _COLLECTED = 1 << 19
 
 
-def _symbols(words: np.ndarray, texts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Name and determining interval (from, to) of all symbols of every round, round 0 being the words."""
+def _symbols(words: np.ndarray, texts: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Name, determining interval (from, to), first word and end of all symbols of every round.
+
+    Round 0 is the words.
+    """
     text = np.repeat(np.arange(len(texts) - 1), np.diff(texts))
     # Beyond the ends of a text nothing is determined.
     before, behind = texts[:-1] - 1, texts[1:] + 1
     name, low, high = words, np.arange(len(words)), np.arange(len(words)) + 1
-    rounds = [(name, low, high)]
+    begin = low
+    rounds = [(name, low, high, begin, high)]
     for number in range(1, _ROUNDS):
         step = np.uint64(_ROUND * 2 * number % (1 << 64))
         # Runs.
@@ -74,7 +78,7 @@ def _symbols(words: np.ndarray, texts: np.ndarray) -> list[tuple[np.ndarray, np.
         run_low = np.where((start > 0) & (text[left] == own), low[left], before[own])
         run_high = np.where((end < len(name)) & (text[right] == own), high[right], behind[own])
         name = np.where(length > 1, mixed(name[start] + step + length * np.uint64(0x9E3779B97F4A7C15)), name[start])
-        low, high, text = run_low, run_high, own
+        low, high, text, begin = run_low, run_high, own, begin[start]
         # Pairs.
         side = ((mixed(name + step + np.uint64(1)) >> np.uint64(17)) & np.uint64(1)).astype(bool)
         inner = np.r_[text[1:] == text[:-1], False]
@@ -89,10 +93,10 @@ def _symbols(words: np.ndarray, texts: np.ndarray) -> list[tuple[np.ndarray, np.
         joined = mixed(name * np.uint64(3) + np.r_[name[1:], np.uint64(0)] * np.uint64(_ROUND) + step)
         keep = ~second
         name = np.where(pair, joined, name)[keep]
-        low, high, text = new_low[keep], new_high[keep], text[keep]
+        low, high, text, begin = new_low[keep], new_high[keep], text[keep], begin[keep]
         if not ((high - low <= WINDOW) & (low > before[text]) & (high < behind[text])).any():
             break
-        rounds.append((name, low, high))
+        rounds.append((name, low, high, begin, np.r_[begin[1:], len(words)]))
     return rounds
 
 
@@ -119,16 +123,18 @@ def segments_of_words(words: np.ndarray, texts: np.ndarray) -> Segments:
     windows = open_
     symbol = np.zeros(len(words), np.int64)
     anchor = np.zeros(len(words), np.uint64)
+    begin, end = np.zeros((2, len(words)), np.int64)
     base = 0
     levels = _symbols(words, texts) if len(open_) else []
     for number in range(len(levels) - 1, -1, -1):
-        name, low, high = levels[number]
+        name, low, high, begins, ends = levels[number]
         first = np.searchsorted(low, open_)
         last = np.searchsorted(high, open_ + WINDOW, side="right") - 1
         fits = last - first + 1 >= (_CHOICE if number else 1)
         at = _least(mixed(name + np.uint64(number)), first[fits], last[fits])
         symbol[open_[fits]] = base + at
         anchor[open_[fits]] = mixed(name[at] + np.uint64(number))
+        begin[open_[fits]], end[open_[fits]] = begins[at], ends[at]
         open_ = open_[~fits]
         base += len(name)
     if not len(windows):
@@ -137,11 +143,21 @@ def segments_of_words(words: np.ndarray, texts: np.ndarray) -> Segments:
     new = np.r_[True, (symbol[1:] != symbol[:-1]) | (windows[1:] != windows[:-1] + 1)]
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(windows)] - 1
-    start, end = windows[first], windows[last] + WINDOW
+    start, stop = windows[first], windows[last] + WINDOW
     text = np.searchsorted(texts, start, side="right") - 1
-    # Stretches with one anchor all count as possibly sharing a window.
-    mark = np.ones(len(first), np.int64)
-    return Segments(anchor[first], RollingHash(words)(start, end), text, start - texts[text], end - start, mark, mark)
+    rolling = RollingHash(words)
+    begin, end = begin[start], end[start]
+    # A window holds half of its other words, or more, before its anchor or behind it.
+    side = np.maximum(WINDOW - (end - begin), 0) // 2
+    left = _mark(rolling, begin - side, begin, begin - side >= start)
+    right = _mark(rolling, end, end + side, end + side <= stop)
+    return Segments(anchor[first], rolling(start, stop), text, start - texts[text], stop - start, left, right)
+
+
+def _mark(rolling: RollingHash, start: np.ndarray, end: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """16 bits of the words on one side of an anchor, 0 where the stretch does not reach so far."""
+    hashes = rolling(np.where(inside, start, 0), np.where(inside, end, 0)) >> np.uint64(48)
+    return np.where(inside, np.maximum(hashes, np.uint64(1)), np.uint64(0)).astype(np.int64)
 
 
 def segments(flat: np.ndarray, offsets: np.ndarray) -> Segments:
