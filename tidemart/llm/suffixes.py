@@ -42,7 +42,7 @@ from tidemart.llm.repeats import (
     verdict,
     verdicts_of,
 )
-from tidemart.llm.words import RollingHash, byte_values
+from tidemart.llm.words import RollingHash, byte_values, mixed
 
 LENGTH = 50
 GRAM = 16
@@ -173,8 +173,10 @@ def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.nd
     key, doc, name, windows = key[order], doc[order], name[order], windows[order]
     first = _run_starts(key)
     smallest = np.repeat(doc[first], np.diff(np.r_[first, len(key)]))
-    contents = [w.tobytes() if goes_on else None for w, goes_on in zip(windows, doc == smallest, strict=True)]
-    return key.view(np.int64), doc, name, contents
+    goes_on = doc == smallest
+    contents = [w.tobytes() if own else None for w, own in zip(windows, goes_on, strict=True)]
+    # What is settled has no bucket any more and is spread.
+    return np.where(goes_on, key, mixed(name.view(np.uint64))).view(np.int64), doc, name, contents
 
 
 def _words_at(padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
