@@ -1,0 +1,195 @@
+"""Both operators on repeated passages against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tests.llm.awkward import COLUMNS, awkward
+from tidemart.llm import recompression, repeats, suffixes
+
+
+def _digest(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def _bytes_by_force(rows: list[tuple]) -> list[tuple]:
+    first: dict[bytes, int] = {}
+    low = -(1 << 62)
+    data = [(low if doc is None else doc, (text or "").encode()) for doc, text in rows]
+    for doc, text in sorted(data):
+        for at in range(len(text) - 49):
+            first.setdefault(text[at : at + 50], doc)
+    result = []
+    for doc, text in data:
+        gone = bytearray(len(text))
+        for at in range(len(text) - 49):
+            if first[text[at : at + 50]] < doc:
+                gone[at : at + 50] = b"\1" * 50
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(byte for byte, flag in zip(text, gone, strict=True) if not flag)
+        result.append((None if doc == low else doc, len(text), sum(gone), spans, _digest(kept)))
+    return sorted(result, key=str)
+
+
+def _words_by_force(rows: list[tuple]) -> list[tuple]:
+    split = [(doc, re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())) for doc, text in rows]
+    counts = Counter(tuple(words[i : i + 35]) for _, words in split for i in range(len(words) - 34))
+    result = []
+    for doc, words in split:
+        gone = [0] * len(words)
+        for at in range(len(words) - 34):
+            if counts[tuple(words[at : at + 35])] > 1:
+                gone[at : at + 35] = [1] * 35
+        kept = b" ".join(word for word, flag in zip(words, gone, strict=True) if not flag)
+        result.append((doc, len(words), sum(gone), _digest(kept)))
+    return sorted(result, key=str)
+
+
+def _passages(seed: int) -> list[tuple]:
+    draw = random.Random(seed)
+    base = ["".join(draw.choices("abcdefgh é", k=draw.randint(0, 300))) for _ in range(20)]
+    rows = []
+    for doc in range(150):
+        parts = []
+        for _ in range(draw.randint(0, 6)):
+            text = draw.choice(base)
+            parts.append(
+                draw.choice(
+                    [
+                        "".join(draw.choices("xyz ", k=draw.randint(0, 40))),
+                        text[draw.randint(0, len(text) // 2) :][: draw.randint(0, 200)],
+                        "ab" * draw.randint(0, 60),
+                        "q" * draw.randint(0, 120),
+                    ]
+                )
+            )
+        rows.append((doc, "".join(parts)))
+    return [*rows, (40, rows[3][1] + "tail"), (None, rows[5][1]), (7, None)]
+
+
+def _phrases(seed: int) -> list[tuple]:
+    draw = random.Random(seed)
+    letters = ["a", "b", "c", "dd", "é", "of", "the"]
+    base = [draw.choices([*letters, *(f"w{i}" for i in range(30))], k=draw.randint(30, 150)) for _ in range(12)]
+    rows = []
+    for doc in range(120):
+        words: list[str] = []
+        for _ in range(draw.randint(0, 5)):
+            kind, text, at = draw.random(), draw.choice(base), draw.randint(0, 40)
+            if kind < 0.3:
+                words += draw.choices(letters, k=draw.randint(0, 40))
+            elif kind < 0.7:
+                words += text[at : at + draw.randint(20, 80)]
+            else:
+                words += draw.choice((["x"], ["p", "q", "r"])) * draw.randint(0, 60)
+        rows.append((doc, " ".join(words)))
+    return [*rows, (200, rows[5][1]), (200, rows[6][1]), (201, None), (None, rows[9][1]), (203, "  \n ")]
+
+
+# Many tasks, crowded anchors and small blocks must not change anything.
+_SETTINGS = [{}, {"HOT": 2}, {"COLLECTED": 150, "PART_BYTES": 500}]
+
+
+@pytest.mark.parametrize("settings", _SETTINGS)
+def test_bytes(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(repeats, name, value)
+    rows = _passages(1)
+    found = suffixes.dedup_suffixes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(map(tuple, found.collect()), key=str) == _bytes_by_force(rows)
+
+
+@pytest.mark.parametrize("settings", _SETTINGS)
+def test_words(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(repeats, name, value)
+    if settings:
+        monkeypatch.setattr(recompression, "_COLLECTED", 50)
+    rows = _phrases(2)
+    found = recompression.dedup_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert sorted(map(tuple, found.collect()), key=str) == _words_by_force(rows)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(row.doc_id, row.text) for row in docs.collect()]
+    assert sorted(map(tuple, suffixes.dedup_suffixes(docs).collect()), key=str) == _bytes_by_force(rows)
+    assert sorted(map(tuple, recompression.dedup_windows(docs).collect()), key=str) == _words_by_force(rows)
+
+
+def test_steps_change_no_anchor(monkeypatch):
+    texts = [(text or "").encode() for _, text in _passages(4)]
+    flat, offsets = np.frombuffer(b"".join(texts), np.uint8), np.r_[0, np.cumsum([len(text) for text in texts])]
+
+    def anchors() -> dict:
+        found = suffixes.segments(flat, offsets)
+        return {
+            (text, at): anchor
+            for anchor, text, start, length in zip(found.anchor, found.text, found.start, found.length, strict=True)
+            for at in range(start, start + length - 49)
+        }
+
+    whole = anchors()
+    assert len(whole) == sum(max(0, len(text) - 49) for text in texts)
+    monkeypatch.setattr(suffixes, "_STEP", 64)
+    assert anchors() == whole
+
+
+def test_blocks_of_buckets_change_nothing(monkeypatch):
+    draw = random.Random(6)
+    base = [bytes(draw.choices(b"abc", k=70)) for _ in range(9)]
+    rows = [(b // 3, doc, doc << 20, base[b][(at := draw.randint(0, 15)) : at + draw.randint(50, 55)]) for b in range(9) for doc in range(6)]
+    rows.sort()
+    batches = [suffixes._rows(*zip(*rows[i : i + 7], strict=True)) for i in range(0, len(rows), 7)]
+
+    def settled() -> list:
+        return sorted(tuple(row.values()) for batch in suffixes._sort_buckets(iter(batches)) for row in batch.to_pylist())
+
+    whole = settled()
+    monkeypatch.setattr(suffixes, "_BLOCK", 20)
+    assert settled() == whole and whole
+
+
+def test_sorting_by_the_difference_cover():
+    draw = np.random.default_rng(1)
+    flat = np.concatenate([np.tile(draw.integers(0, 2, 9), 12), draw.integers(0, 2, 300), np.zeros(130)]).astype(np.uint8)
+    sizes = np.array([108, 150, 150, 130])
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    at = np.flatnonzero(ends - np.arange(len(flat)) >= 50)
+    bucket = (at % 2).astype(np.int64)
+    order, new = suffixes.sorted_suffixes(flat, ends, at, bucket)
+    keys = [(bucket[i], flat[at[i] : at[i] + 50].tobytes()) for i in order]
+    assert keys == sorted(keys)
+    assert new.tolist() == [True, *(one != two for one, two in zip(keys[1:], keys[:-1], strict=True))]
+
+
+def test_symbols_are_determined_by_their_intervals():
+    """Cutting a text at a symbol's interval leaves the symbol as it was."""
+    draw = np.random.default_rng(3)
+    words = draw.integers(0, 4, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    whole = recompression._symbols(words, np.array([0, 400]))
+    for number, (name, low, high, begin, _) in enumerate(whole[1:5], 1):
+        for place in range(0, len(name), 7):
+            if low[place] < 0 or high[place] > 400:
+                continue
+            part = words[low[place] : high[place]]
+            cut = recompression._symbols(np.concatenate([part[:0], part]), np.array([0, len(part)]))
+            if len(cut) > number:
+                again = {(int(n), int(b)) for n, b in zip(cut[number][0], cut[number][3], strict=True)}
+                assert (int(name[place]), int(begin[place] - low[place])) in again
+
+
+def test_awkward_rows(spark):
+    rows = awkward()
+    docs = spark.createDataFrame(rows, COLUMNS)
+    plain = [(row[0], row[1]) for row in rows]
+    assert sorted(map(tuple, suffixes.dedup_suffixes(docs).collect()), key=str) == _bytes_by_force(plain)
+    assert sorted(map(tuple, recompression.dedup_windows(docs).collect()), key=str) == _words_by_force(plain)
+    empty = spark.createDataFrame([], COLUMNS)
+    assert suffixes.dedup_suffixes(empty).count() == recompression.dedup_windows(empty).count() == 0

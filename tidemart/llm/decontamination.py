@@ -86,9 +86,9 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bits(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64((1 << _FIELD_BITS) - 1)
-    return (seed & low).astype(np.int64), ((seed >> np.uint64(_FIELD_BITS)) & low).astype(np.int64)
+def _bits(seed: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.uint64((1 << width) - 1)
+    return (seed & low).astype(np.int64), ((seed >> np.uint64(width)) & low).astype(np.int64)
 
 
 def bit_field(seeds: DataFrame) -> np.ndarray:
@@ -115,12 +115,13 @@ def bit_field(seeds: DataFrame) -> np.ndarray:
 def _regions(field_bytes: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.unpackbits(np.frombuffer(field_bytes, np.uint8)).astype(bool)
+        width = len(field).bit_length() - 1
         for batch in blocks(batches):
             words, texts = _words(batch)
             hits, seeds, spans = [], [], []
             for mask, places in enumerate(MASKS):
                 at, value = _seeds(words, texts, mask)
-                one, two = _bits(value)
+                one, two = _bits(value, width)
                 passed = field[one]
                 passed[passed] = field[two[passed]]
                 hits.append(at[passed])
