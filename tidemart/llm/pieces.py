@@ -30,7 +30,7 @@ from tidemart.llm.batches import blocks, texts_of
 _MARK = "▁"
 _NO_PAIR = np.iinfo(np.int32).max
 # Known words kept by a worker; beyond that it starts anew after the block.
-_KNOWN_WORDS = 150_000
+_KNOWN_WORDS = 400_000
 
 
 class PieceCoder:
@@ -55,6 +55,9 @@ class PieceCoder:
             else (b"" if vocabulary.is_control(i) else piece.replace(_MARK, " ").encode())
             for i, piece in enumerate(pieces)
         ]
+        self.surface_text = [surface.decode("utf-8", "replace") for surface in self.surface]
+        self.is_byte = np.array(is_byte, np.int64)
+        self.id_text = [str(i) for i in range(size)]
         # Characters that occur in pieces without being one get symbols past the vocabulary.
         symbols = dict(ids)
         for piece in ids:
@@ -99,13 +102,13 @@ class PieceCoder:
         at = np.searchsorted(self.pair_keys, keys)
         return np.where(self.pair_keys[at] == keys, at, len(self.pair_keys) - 1)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; a word holds its word marks itself."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the n + 1 offsets of the words; a word holds its marks itself."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         lengths = np.array([len(word) for word in words], np.int64)
-        result: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        finished: list[tuple[np.ndarray, np.ndarray]] = []
         # Unknown characters are kept as -2 - code point.
         symbols = self.char_symbol[flat]
         symbols = np.where(symbols < 0, -2 - flat.astype(np.int64), symbols)
@@ -121,10 +124,8 @@ class PieceCoder:
             lowest = np.minimum.reduceat(rank, starts)
             done = lowest == _NO_PAIR
             if done.any():
-                for at in np.flatnonzero(done):
-                    start = starts[at]
-                    result[word[start]] = self._ids(symbols[start : start + sizes[at]])
                 stay = np.repeat(~done, sizes)
+                finished.append((word[~stay], symbols[~stay]))
                 symbols, word, pair, rank = symbols[stay], word[stay], pair[stay], rank[stay]
                 lowest, sizes = lowest[~done], sizes[~done]
                 if not len(symbols):
@@ -150,33 +151,42 @@ class PieceCoder:
             place = np.cumsum(keep) - 1
             merged = place[hit]
             symbols, word, pair = symbols[keep], word[keep], pair[keep]
-            changed = np.unique(np.r_[merged, np.maximum(merged - 1, 0)])
+            touched = np.zeros(len(symbols), bool)
+            touched[merged] = True
+            touched[np.maximum(merged - 1, 0)] = True
+            changed = np.flatnonzero(touched)
             after = np.minimum(changed + 1, len(symbols) - 1)
             joined = (after > changed) & (word[after] == word[changed])
             fresh = self._pairs_at(symbols[changed], symbols[after])
             pair[changed] = np.where(joined, fresh, len(self.pair_keys) - 1)
-        return result
+        word, symbols = (np.concatenate(column) for column in zip(*finished, strict=True))
+        order = np.argsort(word, kind="stable")
+        return self._with_bytes(word[order], symbols[order], len(words))
 
-    def _ids(self, symbols: np.ndarray) -> np.ndarray:
-        if ((symbols >= 0) & (symbols < self.size)).all():
-            return symbols
-        ids: list[int] = []
-        for symbol in symbols.tolist():
-            if 0 <= symbol < self.size:
-                ids.append(symbol)
-            else:
-                char = chr(-2 - symbol) if symbol < 0 else self._char(symbol)
-                ids.extend(self.byte_ids[value] for value in char.encode())
-        return np.array(ids, np.int64)
+    def _with_bytes(self, word: np.ndarray, symbols: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Replace symbols that are no pieces by the ids of their bytes."""
+        unknown = np.flatnonzero((symbols < 0) | (symbols >= self.size))
+        spelled = [self._spelling(symbol) for symbol in symbols[unknown].tolist()]
+        width = np.ones(len(symbols), np.int64)
+        width[unknown] = [len(ids) for ids in spelled]
+        ids, word = np.repeat(symbols, width), np.repeat(word, width)
+        first = (np.cumsum(width) - width)[unknown]
+        for at, spelling in zip(first.tolist(), spelled, strict=True):
+            ids[at : at + len(spelling)] = spelling
+        return ids, np.r_[0, np.cumsum(np.bincount(word, minlength=count))]
 
-    def _char(self, symbol: int) -> str:
-        return chr(int(np.flatnonzero(self.char_symbol == symbol)[0]))
+    def _spelling(self, symbol: int) -> list[int]:
+        code = -2 - symbol if symbol < 0 else int(np.flatnonzero(self.char_symbol == symbol)[0])
+        return [self.byte_ids[value] for value in chr(code).encode()]
 
     def decode(self, ids) -> str:
         """Text of ids; bytes that form no character become U+FFFD, one mark in front goes."""
-        text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
+        text = self._joined(ids)
         return text[1:] if text.startswith(" ") else text
 
+    def _joined(self, ids) -> str:
+        return b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
+
     def words_of(self, text: str) -> list[str]:
         """The parts of a text that are merged independently; their sequence is the whole text."""
         if not text:
@@ -201,10 +211,13 @@ class PieceCoder:
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet: their ids as text, and what these decode to."""
         new = [word for word in words if word not in self.known]
-        for word, ids in zip(new, self.encode_words(new), strict=True):
-            ids = ids.tolist()
-            text = b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")
-            self.known[word] = (",".join(map(str, ids)), text)
+        ids, offsets = self.encode_words(new)
+        spelled = np.r_[0, np.cumsum(self.is_byte[ids])][offsets]
+        ids, offsets = ids.tolist(), offsets.tolist()
+        numbers, texts = [self.id_text[i] for i in ids], [self.surface_text[i] for i in ids]
+        for word, low, high, bytes_ in zip(new, offsets, offsets[1:], np.diff(spelled).tolist(), strict=False):
+            text = self._joined(ids[low:high]) if bytes_ else "".join(texts[low:high])
+            self.known[word] = (",".join(numbers[low:high]), text)
 
     def digests(
         self, texts: list[str], keep_ids: bool = False
@@ -232,8 +245,9 @@ class PieceCoder:
         """All ids of one text."""
         words = self.words_of(text)
         distinct = list(dict.fromkeys(words))
-        encoded = dict(zip(distinct, self.encode_words(distinct), strict=True))
-        return [i for word in words for i in encoded[word].tolist()]
+        ids, offsets = self.encode_words(distinct)
+        places = {word: slice(*offsets[i : i + 2].tolist()) for i, word in enumerate(distinct)}
+        return [i for word in words for i in ids[places[word]].tolist()]
 
 
 @lru_cache(maxsize=2)
