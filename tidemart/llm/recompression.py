@@ -155,8 +155,8 @@ def segments_of_words(words: np.ndarray, texts: np.ndarray) -> Segments:
 
 
 def _mark(rolling: RollingHash, start: np.ndarray, end: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """16 bits of the words on one side of an anchor, 0 where the stretch does not reach so far."""
-    hashes = rolling(np.where(inside, start, 0), np.where(inside, end, 0)) >> np.uint64(48)
+    """32 bits of the words on one side of an anchor, 0 where the stretch does not reach so far."""
+    hashes = rolling(np.where(inside, start, 0), np.where(inside, end, 0)) >> np.uint64(32)
     return np.where(inside, np.maximum(hashes, np.uint64(1)), np.uint64(0)).astype(np.int64)
 
 
@@ -296,7 +296,7 @@ def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_windows(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the words that stay."""
-    judged = judge(docs, segments, smaller_id_only=False)
+    judged = judge(docs, segments, smaller_id_only=False, marks=np.uint32)
     return (
         judged.joined(_resolved(judged))
         .mapInArrow(_reported, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.batches import blocks, flat_bytes
 from tidemart.llm.columns import named
 
-# Segments that a task collects before it passes them on.
+# Bytes of text that a task takes apart at once, and segments that it collects before it passes them on.
+PARSED = 1 << 20
 COLLECTED = 1 << 19
 # Bytes of text whose segments one step of a task compares with one another.
 PART_BYTES = 16 << 20
@@ -51,7 +52,7 @@ _CHECK_SHIFT = 45
 class Segments:
     """Segments of a batch of texts. `start` counts symbols of the text, `length` too.
 
-    `left` and `right` are the marks, numbers of 16 bits; 0 is a mark that none shares.
+    `left` and `right` are the marks, numbers of 16 or 32 bits; 0 is a mark that none shares.
     """
 
     anchor: np.ndarray
@@ -132,29 +133,31 @@ def _ordered(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return tuple(column[order] for column in columns)
 
 
-def _shared(bucket: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Rows whose mark another row of the bucket has as well."""
-    key = (bucket.astype(np.int64) << 16) | mark
+def _meeting(bucket: np.ndarray, mark: np.ndarray, undecided: np.ndarray) -> np.ndarray:
+    """Rows whose mark another row of the bucket has as well, one of the two being undecided."""
+    key = (bucket.astype(np.int64) << 32) | mark
     _, place, count = np.unique(key, return_inverse=True, return_counts=True)
-    return (count[place] > 1) & (mark != 0)
+    waiting = np.bincount(place, undecided)[place]
+    return (count[place] > 1) & (waiting > 0) & (mark != 0)
 
 
-def _packed(anchor, content, doc, check, start, length, left, right) -> bytes:
+def _packed(marks: type, anchor, content, doc, check, start, length, left, right) -> bytes:
     """Rows sorted by document and place, as bytes: hashes of six bytes, then differences, compressed."""
     short = np.stack([anchor, content]).view(np.uint8).reshape(2, -1, 8)[:, :, :6].tobytes()
-    marks = np.stack([left, right]).astype(np.uint16).tobytes()
+    sides = np.stack([left, right]).astype(marks).tobytes()
     columns = (np.diff(doc, prepend=0), np.diff(start, prepend=0), check.astype(np.int32), length.astype(np.uint8))
     rest = zstandard.ZstdCompressor(level=1).compress(b"".join(column.tobytes() for column in columns))
-    return len(anchor).to_bytes(8, "little") + short + marks + rest
+    return len(anchor).to_bytes(8, "little") + short + sides + rest
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
+def _unpacked(marks: type, blob: bytes) -> tuple[np.ndarray, ...]:
     count = int.from_bytes(blob[:8], "little")
     hashes = np.zeros((2, count, 8), np.uint8)
     hashes[:, :, :6] = np.frombuffer(blob, np.uint8, 12 * count, 8).reshape(2, count, 6)
     anchor, content = hashes.view(np.uint64)[:, :, 0]
-    left, right = np.frombuffer(blob[8 + 12 * count : 8 + 16 * count], np.uint16).reshape(2, count).astype(np.int64)
-    rest = zstandard.ZstdDecompressor().decompress(blob[8 + 16 * count :])
+    sides = 8 + (12 + 2 * np.dtype(marks).itemsize) * count
+    left, right = np.frombuffer(blob[8 + 12 * count : sides], marks).reshape(2, count).astype(np.int64)
+    rest = zstandard.ZstdDecompressor().decompress(blob[sides:])
     doc = np.cumsum(np.frombuffer(rest, np.int64, count))
     start = np.cumsum(np.frombuffer(rest, np.int64, count, 8 * count))
     check = np.frombuffer(rest, np.int32, count, 16 * count).astype(np.int64)
@@ -172,7 +175,9 @@ def _dealt(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, smaller_id_only: bool):
+def _collect(
+    parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, smaller_id_only: bool, marks: type
+):
     def send(pending: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         anchor, content, doc, check, start, length, left, right = _ordered(pending)
         group = _groups(anchor, content)
@@ -200,12 +205,12 @@ def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, sm
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
         for number, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
             if high > low:
-                rows.append((number, _packed(*(c[order[low:high]] for c in columns))))
+                rows.append((number, _packed(marks, *(c[order[low:high]] for c in columns))))
         return _dealt(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, count = [], 0
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=PARSED):
             flat, offsets = flat_bytes(batch)
             found = parse(flat, offsets)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -226,29 +231,28 @@ def _collect(parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, sm
     return run
 
 
-def _settle(smaller_id_only: bool):
+def _settle(smaller_id_only: bool, marks: type):
     def decide(blobs: list[bytes]) -> pa.RecordBatch:
-        anchor, content, doc, check, start, length, left, right = _ordered([_unpacked(blob) for blob in blobs])
+        anchor, content, doc, check, start, length, left, right = _ordered([_unpacked(marks, blob) for blob in blobs])
         group, bucket = _groups(anchor, content), _groups(anchor)
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        # Segments of an anchor that share a mark with another one.
-        meets = (_shared(bucket[first], left[first]) | _shared(bucket[first], right[first]))[group]
-        kinds = np.bincount(bucket[first][meets[first]], minlength=bucket[-1] + 1)[bucket]
-        hot = np.where(kinds >= HOT, _HOT, 0)
         size, several = length & 127, length >> _LENGTH_BITS
         if smaller_id_only:
             done = doc > doc[first][group]
-            open_ = ~done & meets
+            stays, undecided = ~done, np.ones(len(first), bool)
             reference = np.zeros(len(doc), np.int64)
         else:
             count = np.bincount(group, 1 + several)
             done = (count[group] > 1) & (several == 0)
-            single = count[group] == 1
-            some_single = np.bincount(bucket, single)[bucket] > 0
-            leading = np.zeros(len(doc), bool)
-            leading[first] = True
-            open_ = meets & some_single & leading
-            reference = np.where(single, 0, _REFERENCE)
+            stays = np.zeros(len(doc), bool)
+            stays[first] = True
+            undecided = count == 1
+            reference = np.where(undecided[group], 0, _REFERENCE)
+        # Segments of an anchor that share a mark with another one.
+        meets = _meeting(bucket[first], left[first], undecided) | _meeting(bucket[first], right[first], undecided)
+        open_ = stays & meets[group]
+        kinds = np.bincount(bucket[first][meets], minlength=bucket[-1] + 1)[bucket]
+        hot = np.where(kinds >= HOT, _HOT, 0)
         settled = verdict(check[done], start[done], size[done])
         contested = verdict(check, start, size, _CONTESTED | hot | reference)[open_]
         return pa.RecordBatch.from_arrays(
@@ -307,10 +311,15 @@ def lists(verdicts: DataFrame, name: str) -> DataFrame:
 
 
 def judge(
-    docs: DataFrame, parse: Callable[[np.ndarray, np.ndarray], Segments], smaller_id_only: bool
+    docs: DataFrame,
+    parse: Callable[[np.ndarray, np.ndarray], Segments],
+    smaller_id_only: bool,
+    marks: type = np.uint16,
 ) -> Judged:
     """Settle segments. A segment repeats if it also stands elsewhere, or else in a smaller id's text.
 
+    `marks` is the type of the numbers that segments are marked with.
+
     Rows without an id count as having the lowest id of all.
     """
     slim = named(docs, "doc_id", "text").select(
@@ -318,10 +327,9 @@ def judge(
     )
     size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    dealt = slim.mapInArrow(_collect(parse, parts, smaller_id_only), _DEALT)
-    settled = (
-        dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_settle(smaller_id_only), "doc_id long, verdict long")
-    )
+    dealt = slim.mapInArrow(_collect(parse, parts, smaller_id_only, marks), _DEALT)
+    by_part = dealt.repartition("part").sortWithinPartitions("part")
+    settled = by_part.mapInArrow(_settle(smaller_id_only, marks), "doc_id long, verdict long")
     return Judged(slim.mapInArrow(_zipped, "doc_id long, zipped binary").repartition("doc_id"), lists(settled, "verdicts"))
 
 
