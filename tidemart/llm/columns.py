@@ -1,4 +1,4 @@
-"""Small helpers for native column expressions and for cutting lineage."""
+"""Small helpers for native column expressions."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.session import scratch_dir
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Use a value several times in an expression that computes it once per row."""
@@ -21,11 +19,3 @@ def named(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(
         *[F.col(name).cast(kinds[name]).alias(name) if name in kinds else F.col(name) for name in columns]
     )
-
-
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """Cut lineage with a checkpoint in the folder that all executors share."""
-    context = frame.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(scratch_dir(frame.sparkSession, "checkpoints"))
-    return frame.checkpoint()
