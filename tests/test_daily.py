@@ -150,3 +150,35 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != second
+
+
+def test_a_day_without_events_is_emptied_in_every_mart(spark, tmp_path):
+    from fixtures import catalog
+
+    rows = [(1, "purchase", "mouse", 5.0, "2024-03-01", "10"), (2, "view", "mouse", 0.0, "2024-03-01", "11"),
+            (3, "purchase", "phone", 7.0, "2024-03-02", "00")]
+    for layout in (FolderLayout(str(tmp_path / "folder")), CatalogLayout(str(tmp_path / "c"), "spark_catalog", "parquet")):
+        if layout.as_table:
+            spark.sql("DROP DATABASE IF EXISTS analytics CASCADE")
+            layout.prepare(spark)
+        daily.build_marts(facts(spark, rows), catalog(spark), layout)
+        daily.build_marts(facts(spark, rows[1:]), catalog(spark), layout, "2024-03-01")
+
+        def days(table, layout=layout):
+            return {row["dt"] for row in layout.read(spark, table).collect()}
+
+        assert days(TOP_PRODUCTS) == {"2024-03-02"} and days(REVENUE) == {"2024-03-01", "2024-03-02"}
+        daily.build_marts(facts(spark, rows[2:]), catalog(spark), layout, "2024-03-01")
+        assert days(REVENUE) == days(HOURLY) == days(daily.DAILY_REVENUE) == {"2024-03-02"}
+
+
+def test_folders_are_for_formats_of_files(tmp_path):
+    with pytest.raises(ValueError, match="catalog"):
+        FolderLayout(str(tmp_path), "iceberg")
+
+
+def test_last_batch_of_a_stream(spark, tmp_path):
+    assert daily.last_batch(spark, str(tmp_path / "none")) == -1
+    run(spark, str(tmp_path), DAY_ONE)
+    run(spark, str(tmp_path), DAY_TWO)
+    assert daily.last_batch(spark, FolderLayout(str(tmp_path)).checkpoint(EVENTS)) == 1

@@ -113,3 +113,24 @@ def test_serial_numbers_have_no_gaps_and_depend_on_keys_only(spark):
     first = numbers(keys)
     assert sorted(first.values()) == list(range(41, 5041))
     assert numbers(keys.repartition(13)) == first
+
+
+def test_countries_of_negative_ids(spark):
+    rows = spark.createDataFrame([(-1,), (-2,), (-5,), (7,)], "user_id int")
+    got = {row["user_id"]: row["country"] for row in dimensions.customer_rows(rows).collect()}
+    assert got == {-1: None, -2: None, -5: "US", 7: "IN"}
+
+
+def test_the_existing_table_is_read_once(spark, tmp_path):
+    from fixtures import plan
+
+    dimensions.with_defaults(
+        dimensions.customer_rows(generated_ids(spark, 1, 50).selectExpr("CAST(user_id AS INT) AS user_id")),
+        dimensions.customer_defaults(),
+    ).write.parquet(str(tmp_path / "customers"))
+    existing = spark.read.schema(CUSTOMERS).parquet(str(tmp_path / "customers"))
+    rows = spark.range(40, 60).selectExpr("CAST(id AS INT) AS user_id", "'x' AS email")
+    for limit in (dimensions.BROADCAST_BYTES, 0):
+        added = dimensions.rows_to_insert(existing, rows.union(rows), ["user_id"], broadcast_limit=limit)
+        assert plan(added).count("FileScan") == 1
+        assert sorted(row["user_id"] for row in added.collect()) == list(range(51, 60))

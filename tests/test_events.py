@@ -169,3 +169,31 @@ def test_adaptive_execution_splits_a_hot_product_of_a_large_catalog(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_nested_columns_are_measured(spark):
+    values = F.sequence(F.lit(0), F.lit(2000))
+    frame = spark.range(1000).select(
+        F.col("id").cast("string").alias("name"),
+        values.alias("list"),
+        F.map_from_arrays(values, values).alias("map"),
+        F.struct(F.repeat(F.lit("x"), 10_000).alias("s")).alias("nested"),
+    )
+    assert payload_bytes(frame) > 1000 * (2001 * 8 * 3 + 10_000)
+    assert not fits_broadcast(frame)
+
+
+def test_large_catalogs_are_not_broadcast(spark):
+    """Not even where Spark would do so by its own statistics."""
+    for settings in ({}, {"salts": 4}):
+        text = plan(enriched(spark, *[event(i, product="mouse") for i in range(20)], broadcast_limit=0, **settings))
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_only_hot_keys_are_salted(spark):
+    from tidemart.operators.lookup import hot_keys
+
+    frame = spark.range(0, 900, 1, 8).select(
+        F.when(F.col("id") < 300, "hot").when(F.col("id") < 310, None).otherwise(F.concat(F.lit("p"), "id")).alias("product")
+    )
+    assert hot_keys(frame, "product", 9) == {"hot": 3}

@@ -63,3 +63,58 @@ def test_defaults_of_the_streams():
     assert (ingest.starting_offsets, ingest.tolerant, ingest.every) == ("latest", True, None)
     raw = parser().parse_args(["raw-ingest", "--root", "r"])
     assert (raw.starting_offsets, raw.tolerant) == ("earliest", False)
+
+
+def test_daily_job_without_anything_new(spark, deployment, capsys):
+    shared = [*deployment["root"], *deployment["wire"], *deployment["products"]]
+    log = deployment["path"] / "lake" / "quality" / "data_quality_metrics"
+    assert main(["daily", "2024-03-01", *shared], spark) == 0
+    assert "micro-batch 0: 3 rows" in capsys.readouterr().out
+    before = spark.read.parquet(str(log)).count()
+    assert main(["daily", "2024-03-01", *shared], spark) == 0
+    assert "nothing to do" in capsys.readouterr().out
+    assert spark.read.parquet(str(log)).count() == before
+    # Another day has not been built yet, and new records are built again.
+    assert main(["daily", "2024-03-02", *shared], spark) == 1
+    assert main(["daily", "2024-03-02", *shared, "--check-all"], spark) == 0
+    record = event(9, "purchase", "phone", 4.0, "2024-03-01T11:00:00Z")
+    (deployment["path"] / "wire" / "b.txt").write_text(json.dumps(record))
+    assert main(["daily", "2024-03-01", *shared], spark) == 0
+    assert "ingested 1 events" in capsys.readouterr().out
+
+
+def test_start_of_the_streams():
+    from tidemart.plans.jobs import first_offsets
+
+    def start(*arguments):
+        return first_offsets(parser().parse_args([*arguments, "--root", "r"]))
+
+    assert start("ingest") == "earliest"
+    assert start("ingest", "--every", "60 seconds") == "latest"
+    assert start("ingest", "--starting-offsets", "latest") == "latest"
+    assert start("raw-ingest", "--every", "60 seconds") == "earliest"
+
+
+def test_settings_of_databases(monkeypatch):
+    from tidemart.plans.jobs import jdbc_split, metrics_jdbc
+    from tidemart.sources.jdbc import JdbcSplit
+
+    monkeypatch.setenv("LOG_PASSWORD", "secret")
+    options = parser().parse_args(
+        ["daily", "2024-03-01", "--root", "r", "--metrics-jdbc-url", "jdbc:x", "--metrics-jdbc-user", "u",
+         "--metrics-jdbc-password-variable", "LOG_PASSWORD", "--jdbc-split", "product_id", "--jdbc-lower", "1",
+         "--jdbc-upper", "900", "--jdbc-partitions", "9", "--spread", "64"]
+    )
+    assert metrics_jdbc(options) == {
+        "url": "jdbc:x", "table": "data_quality_metrics", "properties": {"user": "u", "password": "secret"}
+    }
+    assert jdbc_split(options) == JdbcSplit("product_id", "1", "900", 9) and options.spread == 64
+    plain = parser().parse_args(["quality", "--root", "r"])
+    assert metrics_jdbc(plain) is None and plain.spread is None
+
+
+def test_quality_log_goes_to_a_database_as_well(spark, deployment):
+    root, wire, products = deployment["root"], deployment["wire"], deployment["products"]
+    assert main(["ingest", *root, *wire, *products], spark) == 0
+    with pytest.raises(Exception, match="No suitable driver"):
+        main(["quality", *root, "--metrics-jdbc-url", "jdbc:nothing:here"], spark)

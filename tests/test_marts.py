@@ -128,3 +128,9 @@ def test_the_category_stored_at_ingest_is_not_used(spark):
     stored = facts(spark, EVENTS).selectExpr("*", "'old' AS category")
     revenue = marts.revenue_by_category(marts.with_measures(stored), catalog(spark))
     assert revenue.filter("category = 'old'").isEmpty() and revenue.count() == 5
+
+
+def test_large_catalogs_are_not_broadcast_by_the_marts(spark, measured):
+    for frame in (marts.revenue_by_category(measured, catalog(spark), 0), marts.top_products(measured, catalog(spark), 0)):
+        text = plan(frame)
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text

@@ -71,3 +71,22 @@ def test_result_does_not_depend_on_partitioning(spark):
 
     exact = half_up(sum(Decimal(repr(amount)) for _, amount in rows))
     assert {total(parts) for parts in (1, 3, 8)} == {exact}
+
+
+def test_sums_beyond_a_long_of_cents(spark):
+    rows = spark.range(100_000_000).select(F.lit("g").alias("grp"), F.lit(990_000_000.0).alias("amount"))
+    row = (
+        rows.select("grp", *money.row_measures(F.col("amount")))
+        .groupBy("grp")
+        .agg(*money.summed_measures())
+        .select(money.total().alias("total"), money.average().alias("avg"))
+        .first()
+    )
+    assert (row["total"], row["avg"]) == (9.9e16, 9.9e8)
+
+
+def test_weights_do_not_overflow(spark):
+    rows = spark.createDataFrame([("g", 9e13, 1 << 40), ("g", -0.01, 3)], "grp string, amount double, n long")
+    measured = rows.select("grp", "n", *money.row_measures(F.col("amount"))).groupBy("grp")
+    total = measured.agg(*money.summed_measures("n")).select(money.total().alias("total")).first()["total"]
+    assert total == 9e13 * (1 << 40)

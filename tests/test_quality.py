@@ -103,3 +103,12 @@ def test_gate(spark):
 def test_all_counts_come_from_one_aggregate(spark):
     text = plan(quality.report(facts(spark, rows((1, "view", 0.0)))))
     assert text.count("Exchange") == 1 and "Join" not in text
+
+
+def test_large_counts_are_written_out(spark):
+    rows = spark.createDataFrame(
+        [(quality.ROW_COUNT_CHECK, "SUCCESS", 1234567890120.0, 1.0), (quality.PURCHASE_CHECK, "FAILURE", 0.9876, 1.0)],
+        "check_name string, status string, value double, threshold double",
+    )
+    text = quality.describe(rows)
+    assert "found 1234567890120, wanted at least 1" in text and "found 0.9876" in text

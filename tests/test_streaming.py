@@ -141,3 +141,70 @@ def test_a_stopped_run_is_continued_without_loss_or_copies(spark, tmp_path):
     runs.finish(runs.start_event_ingest(stream, catalog(spark), target, checkpoint))
     wanted = enrich(parse_events(spark.read.parquet(source)), catalog(spark))
     assert same_rows(read_table(spark, target, USER_EVENTS), wanted) and wanted.count() == 60
+
+
+def test_every_micro_batch_is_counted(spark, tmp_path):
+    source = tmp_path / "wire"
+    source.mkdir()
+    for i in range(115):
+        (source / f"{i:03d}.txt").write_text('{"user_id":"u"}\n')
+    seen = []
+    stream = file_stream(spark, str(source), max_files_per_trigger=1)
+    query = runs.start_raw_ingest(
+        stream, str(tmp_path / "t"), str(tmp_path / "c"), report=lambda batch, rows: seen.append((batch, rows))
+    )
+    assert runs.finish(query) == 115 and len(query.recentProgress) <= 100
+    assert seen == [(i, 1) for i in range(115)]
+    assert not (tmp_path / "t" / "_spark_metadata").exists()
+
+
+def test_a_repeated_micro_batch_adds_nothing_twice(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / name) for name in ("wire", "events", "checkpoint"))
+    arrive(spark, source, records(0, 20))
+
+    def ingest():
+        stream = file_stream(spark, source, "parquet")
+        return runs.finish(runs.start_event_ingest(stream, catalog(spark), target, checkpoint))
+
+    assert ingest() == 20
+    # As if the job had died after writing and before taking note of it.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    assert ingest() == 20
+    wanted = enrich(parse_events(spark.read.parquet(source)), catalog(spark))
+    assert same_rows(read_table(spark, target, USER_EVENTS), wanted)
+    # Another stream into the same folder replaces nothing.
+    stream = file_stream(spark, source, "parquet")
+    assert runs.finish(runs.start_event_ingest(stream, catalog(spark), target, str(tmp_path / "other"))) == 20
+    assert read_table(spark, target, USER_EVENTS).count() == 40
+
+
+def test_a_catalog_that_outgrows_the_limit_is_joined_otherwise(spark, tmp_path, monkeypatch):
+    from tidemart.operators import lookup as lookups
+
+    answers = []
+    measured = lookups.fits_broadcast
+    monkeypatch.setattr(lookups, "fits_broadcast", lambda *a: answers.append(measured(*a)) or answers[-1])
+    source, listed = str(tmp_path / "wire"), str(tmp_path / "products")
+    catalog(spark).limit(1).write.parquet(listed)
+    products = spark.read.schema("name string, category string").parquet(listed)
+    arrive(spark, source, records(0, 5))
+    stream = file_stream(spark, source, "parquet")
+    query = runs.start_event_ingest(
+        stream, products, str(tmp_path / "t"), str(tmp_path / "c"), every="1 second", broadcast_limit=200
+    )
+    try:
+        query.processAllAvailable()
+        catalog(spark).write.mode("append").parquet(listed)
+        spark.catalog.refreshByPath(listed)
+        arrive(spark, source, records(50, 5))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert read_table(spark, str(tmp_path / "t"), USER_EVENTS).count() == 10
+    assert answers[0] and len(answers) >= 2
+
+
+def test_lateness_has_to_be_given(spark, tmp_path):
+    with pytest.raises(TypeError):
+        runs.start_throughput(spark.readStream.format("rate").load(), "timestamp", str(tmp_path / "t"), str(tmp_path / "c"))
