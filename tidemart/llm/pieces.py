@@ -30,7 +30,7 @@ from tidemart.llm.batches import blocks, texts_of
 _MARK = "▁"
 _NO_PAIR = np.iinfo(np.int32).max
 # Known words kept by a worker; beyond that it starts anew after the block.
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 300_000
 
 
 class PieceCoder:
