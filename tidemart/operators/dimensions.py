@@ -12,7 +12,8 @@ from tidemart.functions import bands
 from tidemart.operators.lookup import BROADCAST_BYTES, fits_broadcast
 from tidemart.session import checkpointed
 
-# Groups that new rows are numbered in; each holds an equal share of them.
+# Rows of a group that new rows are numbered in, about, and the least number of groups.
+NUMBERED_TOGETHER = 1_000_000
 NUMBERING_GROUPS = 1024
 
 _GROUP = "_group"
@@ -136,9 +137,11 @@ def with_serial(rows: DataFrame, keys: Sequence[str], serial: str, last: int) ->
     Rows are numbered inside groups of hashed keys, each starting where the previous group
     ends, so no task orders more than its group. The numbers depend on the keys alone.
     """
-    grouped = checkpointed(rows).withColumn(_GROUP, F.pmod(F.xxhash64(*keys), F.lit(NUMBERING_GROUPS)))
+    rows = checkpointed(rows)
+    groups = max(NUMBERING_GROUPS, rows.count() // NUMBERED_TOGETHER)
+    grouped = rows.withColumn(_GROUP, F.pmod(F.xxhash64(*keys), F.lit(groups)))
     sizes = grouped.groupBy(_GROUP).count()
-    # At most NUMBERING_GROUPS rows, whatever the size of the input.
+    # One small row for each group.
     running = W.partitionBy(F.lit(0)).orderBy(_GROUP).rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(_GROUP, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_BEFORE))
     place = F.row_number().over(W.partitionBy(_GROUP).orderBy(*keys))
