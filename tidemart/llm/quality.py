@@ -32,7 +32,7 @@ from tidemart.llm.words import BLANK, split_words, word_hashes
 
 PASSAGE = 512
 SAMPLE = 6000
-SAMPLE_BYTES = 500_000
+SAMPLE_BYTES = 100_000
 THRESHOLD = 0.3
 
 # Classes of bytes: lower case, upper case, digits, blanks, line ends, bytes of other characters, and
