@@ -76,7 +76,7 @@ def test_writes_of_a_stream_get_few_files(spark, tmp_path):
     assert runs.adapts(stream)
     target = tmp_path / "events"
     runs.finish(runs.start_event_ingest(stream, catalog(spark), str(target), str(tmp_path / "c")))
-    assert len(list(target.glob("dt=2024-03-01/hr=10/batch=*/*.parquet"))) == 1
+    assert len(list(target.glob("batch=*/dt=2024-03-01/hr=10/*.parquet"))) == 1
 
 
 def test_raw_stream(spark, tmp_path):

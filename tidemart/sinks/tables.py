@@ -57,10 +57,9 @@ def balanced(
 
 
 def ensure_folder(spark: SparkSession, path: str, schema: T.StructType, table_format: str = "parquet") -> None:
-    """Make the folder of a table that may not have any rows yet."""
-    spark.createDataFrame([], schema).limit(0).write.format(table_format).mode("append").partitionBy(
-        schema.fieldNames()[-1]
-    ).save(path)
+    """Make the folder of a table that may not have any rows yet, without a file in it."""
+    none = spark.createDataFrame([], schema).write.format(table_format).mode("append")
+    none.partitionBy(schema.fieldNames()[-1]).save(path)
 
 
 def append(
@@ -98,6 +97,20 @@ def overwrite_partitions(
     )
 
 
+def overwrite_folder(
+    rows: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    table_format: str = "parquet",
+) -> None:
+    """Replace everything below `path`. Tasks put their files in place themselves, as a failed write is repeated."""
+    writer = balanced(rows, partition_by).write.format(table_format).mode("overwrite")
+    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 def overwrite_day(
     rows: DataFrame, path: str, day: str, day_column: str = "dt", table_format: str = "parquet"
 ) -> None:

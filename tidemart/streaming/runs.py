@@ -2,7 +2,7 @@
 
 A checkpoint belongs to one query and one target. Restarting a run on its checkpoint continues
 where it stopped and adds nothing twice. Into folders each micro-batch is written by itself, as an
-ordinary batch: to folder levels that carry the id of the query and the number of the micro-batch, which
+ordinary batch: to a folder named by the id of the query and the number of the micro-batch, which
 a repeated micro-batch replaces. No log of files is kept, so neither the driver nor readers depend on
 how much was ever written, and joins and writes of a micro-batch are planned by its own size. Into
 catalog tables with their own metadata Spark's native sink writes.
@@ -23,7 +23,7 @@ from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.operators.metrics import throughput
 from tidemart.schemas import RAW_EVENTS, USER_EVENTS, USER_EVENTS_PARTITIONS
 from tidemart.session import ADAPTIVE_STREAMS
-from tidemart.sinks.tables import balanced, ensure_folder, overwrite_partitions
+from tidemart.sinks.tables import balanced, ensure_folder, overwrite_folder
 
 log = logging.getLogger(__name__)
 
@@ -34,7 +34,7 @@ STANDING_INTERVAL = "60 seconds"
 # has no adaptive execution.
 STREAM_SALTS = 16
 
-# Folder level with the query and the micro-batch that wrote a file.
+# Folder level above the partitions of a table, with the query and the micro-batch that wrote them.
 BATCH = "batch"
 
 _OBSERVED = "written"
@@ -128,8 +128,7 @@ def _start_batches(
         started.wait()
         observation = Observation(f"{_OBSERVED}-{number}")
         rows = rows_of(batch).observe(observation, F.count(F.lit(1)).alias("rows"))
-        marked = rows.withColumn(BATCH, F.lit(f"{writes_as[0]}-{number}"))
-        overwrite_partitions(marked, target, [*partition_by, BATCH], table_format)
+        overwrite_folder(rows, f"{target}/{BATCH}={writes_as[0]}-{number}", partition_by, table_format)
         count.add(number, observation.get["rows"])
 
     query = _writer(wire, checkpoint, name, every).foreachBatch(write).start()
