@@ -1,8 +1,10 @@
 """Connected components of links between long keys, by alternating large and small stars.
 
-Every round lets each node point its neighbours to the smallest one it sees. Nodes with very many
-neighbours are never gathered: minima are added up inside tasks before the shuffle and joined back.
-Rounds end when a round leaves the links as they were.
+Links lead from the larger to the smaller key. A large star hands the larger end of every link on to the
+smallest neighbour of its smaller end; a small star hands all smaller neighbours of a node on to the
+smallest of them. Rounds end when one leaves the links as they were. Nodes with very many neighbours
+are never gathered: minima are added up inside tasks before the shuffle and written, so that the join
+back is between two plain tables, whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -13,17 +15,21 @@ from pyspark.sql import functions as F
 from tidemart.session import checkpointed
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """The smallest neighbour of every node that has a smaller one."""
+    return checkpointed(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")))
+
+
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = _least(links).hint("merge")
+    return links.join(least, F.col("b") == F.col("node"), "left").select("a", F.coalesce("m", "b").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    """Links lead from the larger to the smaller key."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return least.withColumnRenamed("m", "b").union(moved).distinct()
+    least = _least(links)
+    moved = links.join(least.hint("merge"), F.col("a") == F.col("node")).where("b > m")
+    kept = least.select(F.col("node").alias("a"), F.col("m").alias("b"))
+    return kept.union(moved.select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
 
 
 def roots(links: DataFrame) -> DataFrame:
