@@ -30,6 +30,14 @@ def test_overlapping_windows_merge_and_first_places_stay(spark):
     assert kept == {1: "a\nb\nc\nd", 2: "x\ny", 3: "a\nb", 4: "q"}
 
 
+def test_rows_that_share_an_id(spark):
+    rows = [(1, "a\nb\nc"), (1, "x\ny\nz\nu\nv"), (1, "x\ny\nz\nu\nv"), (2, "q\nx\ny\nz"), (2, "a\nb\nc\nd")]
+    found = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((row.doc_id, row.text) for row in found) == [
+        (1, "a\nb\nc"), (1, "x\ny\nz\nu\nv"), (1, "x\ny\nz\nu\nv"), (2, "d"), (2, "q")
+    ]
+
+
 def test_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), COLUMNS)
     found = dedup_lines(docs)

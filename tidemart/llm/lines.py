@@ -11,8 +11,8 @@ execution splits.
 
 Defined results: a null text has no lines and stays null; an empty text is one empty line; texts of fewer
 than three lines have no window and stay as they are; windows of three blank lines (white space
-only) do not count; rows that share an id count as one document, in which equal windows at one
-place are one occurrence; rows without an id are left as they are.
+only) do not count; rows that share an id are told apart by a check value of their texts and come in
+its order, equal ones are one occurrence; rows without an id are left as they are.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def _lines(text: Column) -> Column:
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """doc_id, at (first line, from 0) and the two halves of the key of every window."""
+    """doc_id, check, at (first line, from 0) and the two halves of the key of every window."""
 
     def keys(lines: Column) -> Column:
         def key(at: Column) -> Column:
@@ -49,14 +49,21 @@ def windows(docs: DataFrame) -> DataFrame:
             count >= WINDOW, F.transform(F.sequence(F.lit(0), count - WINDOW), key)
         )
 
-    found = docs.select("doc_id", F.explode(let(_lines(F.col("text")), keys)).alias("w"))
-    return found.where("w IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "w.at", "w.k1", "w.k2")
+    found = docs.select(
+        "doc_id", _check(F.col("text")).alias("check"), F.explode(let(_lines(F.col("text")), keys)).alias("w")
+    )
+    return found.where("w IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "check", "w.at", "w.k1", "w.k2")
+
+
+def _check(text: Column) -> Column:
+    """Tells texts under one id apart."""
+    return F.crc32(text.cast("binary"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id and the starts of those windows of a document that also stand earlier."""
+    """doc_id, check and the starts of those windows of a document that also stand earlier."""
     every = windows(docs)
-    place = F.struct("doc_id", "at")
+    place = F.struct("doc_id", "check", "at")
     first = (
         every.groupBy("k1", "k2")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -64,8 +71,8 @@ def repeated(docs: DataFrame) -> DataFrame:
     )
     return (
         every.join(first.select("k1", "k2", "first").hint("merge"), ["k1", "k2"])
-        .where("doc_id > first.doc_id OR at > first.at")
-        .groupBy("doc_id")
+        .where(place > F.col("first"))
+        .groupBy("doc_id", "check")
         .agg(F.collect_set("at").alias("starts"))
     )
 
@@ -73,7 +80,9 @@ def repeated(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns of docs, with text cleaned, and n_lines, n_removed in place of columns of these names."""
     docs = docs.drop("n_lines", "n_removed")
-    starts = repeated(named(docs, "doc_id", "text")).select(F.col("doc_id").alias("_in"), F.col("starts").alias("_starts"))
+    starts = repeated(named(docs, "doc_id", "text")).select(
+        F.col("doc_id").alias("_in"), F.col("check").alias("_check"), F.col("starts").alias("_starts")
+    )
 
     def cleaned(lines: Column) -> Column:
         covered = F.array_distinct(
@@ -94,9 +103,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         )
 
     lines = _lines(F.col("text").cast("string"))
-    # Rows that share an id but not the text may have fewer lines than the places say.
-    done = docs.join(starts.hint("merge"), F.col("doc_id").cast("long") == F.col("_in"), "left").withColumn(
-        "_cleaned", F.when(F.col("_starts").isNotNull() & F.col("text").isNotNull(), let(lines, cleaned))
+    own = (F.col("doc_id").cast("long") == F.col("_in")) & (_check(F.col("text").cast("string")) == F.col("_check"))
+    done = docs.join(starts.hint("merge"), own, "left").withColumn(
+        "_cleaned", F.when(F.col("_starts").isNotNull(), let(lines, cleaned))
     )
     kept = F.when(F.col("_cleaned").isNotNull(), F.col("_cleaned.text")).otherwise(F.col("text"))
     return done.select(
