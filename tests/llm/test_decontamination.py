@@ -68,6 +68,14 @@ def test_planted_items_are_found_and_their_documents_go(spark):
     assert {row.doc_id for row in left.collect()} == {row.doc_id for row in docs.collect()} - {doc for doc, _ in found}
 
 
+def test_rows_that_share_an_id(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    docs = [(1, f"{item} a b"), (1, f"{item.replace('word3 ', 'x ')} a b"), (1, "nothing here at all")]
+    items = [(7, item), (8, item.replace("word3 ", "x "))]
+    found = own.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    assert {(row.doc_id, row.item_id, row.n_equal) for row in found.collect()} == {(1, 7, 15), (1, 8, 15)}
+
+
 def test_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), COLUMNS)
     items = [(1, None), (2, ""), (3, "too short"), (4, "the quick brown fox jumps over the lazy dog"), (4, "another"), (None, "x " * 20)]

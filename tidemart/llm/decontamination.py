@@ -220,17 +220,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             _regions(field), "doc_id long, start int, words array<long>, at array<int>, seeds array<long>"
         )
     )
-    hits = regions.select(
-        "doc_id", "start", F.explode(F.arrays_zip("at", "seeds")).alias("hit")
-    ).select("doc_id", "start", "hit.at", F.col("hit.seeds").alias("seed"))
+    # The words tell regions of rows that share an id apart.
+    regions = regions.withColumn("region", F.xxhash64("words"))
+    one = ["doc_id", "start", "region"]
+    hits = regions.select(*one, F.explode(F.arrays_zip("at", "seeds")).alias("hit"))
+    hits = hits.select(*one, "hit.at", F.col("hit.seeds").alias("seed"))
     places = (
         hits.join(seeds.hint("merge"), "seed")
-        .select("doc_id", "start", "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
+        .select(*one, "item_id", (F.col("at") - F.col("item_at")).alias("offset"))
         .distinct()
     )
     words = items.mapInArrow(_item_words, "item_id long, item_words array<long>")
     paired = (
-        places.join(regions.select("doc_id", "start", "words").dropDuplicates(["doc_id", "start"]), ["doc_id", "start"])
+        places.join(regions.select(*one, "words").dropDuplicates(one), one)
         .join(words.dropDuplicates(["item_id"]), "item_id")
         .select("doc_id", "start", "words", "item_id", "item_words", "offset")
     )
