@@ -241,8 +241,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         points.join(rooted, F.col("fp") == F.col("node")).groupBy("root").agg(F.min("first").alias("component"))
     )
     linked = rooted.join(first_of_root, "root").select("node", "component")
-    classes = points.join(linked, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("component", "first").alias("component_id")
+    # Written, so that the join below is between two plain tables and hot fingerprints can be split.
+    classes = checkpointed(
+        points.join(linked, F.col("fp") == F.col("node"), "left").select(
+            "fp", F.coalesce("component", "first").alias("component_id")
+        )
     )
     return marked.join(classes.hint("merge"), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
