@@ -35,6 +35,22 @@ def test_forest_corrects_the_form_by_the_neighbourhood(spark):
     assert {row.doc_id for row in found} == set(range(200, 300, 2))
 
 
+def test_few_keys_among_many_other_candidates(spark, monkeypatch):
+    """A hot group of copies and hundreds of times as many harmless candidates as keys fill no sample."""
+    monkeypatch.setattr(own, "SAMPLE", 150)
+    draw = np.random.default_rng(2)
+    letters, capitals = list("abcdefghijklmnopqrstuvwxyz"), list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    texts = [f"the page {''.join(draw.choice(letters, 24))}/index was read" for _ in range(1500)]
+    texts += [f"commit {draw.bytes(20).hex()} was merged" for _ in range(1500)]
+    texts += ["commit 0123456789abcdef0123456789abcdef01234567 was merged"] * 2000
+    texts += [f"the key AKIA{''.join(draw.choice(capitals, 16))} was there" for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {row.doc_id for row in own.scan(docs).collect()} == set(range(5000, 5006))
+    slim = docs.withColumn("path", own.F.lit(None).cast("string"))
+    sample = own._sample(own.candidates(slim, own.common_pieces(own.fragment_counts(docs)))).collect()
+    assert sorted(row.label for row in sample) == [0.0] * 150 + [1.0] * 6
+
+
 def test_counts_of_pieces(spark):
     docs = spark.createDataFrame([(1, "abcab"), (2, "ab"), (3, "cab"), (4, None), (5, "")], "doc_id long, text string")
     counts = own.fragment_counts(docs.repartition(2))

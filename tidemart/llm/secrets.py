@@ -7,9 +7,11 @@ around it, and the path it was found under. A random forest trained on labelled
 which candidates are secrets.
 
 The dictionary counts three-letter pieces over all documents; each task adds up its own counts in a
-table of fixed size. Labelled findings can be given. Where there are none, findings of a sample
-of bounded size (`SAMPLE` candidates with the lowest hashes) are labelled by the strict published
-formats of keys (`SIGNATURES`) together with what stands before them; the forest sees features only.
+table of fixed size. Labelled findings can be given. Where there are none, all candidates are labelled
+by the strict published formats of keys (`SIGNATURES`) together with what stands before them; the forest
+sees features only. It learns from a sample of bounded size: of each label the `SAMPLE` different
+candidates (by secret and features, so copies count once) with the lowest hashes. Both labels weigh the same
+in training, however rare one is.
 
 Defined results: null and empty texts have no candidates; every occurrence of a secret is a finding of its
 own; rows that share an id and a text repeat their findings; a null path is an empty one; if
@@ -189,18 +191,37 @@ def scan(docs: DataFrame, path: str | None = None, findings: DataFrame | None =
         (F.col(path) if path else F.lit(None)).cast("string").alias("path"),
     )
     found = checkpointed(candidates(slim, common_pieces(fragment_counts(docs))))
-    if findings is None:
-        order = F.xxhash64(F.lit("findings"), "doc_id", "at")
-        findings = found.orderBy(order, "doc_id", "at").limit(SAMPLE)
-    known = checkpointed(findings.select("label", array_to_vector("x").alias("features")))
+    findings = _sample(found) if findings is None else findings.withColumn("weight", F.lit(1.0))
+    known = checkpointed(findings.select("label", "weight", array_to_vector("x").alias("features")))
     labels = {row["label"] for row in known.select("label").distinct().limit(3).collect()}
     if len(labels) < 2:
         return _report(found.withColumn("score", F.lit(max(labels, default=0.0)).cast("double")))
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, subsamplingRate=0.8).fit(known)
+    forest = RandomForestClassifier(
+        numTrees=TREES, maxDepth=DEPTH, seed=11, subsamplingRate=0.8, weightCol="weight"
+    ).fit(known)
     scored = forest.transform(found.withColumn("features", array_to_vector("x")))
     return _report(scored.withColumn("score", F.element_at(vector_to_array("probability"), 2)))
 
 
+def _sample(found: DataFrame) -> DataFrame:
+    """label, x, weight of up to SAMPLE different candidates of each label, those with the lowest hashes."""
+    drawn = found.withColumn("draw", F.xxhash64(F.lit("findings"), "secret", "x"))
+    keys = drawn.select("label", "draw").distinct()
+    taken = {}
+    for label in (0.0, 1.0):
+        lowest = keys.where(F.col("label") == label).orderBy("draw").limit(SAMPLE)
+        row = lowest.agg(F.max("draw").alias("last"), F.count("*").alias("n")).first()
+        if row["n"]:
+            taken[label] = row
+    total = sum(row["n"] for row in taken.values())
+    within, weight = F.lit(False), F.lit(1.0)
+    for label, row in taken.items():
+        own = F.col("label") == label
+        within = within | (own & (F.col("draw") <= row["last"]))
+        weight = F.when(own, F.lit(total / (len(taken) * row["n"]))).otherwise(weight)
+    return drawn.where(within).dropDuplicates(["label", "draw"]).select("label", "x", weight.alias("weight"))
+
+
 def _report(scored: DataFrame) -> DataFrame:
     return scored.where("score >= 0.5").select(
         "doc_id",
