@@ -56,6 +56,34 @@ def test_brute_force(spark, monkeypatch, bits):
     assert got == {key: value for key, value in want.items() if value} and got
 
 
+def test_masks_of_every_length_miss_no_stretch():
+    for length in range(2, 16):
+        for broken in itertools.combinations(range(length), length // 5):
+            masks = own.FAMILIES.get(length) or [
+                [at + place for place in mask] for mask in own.MASKS[:3] for at in range(length - mask[-1])
+            ]
+            assert any(not set(mask) & set(broken) for mask in masks)
+    assert all(len(mask) >= min(length, 4) for length, family in own.FAMILIES.items() for mask in family)
+
+
+def test_short_and_unspaced_items_and_those_without_an_id(spark):
+    short = [" ".join(f"k{n}x{i}" for i in range(n)) for n in range(2, 13)]
+    chinese, thai = "今天天气很好，我们去公园散步", "วันนี้อากาศดีมาก"
+    items = [*enumerate(short, 2), (50, chinese), (51, thai), (None, "one item without any id at all"), (None, "another one that has no id"), (60, "first text of sixty"), (60, "second text of sixty")]
+    docs, want = [], set()
+    for item, text in items[:11]:
+        words = text.split()
+        for broken in itertools.combinations(range(item), item // 5):
+            want.add((len(docs), item))
+            docs.append((len(docs), " ".join(["aa", *("zz" if i in broken else w for i, w in enumerate(words)), "bb"])))
+        docs.append((len(docs), " ".join("zz" if i <= item // 5 else w for i, w in enumerate(words))))
+    for item, text in [(50, "他说" + chinese.replace("很", "不") + "。"), (51, "กก" + thai), (None, items[13][1]), (None, items[14][1]), (60, items[15][1]), (60, items[16][1])]:
+        want.add((len(docs), item))
+        docs.append((len(docs), text))
+    found = own.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    assert sorted((r.doc_id, r.item_id or 0) for r in found.collect()) == sorted((d, i or 0) for d, i in want)
+
+
 def test_planted_items_are_found_and_their_documents_go(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")

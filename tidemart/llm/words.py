@@ -25,12 +25,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def split_words(
-    flat: np.ndarray, offsets: np.ndarray, separator: np.ndarray
+    flat: np.ndarray, offsets: np.ndarray, separator: np.ndarray, breaks: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the n + 1 offsets of the texts among the words."""
+    """Start and end byte of every word, and the n + 1 offsets of the texts among the words.
+
+    A word also ends at each byte in `breaks`, where another may begin.
+    """
     inside = ~separator[flat]
     edge = np.zeros(len(flat) + 1, bool)
     edge[offsets] = True
+    if breaks is not None:
+        edge[breaks] = True
     before = np.r_[False, inside[:-1]] & ~edge[:-1]
     after = np.r_[inside[1:], False] & ~edge[1:]
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
