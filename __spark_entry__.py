@@ -192,7 +192,11 @@ def _library_sql() -> dict[str, str]:
         "daily_revenue_by_category_large_catalog": _REVENUE,
         "daily_revenue": f"""
             SELECT dt, category, event_type, event_count, total_revenue FROM ({_REVENUE})""",
-        "top_products_daily": f"WITH {_FACTS}, {_CATALOG} {_TOP_PRODUCTS}",
+        "top_products_daily": f"""
+            WITH {_FACTS}, {_CATALOG}, sold AS ({_TOP_PRODUCTS})
+            SELECT *, row_number() OVER (
+                       PARTITION BY dt ORDER BY revenue DESC NULLS LAST, product NULLS FIRST, category) AS rank
+            FROM sold""",
         "best_sellers_daily": f"""
             WITH {_FACTS}, {_CATALOG}, sold AS ({_TOP_PRODUCTS})
             SELECT *, CAST(row_number() OVER (
@@ -257,9 +261,8 @@ def _library_sql() -> dict[str, str]:
         "serial_keys": """
             WITH names AS (SELECT p_name AS name FROM part UNION SELECT s_name FROM supplier),
             used AS (SELECT max(p_partkey) AS last FROM part)
-            SELECT name, CAST(NULL AS VARCHAR) AS category, CAST(0 AS BIGINT) AS stock,
-                   CAST(last + 1 AS BIGINT) AS first_id,
-                   CAST(last + count(*) OVER () AS BIGINT) AS last_id, true AS without_gaps
+            SELECT last + row_number() OVER (ORDER BY name) AS product_id, name,
+                   CAST(NULL AS VARCHAR) AS category, CAST(0 AS BIGINT) AS stock
             FROM names, used""",
         "partition_overwrite": f"""
             WITH {_FACTS}

@@ -5,20 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.functions import bands
 from tidemart.operators.lookup import BROADCAST_BYTES, fits_broadcast
+from tidemart.operators.ranking import ranked
 from tidemart.session import checkpointed
 
-# Rows of a group that new rows are numbered in, about, and the least number of groups.
-NUMBERED_TOGETHER = 1_000_000
-NUMBERING_GROUPS = 1024
-
-_GROUP = "_group"
-_BEFORE = "_before"
-
 
 def product_defaults() -> dict[str, Column]:
     return {
@@ -132,20 +125,6 @@ def last_serial(existing: DataFrame, serial: str) -> int:
 
 
 def with_serial(rows: DataFrame, keys: Sequence[str], serial: str, last: int) -> DataFrame:
-    """Number rows without gaps from `last + 1`; `keys` must be unique.
-
-    Rows are numbered inside groups of hashed keys, each starting where the previous group
-    ends, so no task orders more than its group. The numbers depend on the keys alone.
-    """
-    rows = checkpointed(rows)
-    groups = max(NUMBERING_GROUPS, rows.count() // NUMBERED_TOGETHER)
-    grouped = rows.withColumn(_GROUP, F.pmod(F.xxhash64(*keys), F.lit(groups)))
-    sizes = grouped.groupBy(_GROUP).count()
-    # One small row for each group.
-    running = W.partitionBy(F.lit(0)).orderBy(_GROUP).rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select(_GROUP, F.coalesce(F.sum("count").over(running), F.lit(0)).alias(_BEFORE))
-    place = F.row_number().over(W.partitionBy(_GROUP).orderBy(*keys))
-    numbered = grouped.withColumn(serial, place).join(F.broadcast(starts), _GROUP)
-    return numbered.withColumn(serial, F.col(serial) + F.col(_BEFORE) + F.lit(last)).drop(
-        _GROUP, _BEFORE
-    )
+    """Number rows without gaps from `last + 1` in the order of their keys, which must be unique."""
+    numbered = ranked(rows, [], list(keys), serial)
+    return numbered.withColumn(serial, F.col(serial) + F.lit(last))

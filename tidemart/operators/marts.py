@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import money
 from tidemart.operators.events import catalog_names, known_category
 from tidemart.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
+from tidemart.operators.ranking import ranked
 from tidemart.schemas import (
     DAILY_REVENUE,
     HOURLY_COUNTS,
@@ -135,6 +136,15 @@ def best_sellers(mart: DataFrame, count: int) -> DataFrame:
     return ranked.filter(F.col("rank") <= count)
 
 
+def with_rank(mart: DataFrame) -> DataFrame:
+    """The product mart with the rank of every product in its day, the best seller first.
+
+    A day of any number of products is ranked by many tasks (see `ranking`).
+    """
+    order = [F.col("revenue").desc_nulls_last(), F.col("product"), F.col("category")]
+    return ranked(mart, ["dt"], order)
+
+
 def hourly_counts(facts: DataFrame) -> DataFrame:
     """Events per day, hour and event type."""
     return (

@@ -32,7 +32,7 @@ from tidemart.schemas import (
     USER_EVENTS,
     USER_EVENTS_PARTITIONS,
 )
-from tidemart.session import checkpointed, prepare, scratch_dir
+from tidemart.session import prepare, scratch_dir
 from tidemart.sinks.tables import append, overwrite_partitions
 from tidemart.sources.streams import file_stream
 from tidemart.sources.tables import partition_scan as scan_day
@@ -67,9 +67,9 @@ def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_products_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart as it is kept, without an order; `best_sellers_daily` ranks its days."""
+    """The mart with the rank of every product in its day."""
     prepare(spark)
-    return marts.top_products(_facts(spark, sf_dir), products(spark, sf_dir))
+    return marts.with_rank(marts.top_products(_facts(spark, sf_dir), products(spark, sf_dir)))
 
 
 def best_sellers_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,30 +204,15 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serial_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products numbered on insert: names of parts and suppliers, on top of the catalog.
-
-    The numbers follow hashes of the names, so of each row only its being numbered once, in the
-    range without gaps, is told.
-    """
+    """Products numbered on insert, in the order of their names: parts and suppliers on top of the catalog."""
     prepare(spark)
     names = given(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
     names = names.unionByName(given(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")))
-    catalog = products(spark, sf_dir)
     added = dimensions.rows_to_insert(
-        catalog, names, ["name"], ["name"], dimensions.product_defaults(), serial="product_id"
+        products(spark, sf_dir), names, ["name"], ["name"], dimensions.product_defaults(), serial="product_id"
     )
-    kept = checkpointed(added)
-    rows, first, last, ids = kept.agg(
-        F.count("*"), F.min("product_id"), F.max("product_id"), F.count_distinct("product_id")
-    ).first()
-    without_gaps = rows == ids and (rows == 0 or last - first + 1 == rows)
-    return kept.select(
-        "name",
-        "category",
-        F.col("stock").cast("long").alias("stock"),
-        F.lit(first).cast("long").alias("first_id"),
-        F.lit(last).cast("long").alias("last_id"),
-        F.lit(without_gaps).alias("without_gaps"),
+    return added.select(
+        F.col("product_id").cast("long").alias("product_id"), "name", "category", F.col("stock").cast("long").alias("stock")
     )
 
 
