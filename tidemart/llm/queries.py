@@ -18,6 +18,7 @@ from tidemart.llm.recompression import dedup_windows
 from tidemart.llm.secrets import scan
 from tidemart.llm.simhash import near_duplicates
 from tidemart.llm.suffixes import dedup_suffixes
+from tidemart.llm.toxicity import score_toxicity
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _QUERIES = (
     op1_decontamination,
     op2_sentencepiece,
@@ -73,6 +78,7 @@ _QUERIES = (
     op8_quality,
     op9_suffix_dedup,
     op10_fingerprints,
+    op12_toxicity,
 )
 
 
