@@ -12,6 +12,7 @@ from tidemart.llm.decontamination import leaks
 from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
 from tidemart.llm.lines import LINE_SQL, line_report
+from tidemart.llm.negatives import NEGATIVES_SQL, mine
 from tidemart.llm.pieces import encode_documents
 from tidemart.llm.quality import score_quality
 from tidemart.llm.recompression import dedup_windows
@@ -67,6 +68,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = (
     op1_decontamination,
     op2_sentencepiece,
@@ -79,6 +84,7 @@ _QUERIES = (
     op9_suffix_dedup,
     op10_fingerprints,
     op12_toxicity,
+    op13_hard_negatives,
 )
 
 
@@ -87,4 +93,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_SQL}
+    return {"op3_line_dedup": LINE_SQL, "op13_hard_negatives": NEGATIVES_SQL}
