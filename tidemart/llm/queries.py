@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm.batches import table
+from tidemart.llm.conversations import TRIE_SQL, prefix_trie
 from tidemart.llm.decontamination import leaks
 from tidemart.llm.fingerprints import fingerprint_documents
 from tidemart.llm.language import identify
@@ -64,6 +65,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -83,6 +88,7 @@ _QUERIES = (
     op8_quality,
     op9_suffix_dedup,
     op10_fingerprints,
+    op11_prefix_trie,
     op12_toxicity,
     op13_hard_negatives,
 )
@@ -93,4 +99,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINE_SQL, "op13_hard_negatives": NEGATIVES_SQL}
+    return {"op3_line_dedup": LINE_SQL, "op11_prefix_trie": TRIE_SQL, "op13_hard_negatives": NEGATIVES_SQL}
