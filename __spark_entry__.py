@@ -43,7 +43,9 @@ _QUERIES = (
     reports.raw_ingest,
     reports.ingest_stream,
     reports.raw_ingest_stream,
+    reports.compacted_events,
     reports.dq_report,
+    reports.dq_report_from_states,
     reports.dq_metrics_append,
     reports.quality_gate,
     reports.product_summary,
@@ -58,6 +60,8 @@ _QUERIES = (
     reports.events_per_minute,
     reports.events_per_minute_stream,
     reports.source_ready,
+    reports.source_ready_since_mark,
+    reports.late_days_rebuilt,
     reports.daily_marts,
     reports.daily_run,
 )
@@ -109,7 +113,7 @@ FROM events
 UNION ALL
 SELECT NULL, NULL, NULL, NULL FROM documents"""
 
-_RATIOS = """counts AS (
+_CHECKED = """counts AS (
     SELECT count(*) AS total,
            1.0 - count(*) FILTER (user_id IS NULL) / greatest(count(*), 1)::DOUBLE AS users,
            1.0 - count(*) FILTER (event_type IS NULL) / greatest(count(*), 1)::DOUBLE AS types,
@@ -118,7 +122,7 @@ _RATIOS = """counts AS (
                / greatest(count(*) FILTER (event_type = 'purchase'), 1)::DOUBLE AS amounts,
            1.0 - count(*) FILTER (event_type NOT IN ('signup', 'purchase', 'view', 'click'))
                / greatest(count(*), 1)::DOUBLE AS valid
-    FROM events
+    FROM present
 ),
 checks AS (
     SELECT 'row_count >= 1' AS check_name, total >= 1 AS passed,
@@ -129,6 +133,7 @@ checks AS (
         WHERE purchases > 0
     UNION ALL SELECT 'event_type in valid set', valid >= 0.99, round(valid, 4), 0.99 FROM counts
 )"""
+_RATIOS = f"present AS (SELECT * FROM events), {_CHECKED}"
 _STATUS = "CASE WHEN passed THEN 'SUCCESS' ELSE 'FAILURE' END AS status"
 
 
@@ -223,8 +228,14 @@ def _library_sql() -> dict[str, str]:
         "raw_ingest": _RAW,
         "ingest_stream": _ENRICHED,
         "raw_ingest_stream": _RAW,
+        "compacted_events": _ENRICHED,
         "dq_report": f"""
             WITH {_RATIOS} SELECT check_name, {_STATUS}, value, threshold FROM checks""",
+        "dq_report_from_states": f"""
+            WITH present AS (
+                SELECT * FROM events WHERE event_type <> 'error' OR strftime(ts, '%Y-%m-%d') <> '2024-01-15'
+            ), {_CHECKED}
+            SELECT check_name, {_STATUS}, value, threshold FROM checks""",
         "dq_metrics_append": f"""
             WITH {_RATIOS}
             SELECT unnest(['2024-01-30', '2024-01-31']) AS run_date, check_name, {_STATUS},
@@ -312,6 +323,12 @@ def _library_sql() -> dict[str, str]:
                    count(*) FILTER (ts > TIMESTAMP '2024-01-15') > 0 AS after_mid_month,
                    count(*) FILTER (ts > TIMESTAMP '2024-02-01') > 0 AS after_month
             FROM events""",
+        "source_ready_since_mark": """
+            SELECT probe, probe < 3 AS ready,
+                   CASE WHEN probe = 1 THEN (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15')
+                        ELSE (SELECT max(ts) FROM events) END AS mark
+            FROM (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS probe)""",
+        "late_days_rebuilt": _REVENUE,
         "daily_marts": _REVENUE,
         # A bad purchase stops the run before the marts; all event types count as valid here.
         "daily_run": f"""

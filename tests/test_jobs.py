@@ -35,7 +35,7 @@ def test_jobs_one_by_one(spark, deployment, capsys):
     assert main(["quality", *root, "--valid-types", "view"], spark) == 1
     captured = capsys.readouterr()
     assert "FAIL event_type in valid set" in captured.out
-    assert "1 quality check(s) failed" in captured.err
+    assert "fail 1 of their checks" in captured.err
     assert main(["marts", "2024-03-01", *root, *products], spark) == 0
     assert main(["marts", "--all-days", *root, *products], spark) == 0
     assert main(["summary", *root, *products], spark) == 0

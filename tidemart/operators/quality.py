@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tidemart.schemas import EVENT_TYPES, PURCHASE
+from tidemart.schemas import EVENT_TYPES, PURCHASE, QUALITY_STATES
 
 # Names and thresholds of the checks.
 ROW_COUNT_CHECK = "row_count >= 1"
@@ -30,24 +30,37 @@ class QualityGateError(RuntimeError):
 
     def __init__(self, failed: Sequence[str]):
         self.failed = list(failed)
-        super().__init__(f"{len(self.failed)} quality check(s) failed: {', '.join(self.failed)}")
+        super().__init__(f"the events fail {len(self.failed)} of their checks: {', '.join(self.failed)}")
 
 
-def profile(events: DataFrame, valid_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
-    """All counts the checks need, as one row from one scan of three columns.
-
-    NULL event types are incomplete but not invalid, and NULL amounts are not bad amounts.
-    """
+def _counts(valid_types: Sequence[str]) -> list[Column]:
+    """NULL event types are incomplete but not invalid, and NULL amounts are not bad amounts."""
     event_type, amount = F.col("event_type"), F.col("amount")
     is_purchase = event_type == PURCHASE
-    return events.agg(
+    return [
         F.count("*").alias("total"),
         F.count_if(F.col("user_id").isNull()).alias("null_users"),
         F.count_if(event_type.isNull()).alias("null_types"),
         F.count_if(is_purchase).alias("purchases"),
         F.count_if(is_purchase & (amount <= 0)).alias("bad_amounts"),
         F.count_if(~event_type.isin(*valid_types)).alias("invalid_types"),
-    )
+    ]
+
+
+def profile(events: DataFrame, valid_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """All counts the checks need, as one row from one scan of three columns."""
+    return events.agg(*_counts(valid_types))
+
+
+def daily_profile(events: DataFrame, valid_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """The same counts for every day: states that can be kept, replaced day by day and added up."""
+    return events.groupBy("dt").agg(*_counts(valid_types)).select(*QUALITY_STATES.fieldNames())
+
+
+def summed_profile(states: DataFrame) -> DataFrame:
+    """The counts of all days together; without any day they are 0."""
+    names = [name for name in QUALITY_STATES.fieldNames() if name != "dt"]
+    return states.agg(*[F.coalesce(F.sum(name), F.lit(0).cast("long")).alias(name) for name in names])
 
 
 def _share_without(bad: str, total: Column) -> Column:
@@ -66,11 +79,15 @@ def _check(name: str, passed: Column, value: Column, threshold: float) -> Column
 def report(
     events: DataFrame, valid_types: Sequence[str] = EVENT_TYPES, min_rows: int = MIN_ROWS
 ) -> DataFrame:
-    """One row per check. Without any purchase there is no purchase check.
+    """One row per check, from one scan of the events."""
+    return report_of(profile(events, valid_types), min_rows)
+
+
+def report_of(counts: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """One row per check from the counts of a profile. Without any purchase there is no purchase check.
 
     Values are rounded for display; the status follows the exact ratio.
     """
-    counts = profile(events, valid_types)
     total = F.col("total")
     ratios = [
         (USER_ID_CHECK, _share_without("null_users", total), MIN_RATIO),

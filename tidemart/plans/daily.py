@@ -21,6 +21,7 @@ from tidemart.plans.layout import (
     EVENTS,
     HOURLY,
     QUALITY_LOG,
+    QUALITY_STATES,
     RAW_EVENTS,
     REVENUE,
     TOP_PRODUCTS,
@@ -30,14 +31,17 @@ from tidemart.plans.layout import (
 )
 from tidemart.schemas import EVENT_TYPES
 from tidemart.sinks.jdbc import append_jdbc
-from tidemart.sources.tables import partition_scan
-from tidemart.streaming.runs import Report, finish, start_event_ingest, start_raw_ingest
+from tidemart.sources.tables import NO_DAY, partition_scan
+from tidemart.streaming.runs import Report, finish, start_event_ingest, start_raw_ingest, touched_days
 
 log = logging.getLogger(__name__)
 
 
 Layout = FolderLayout | CatalogLayout
 
+# What a run over the touched days is noted as.
+TOUCHED = "touched"
+
 
 @dataclass
 class DailyOutcome:
@@ -46,6 +50,8 @@ class DailyOutcome:
     ready: bool
     ingested: int = 0
     checks: list = field(default_factory=list)
+    # The days built, where only touched ones were.
+    days: list = field(default_factory=list)
 
 
 def utc_today() -> date:
@@ -122,6 +128,42 @@ def note_built(spark: SparkSession, layout: Layout, day: str | None, batch: int)
     row.coalesce(1).write.mode("append").json(f"{layout.checkpoint(EVENTS)}-daily-runs")
 
 
+def touched_since_built(spark: SparkSession, layout: Layout, last: int) -> list[str]:
+    """Days with rows from micro-batches that no run over all or all touched days has seen yet, up to `last`."""
+    if layout.as_table:
+        raise ValueError("only streams into folders take down which days they touch")
+    try:
+        runs = _finished_runs(spark, layout).where(F.col("day").isin("all", TOUCHED))
+        built = runs.agg(F.max("batch").alias("batch")).first()["batch"]
+    except PySparkException:
+        built = None
+    return touched_days(spark, layout.checkpoint(EVENTS), -1 if built is None else built, last)
+
+
+def refresh_states(
+    spark: SparkSession, layout: Layout, days: Sequence[str], valid_types: Sequence[str] = EVENT_TYPES
+) -> None:
+    """Count what the checks need anew for some days and keep it; only these days are read.
+
+    A day that has no events any more loses its counts. All days have to be counted with the same valid types.
+    """
+    if not days:
+        return
+    counted = quality.daily_profile(layout.read_days(spark, EVENTS, days), valid_types).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        layout.replace_partitions(counted, QUALITY_STATES)
+        present = {row["dt"] or NO_DAY for row in counted.select("dt").collect()}
+        for day in set(days) - present:
+            layout.replace_day(counted, QUALITY_STATES, day)
+    finally:
+        counted.unpersist()
+
+
+def report_from_states(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The checks of the whole table from the counts that are kept of its days."""
+    return quality.report_of(quality.summed_profile(layout.read(spark, QUALITY_STATES)))
+
+
 def check_quality(
     events: DataFrame,
     layout: Layout,
@@ -135,7 +177,18 @@ def check_quality(
     The events are scanned once. `metrics_jdbc` are the settings of `append_jdbc` where the log is kept
     in a database as well.
     """
-    checks = quality.report(events, valid_types).persist(StorageLevel.MEMORY_AND_DISK)
+    return conclude(quality.report(events, valid_types), layout, run_date, show, metrics_jdbc)
+
+
+def conclude(
+    checks: DataFrame,
+    layout: Layout,
+    run_date: str,
+    show: Callable[[str], None] = log.info,
+    metrics_jdbc: dict | None = None,
+) -> list:
+    """Log and show a report, and raise if a check failed."""
+    checks = checks.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = quality.metrics_log(checks, run_date).coalesce(1)
         layout.append(rows, QUALITY_LOG)
@@ -197,9 +250,14 @@ def run_daily(
     skip_built: bool = False,
     report: Report | None = None,
     metrics_jdbc: dict | None = None,
+    touched: bool = False,
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
+    With `touched`, the marts of exactly those days are built that have rows from micro-batches since the last
+    such run, so rows that come late reach the marts of their day. The checks are then made from counts
+    kept by day, and other days are not read at all.
+
     `checked_day` limits the checks to one day of a table too large to check whole. `ready`
     is the answer of `source_ready`; without data the run is skipped, not failed. With `skip_built`
     it is also skipped if there was nothing new to ingest since the last run for this day that ended well.
@@ -209,10 +267,18 @@ def run_daily(
         return DailyOutcome(ready=False)
     ingested = finish(ingest_events(wire, products, layout, report=report))
     batch = last_batch(spark, layout.checkpoint(EVENTS))
-    if skip_built and already_built(spark, layout, day, batch):
+    if skip_built and already_built(spark, layout, TOUCHED if touched else day, batch):
         return DailyOutcome(ready=False)
-    events = layout.read(spark, EVENTS)
-    checked = events if checked_day is None else partition_scan(events, checked_day)
+    if touched:
+        days = touched_since_built(spark, layout, batch)
+        refresh_states(spark, layout, days, valid_types)
+        checks = conclude(report_from_states(spark, layout), layout, run_date, metrics_jdbc=metrics_jdbc)
+        if days:
+            build_marts(layout.read_days(spark, EVENTS, days), products, layout)
+        note_built(spark, layout, TOUCHED, batch)
+        return DailyOutcome(ready=True, ingested=ingested, checks=checks, days=days)
+    events = layout.read(spark, EVENTS) if day is None else layout.read_days(spark, EVENTS, [day])
+    checked = layout.read(spark, EVENTS) if checked_day is None else layout.read_days(spark, EVENTS, [checked_day])
     checks = check_quality(checked, layout, run_date, valid_types, metrics_jdbc=metrics_jdbc)
     build_marts(events, products, layout, day)
     note_built(spark, layout, day, batch)

@@ -13,6 +13,7 @@ from tidemart.operators import quality
 from tidemart.operators.marts import event_type_summary, top_sales, with_measures
 from tidemart.plans import daily
 from tidemart.plans.layout import EVENTS, CatalogLayout, FolderLayout
+from tidemart.plans.readiness import HighWater, files_after, kafka_after
 from tidemart.schemas import EVENT_TYPES
 from tidemart.session import build_session, prepare
 from tidemart.sources.jdbc import JdbcSplit, read_jdbc
@@ -159,29 +160,32 @@ def _marts(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def _daily(spark: SparkSession, options: argparse.Namespace) -> None:
-    records = spark.read.text(options.wire_dir) if options.wire_dir else _kafka_records(spark, options)
+    layout = _layout(options)
+    if options.wire_dir:
+        records_after = files_after(spark, options.wire_dir)
+    else:
+        records_after = kafka_after(spark, options.servers, options.topic)
+    source = HighWater(spark, f"{layout.checkpoint(EVENTS)}-high-water", records_after)
+    # Without anything new, a day can still be built that has not been.
     outcome = daily.run_daily(
         spark,
         _wire(spark, options),
         _products(spark, options),
-        _layout(options),
+        layout,
         options.run_date,
         options.day,
-        daily.source_ready(records),
+        source.probe() or source.mark() is not None,
         options.valid_types,
         None if options.check_all else options.checked_day or options.day,
         skip_built=True,
         report=_print_batch,
         metrics_jdbc=metrics_jdbc(options),
+        touched=options.touched,
     )
+    source.keep()
     print(f"ingested {outcome.ingested} events" if outcome.ready else "nothing to do")
 
 
-def _kafka_records(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
-    reader = spark.read.format("kafka").option("kafka.bootstrap.servers", options.servers)
-    return reader.option("subscribe", options.topic).load()
-
-
 def _summary(spark: SparkSession, options: argparse.Namespace) -> None:
     facts = with_measures(_events(spark, options))
     event_type_summary(facts).show(truncate=False)
@@ -227,7 +231,8 @@ def parser() -> argparse.ArgumentParser:
     _catalog_arguments(marts)
 
     whole = command("daily", _daily, "ingest, check and build the marts")
-    whole.add_argument("day", help="day of the marts")
+    whole.add_argument("day", nargs="?", help="day of the marts, by default all days")
+    whole.add_argument("--touched", action="store_true", help="build exactly the days that have got new rows")
     _stream_arguments(whole, starting="earliest", tolerant=True)
     _catalog_arguments(whole)
     whole.add_argument("--run-date", default=daily.utc_today().isoformat())

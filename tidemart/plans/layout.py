@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart import schemas
@@ -31,7 +32,8 @@ TOP_PRODUCTS = Table("analytics", "top_products_daily", schemas.TOP_PRODUCTS, sc
 HOURLY = Table("analytics", "hourly_event_counts", schemas.HOURLY_COUNTS, schemas.MART_PARTITIONS)
 DAILY_REVENUE = Table("analytics", "daily_revenue", schemas.DAILY_REVENUE, schemas.MART_PARTITIONS)
 QUALITY_LOG = Table("quality", "data_quality_metrics", schemas.QUALITY_METRICS)
-TABLES = (EVENTS, RAW_EVENTS, REVENUE, TOP_PRODUCTS, HOURLY, DAILY_REVENUE, QUALITY_LOG)
+QUALITY_STATES = Table("quality", "quality_states", schemas.QUALITY_STATES, schemas.MART_PARTITIONS)
+TABLES = (EVENTS, RAW_EVENTS, REVENUE, TOP_PRODUCTS, HOURLY, DAILY_REVENUE, QUALITY_LOG, QUALITY_STATES)
 
 
 # Formats whose tables are just the files of a folder.
@@ -64,6 +66,10 @@ class FolderLayout:
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         return sources.read_table(spark, self.place(table), table.schema, self.table_format)
 
+    def read_days(self, spark: SparkSession, table: Table, days: Sequence[str]) -> DataFrame:
+        """Days of a table partitioned by `dt` first, without a look at the others."""
+        return sources.read_days(spark, self.place(table), table.schema, days, self.table_format)
+
     def append(self, rows: DataFrame, table: Table) -> None:
         sinks.append(rows, self.place(table), table.partition_by, self.table_format, self.spread)
 
@@ -106,6 +112,10 @@ class CatalogLayout:
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         return sources.catalog_table(spark, self.place(table)).select(*table.schema.fieldNames())
 
+    def read_days(self, spark: SparkSession, table: Table, days: Sequence[str]) -> DataFrame:
+        day = F.col("dt")
+        return self.read(spark, table).where(F.coalesce(day, F.lit(sources.NO_DAY)).isin(*days))
+
     def append(self, rows: DataFrame, table: Table) -> None:
         sinks.append_catalog_table(rows, self.place(table), table.partition_by)
 

@@ -22,7 +22,8 @@ from tidemart.given import (
 )
 from tidemart.operators import dimensions, events, marts, metrics, quality
 from tidemart.plans import daily
-from tidemart.plans.layout import DAILY_REVENUE, REVENUE, FolderLayout
+from tidemart.plans.layout import DAILY_REVENUE, EVENTS, REVENUE, FolderLayout
+from tidemart.plans.readiness import ARRIVED, HighWater
 from tidemart.schemas import (
     CUSTOMERS,
     HOURLY_COUNTS,
@@ -33,10 +34,10 @@ from tidemart.schemas import (
     USER_EVENTS_PARTITIONS,
 )
 from tidemart.session import prepare, scratch_dir
-from tidemart.sinks.tables import append, overwrite_partitions
+from tidemart.sinks.compaction import compact_day
+from tidemart.sinks.tables import append, overwrite_day, overwrite_partitions
 from tidemart.sources.streams import file_stream
-from tidemart.sources.tables import partition_scan as scan_day
-from tidemart.sources.tables import read_table
+from tidemart.sources.tables import read_days, read_table
 from tidemart.streaming import runs
 
 
@@ -97,7 +98,7 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_dir(spark, "partition-scan")
     facts = user_events(spark, sf_dir).drop("category")
     append(facts, target, USER_EVENTS_PARTITIONS)
-    return scan_day(read_table(spark, target, facts.schema), "2024-01-15")
+    return read_days(spark, target, facts.schema, ["2024-01-15"])
 
 
 # --- ingest ---------------------------------------------------------------------------------
@@ -149,6 +150,18 @@ def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_table(spark, f"{root}/events", RAW_EVENTS), "amount")
 
 
+def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that came in four micro-batches, after two of their days have been put together."""
+    prepare(spark)
+    root = scratch_dir(spark, "compacted")
+    wire_events(spark, sf_dir).repartition(4).write.parquet(f"{root}/wire")
+    wire = file_stream(spark, f"{root}/wire", "parquet", max_files_per_trigger=1)
+    runs.finish(runs.start_event_ingest(wire, products(spark, sf_dir), f"{root}/events", f"{root}/checkpoint"))
+    for day in ("2024-01-15", "2024-01-16"):
+        compact_day(spark, f"{root}/events", day, USER_EVENTS)
+    return read_table(spark, f"{root}/events", USER_EVENTS)
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
@@ -166,6 +179,21 @@ def dq_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target, QUALITY_METRICS).drop("created_at")
 
 
+def dq_report_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks from counts kept by day, after one day has been replaced and only that day read again."""
+    prepare(spark)
+    layout = FolderLayout(scratch_dir(spark, "quality-states"))
+    facts = user_events(spark, sf_dir).drop("category")
+    place, levels = layout.place(EVENTS), USER_EVENTS_PARTITIONS
+    append(facts, place, levels)
+    days = [row["dt"] for row in facts.select("dt").distinct().collect()]
+    daily.refresh_states(spark, layout, days, HEALTHY_TYPES)
+    corrected = facts.where((F.col("dt") == "2024-01-15") & (F.col("event_type") != "error"))
+    overwrite_day(corrected, place, "2024-01-15", partition_by=levels[1:])
+    daily.refresh_states(spark, layout, ["2024-01-15"], HEALTHY_TYPES)
+    return daily.report_from_states(spark, layout)
+
+
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(dq_report(spark, sf_dir))
 
@@ -302,6 +330,42 @@ def source_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(*[F.lit(answer).alias(name) for name, answer in answers.items()])
 
 
+def source_ready_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three probes: of the first half of the month, of all of it, and when nothing has come since."""
+    prepare(spark)
+    records = given(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias(ARRIVED))
+    first_half = records.where(F.col(ARRIVED) < "2024-01-15 00:00:00")
+    folder = scratch_dir(spark, "high-water")
+    seen = []
+    for there in (first_half, records, records):
+        source = HighWater(spark, folder, lambda mark, there=there: there)
+        ready = source.probe()
+        source.keep()
+        seen.append((len(seen) + 1, ready, source.mark()))
+    return spark.createDataFrame(seen, "probe int, ready boolean, mark timestamp")
+
+
+def late_days_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue mart after rows of the first half of the month came late and only its days were built again."""
+    prepare(spark)
+    root = scratch_dir(spark, "late-days")
+    layout = FolderLayout(root)
+    late = (F.get_json_object(F.col("value").cast("string"), "$.ts") < "2024-01-16") & (F.xxhash64("value") % 4 == 0)
+    is_late = F.coalesce(late, F.lit(False))
+    for part in (~is_late, is_late):
+        wire_events(spark, sf_dir).where(part).write.mode("append").parquet(f"{root}/wire")
+        daily.run_daily(
+            spark,
+            file_stream(spark, f"{root}/wire", "parquet"),
+            products(spark, sf_dir),
+            layout,
+            run_date="2024-01-31",
+            valid_types=(*HEALTHY_TYPES, "error"),
+            touched=True,
+        )
+    return layout.read(spark, REVENUE)
+
+
 def daily_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All marts built from one scan and written; the result is the revenue mart."""
     prepare(spark)

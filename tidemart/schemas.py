@@ -56,6 +56,12 @@ QUALITY_METRICS = _schema(
     ("value", _text), ("threshold", _text), ("created_at", _time),
 )
 
+# Counts of the quality checks, kept by day.
+QUALITY_STATES = _schema(
+    ("total", _long), ("null_users", _long), ("null_types", _long), ("purchases", _long),
+    ("bad_amounts", _long), ("invalid_types", _long), ("dt", _text),
+)
+
 # Metric samples.
 METRIC_SAMPLES = _schema(
     ("metric", _text), ("labels", T.MapType(_text, _text)), ("ts", _time), ("value", _double)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Folder level below the partitions of a table, with the query and the micro-batch that wrote them.
+BATCH = "batch"
+
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -81,6 +84,7 @@ def overwrite_partitions(
     partition_by: Sequence[str] = ("dt",),
     table_format: str = "parquet",
     spread: int | None = None,
+    balance: bool = True,
 ) -> None:
     """Replace exactly the partitions present in `rows`; the others stay untouched.
 
@@ -88,7 +92,7 @@ def overwrite_partitions(
     their old partition in place.
     """
     (
-        balanced(rows, partition_by, spread)
+        (balanced(rows, partition_by, spread) if balance else rows)
         .write.format(table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -97,26 +101,38 @@ def overwrite_partitions(
     )
 
 
-def overwrite_folder(
+def overwrite_batch(
     rows: DataFrame,
     path: str,
+    batch: str,
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
 ) -> None:
-    """Replace everything below `path`. Tasks put their files in place themselves, as a failed write is repeated."""
-    writer = balanced(rows, partition_by).write.format(table_format).mode("overwrite")
-    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    """Put the rows of one batch into its own folder of each table partition, in place of what it wrote before.
+
+    The folders of a partition stay below it, so reading a day lists that day and no other. Files are written
+    aside and moved when all of them are there.
+    """
+    named = balanced(rows, partition_by).withColumn(BATCH, F.lit(batch))
+    overwrite_partitions(named, path, (*partition_by, BATCH), table_format, balance=False)
 
 
 def overwrite_day(
-    rows: DataFrame, path: str, day: str, day_column: str = "dt", table_format: str = "parquet"
+    rows: DataFrame,
+    path: str,
+    day: str,
+    day_column: str = "dt",
+    table_format: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Replace the partition of one day by the rows of that day, also where there are none left."""
+    """Replace the partition of one day by the rows of that day, also where there are none left.
+
+    `partition_by` are the levels below the day.
+    """
     own = rows.filter(F.col(day_column) == day).drop(day_column)
-    own.hint("rebalance").write.format(table_format).mode("overwrite").save(f"{path}/{day_column}={day}")
+    writer = own.hint("rebalance", *partition_by).write.format(table_format).mode("overwrite")
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    writer.save(f"{path}/{day_column}={day}")
 
 
 def overwrite_catalog_day(rows: DataFrame, table: str, day: str, day_column: str = "dt") -> None:

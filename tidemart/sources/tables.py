@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,28 @@ def read_table(
     return reader.schema(schema).load(location).select(*schema.fieldNames())
 
 
+# Fixed value: the name of the partition of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def read_days(
+    spark: SparkSession,
+    location: str,
+    schema: T.StructType,
+    days: Sequence[str],
+    table_format: str = "parquet",
+) -> DataFrame:
+    """Some days of a table of folders whose first level is `dt`; the files of other days are not even listed."""
+    reader = spark.read.format(table_format).schema(schema).option("basePath", location)
+    try:
+        found = reader.load(f"{location}/dt={{{','.join(days)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return found.select(*schema.fieldNames())
+
+
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     """Scan a table by name from whichever catalog the session has (Hive, Iceberg, ...)."""
     return spark.read.table(name)

@@ -2,10 +2,12 @@
 
 A checkpoint belongs to one query and one target. Restarting a run on its checkpoint continues
 where it stopped and adds nothing twice. Into folders each micro-batch is written by itself, as an
-ordinary batch: to a folder named by the id of the query and the number of the micro-batch, which
-a repeated micro-batch replaces. No log of files is kept, so neither the driver nor readers depend on
-how much was ever written, and joins and writes of a micro-batch are planned by its own size. Into
-catalog tables with their own metadata Spark's native sink writes.
+ordinary batch: to folders named by the id of the query and the number of the micro-batch, below the
+partitions of the table, which a repeated micro-batch replaces. No log of files is kept, joins and writes of
+a micro-batch are planned by its own size, and reading a day lists that day only. The days a micro-batch has
+rows of are noted beside the checkpoint, so that their marts can be built again; folders of finished
+micro-batches can be put together (see `sinks.compaction`). Into catalog tables with their own metadata
+Spark's native sink writes.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ import logging
 import threading
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
@@ -23,7 +26,9 @@ from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.operators.metrics import throughput
 from tidemart.schemas import RAW_EVENTS, USER_EVENTS, USER_EVENTS_PARTITIONS
 from tidemart.session import ADAPTIVE_STREAMS
-from tidemart.sinks.tables import balanced, ensure_folder, overwrite_folder
+from tidemart.sinks.compaction import merged_days
+from tidemart.sinks.tables import balanced, ensure_folder, overwrite_batch
+from tidemart.sources.tables import NO_DAY
 
 log = logging.getLogger(__name__)
 
@@ -34,8 +39,10 @@ STANDING_INTERVAL = "60 seconds"
 # has no adaptive execution.
 STREAM_SALTS = 16
 
-# Folder level above the partitions of a table, with the query and the micro-batch that wrote them.
-BATCH = "batch"
+# Micro-batches whose notes about days share a folder.
+NOTED_TOGETHER = 1000
+
+DAY = "dt"
 
 _OBSERVED = "written"
 
@@ -123,12 +130,25 @@ def _start_batches(
     count = _Count(name, report)
     started = threading.Event()
     writes_as: list[str] = []
+    seen: set[int] = set()
 
     def write(batch: DataFrame, number: int) -> None:
         started.wait()
+        spark, written_as = batch.sparkSession, f"{writes_as[0]}-{number}"
+        rows = rows_of(batch)
+        if DAY in partition_by and not seen:
+            # Only the first micro-batch of a run can be a repeated one. It leaves alone the days in which its
+            # rows have been put together with others.
+            merged = merged_days(spark, target, written_as)
+            rows = rows.where(F.col(DAY).isNull() | ~F.col(DAY).isin(*merged)) if merged else rows
+        seen.add(number)
+        counted = [F.count(F.lit(1)).alias("rows")]
+        if DAY in partition_by:
+            # At most as many as there are days in one micro-batch.
+            counted.append(F.collect_set(F.coalesce(DAY, F.lit(NO_DAY))).alias("days"))
         observation = Observation(f"{_OBSERVED}-{number}")
-        rows = rows_of(batch).observe(observation, F.count(F.lit(1)).alias("rows"))
-        overwrite_folder(rows, f"{target}/{BATCH}={writes_as[0]}-{number}", partition_by, table_format)
+        overwrite_batch(rows.observe(observation, *counted), target, written_as, partition_by, table_format)
+        note_days(spark, checkpoint, number, observation.get.get("days") or [])
         count.add(number, observation.get["rows"])
 
     query = _writer(wire, checkpoint, name, every).foreachBatch(write).start()
@@ -140,6 +160,32 @@ def _start_batches(
     return query
 
 
+def _notes(checkpoint: str, number: int) -> str:
+    return f"{checkpoint}-days/from={number // NOTED_TOGETHER * NOTED_TOGETHER}"
+
+
+def note_days(spark: SparkSession, checkpoint: str, number: int, days: Sequence[str]) -> None:
+    """Take down which days a micro-batch has rows of."""
+    if days:
+        rows = spark.createDataFrame([(number, day) for day in days], "number long, day string")
+        rows.coalesce(1).write.mode("append").json(_notes(checkpoint, number))
+
+
+def touched_days(spark: SparkSession, checkpoint: str, after: int, last: int) -> list[str]:
+    """Days that micro-batches after `after`, up to `last`, have rows of; only their notes are read."""
+    days: set[str] = set()
+    for start in range((after + 1) // NOTED_TOGETHER * NOTED_TOGETHER, last + 1, NOTED_TOGETHER):
+        try:
+            notes = spark.read.schema("number long, day string").json(_notes(checkpoint, start))
+            rows = notes.where((F.col("number") > after) & (F.col("number") <= last)).select("day").distinct().collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        days.update(row["day"] for row in rows)
+    return sorted(days)
+
+
 def start_event_ingest(
     wire: DataFrame,
     products: DataFrame,
