@@ -16,6 +16,7 @@ import logging
 import threading
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,18 @@ class _Count(StreamingQueryListener):
 _COUNTS: dict[str, _Count] = {}
 
 
+def _observed(observation: Observation) -> dict:
+    """What has been observed of rows that are written.
+
+    Where Spark finds out on the way that there are no rows, it leaves out what observes them, and the
+    observation has no value that could be read.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {"rows": 0}
+
+
 def _writer(rows: DataFrame, checkpoint: str, name: str, every: str | None) -> DataStreamWriter:
     writer = rows.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
@@ -148,8 +161,9 @@ def _start_batches(
             counted.append(F.collect_set(F.coalesce(DAY, F.lit(NO_DAY))).alias("days"))
         observation = Observation(f"{_OBSERVED}-{number}")
         overwrite_batch(rows.observe(observation, *counted), target, written_as, partition_by, table_format)
-        note_days(spark, checkpoint, number, observation.get.get("days") or [])
-        count.add(number, observation.get["rows"])
+        seen_rows = _observed(observation)
+        note_days(spark, checkpoint, number, seen_rows.get("days", []))
+        count.add(number, seen_rows["rows"])
 
     query = _writer(wire, checkpoint, name, every).foreachBatch(write).start()
     # The id stays that of the checkpoint when a run is started again.
