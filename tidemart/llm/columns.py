@@ -19,3 +19,10 @@ def named(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(
         *[F.col(name).cast(kinds[name]).alias(name) if name in kinds else F.col(name) for name in columns]
     )
+
+
+def set_apart(docs: DataFrame, used: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stage that reads `used` and may add columns of any name; the columns of docs, with their values."""
+    hidden = {name: f"_own_{number}" for number, name in enumerate(docs.columns) if name not in used}
+    done = stage(docs.withColumnsRenamed(hidden))
+    return done.select(*[F.col(hidden.get(name, name)).alias(name) for name in docs.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.llm.batches import blocks, texts_of
-from tidemart.llm.columns import named
+from tidemart.llm.columns import named, set_apart
 
 ORDER = 3
 DOCS_PER_LANGUAGE = 1500
@@ -277,5 +277,9 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
 
     Rejected are texts without a letter and those that no language explains better than the others together.
     """
-    found = predict(docs, train(docs))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)
+    model = train(docs)
+
+    def identified(rows: DataFrame) -> DataFrame:
+        return predict(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+
+    return set_apart(docs, ("text",), identified)
