@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.batches import table
+from tidemart.llm.columns import set_apart
 from tidemart.llm.decontamination import without_leaks
 from tidemart.llm.language import keep_identified
 from tidemart.llm.lines import dedup_lines
@@ -35,7 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = [
         F.length("text").cast("long").alias(name) if name == "n_chars" else F.col(name) for name in docs.columns
     ]
-    return dedup_lines(docs).select(*columns)
+    return set_apart(docs, ("doc_id", "text"), dedup_lines).select(*columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
