@@ -50,6 +50,21 @@ def test_daily_job(spark, deployment, capsys):
     assert "ingested 3 events" in capsys.readouterr().out
 
 
+def test_touched_days_and_compaction(spark, deployment, capsys):
+    shared = [*deployment["root"], *deployment["wire"], *deployment["products"]]
+    assert main(["daily", "--touched", *shared], spark) == 0
+    assert "ingested 3 events" in capsys.readouterr().out
+    mart = deployment["path"] / "lake" / "analytics" / "hourly_event_counts"
+    assert spark.read.parquet(str(mart)).first()["event_count"] == 3
+    assert main(["compact", "2024-03-01", *deployment["root"]], spark) == 0
+    assert "put the files of 2024-03-01 together" in capsys.readouterr().out
+    assert main(["compact", "2024-03-01", *deployment["root"]], spark) == 0
+    assert "nothing to do" in capsys.readouterr().out
+    assert main(["daily", "--touched", *shared], spark) == 0
+    assert "nothing to do" in capsys.readouterr().out
+    assert main(["quality", *deployment["root"]], spark) == 0
+
+
 def test_setup_creates_all_tables(spark, tmp_path):
     for _ in range(2):
         assert main(["setup", "--root", str(tmp_path)], spark) == 0

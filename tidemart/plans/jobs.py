@@ -16,6 +16,7 @@ from tidemart.plans.layout import EVENTS, CatalogLayout, FolderLayout
 from tidemart.plans.readiness import HighWater, files_after, kafka_after
 from tidemart.schemas import EVENT_TYPES
 from tidemart.session import build_session, prepare
+from tidemart.sinks.compaction import compact_day
 from tidemart.sources.jdbc import JdbcSplit, read_jdbc
 from tidemart.sources.streams import file_stream, kafka_stream
 from tidemart.sources.tables import partition_scan, read_table
@@ -192,6 +193,14 @@ def _summary(spark: SparkSession, options: argparse.Namespace) -> None:
     top_sales(spark, facts, _products(spark, options)).show(truncate=False)
 
 
+def _compact(spark: SparkSession, options: argparse.Namespace) -> None:
+    layout = _layout(options)
+    if layout.as_table:
+        raise ValueError("formats with their own metadata have compaction of their own")
+    done = compact_day(spark, layout.place(EVENTS), options.day, EVENTS.schema, layout.table_format)
+    print(f"put the files of {options.day} together" if done else "nothing to do")
+
+
 def _setup(spark: SparkSession, options: argparse.Namespace) -> None:
     CatalogLayout(f"{options.root}/checkpoints", options.catalog, options.table_format).prepare(spark)
 
@@ -244,6 +253,9 @@ def parser() -> argparse.ArgumentParser:
     summary = command("summary", _summary, "print totals by event type and the best-selling products")
     _catalog_arguments(summary)
 
+    compact = command("compact", _compact, "put the files of a day together while no stream writes")
+    compact.add_argument("day", nargs="?", default=daily.utc_yesterday().isoformat())
+
     command("setup", _setup, "create the catalog tables")
     return top
 
