@@ -185,10 +185,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = first[many]
         take = np.r_[settled, lone, groups]
         kind = np.r_[np.zeros(len(settled)), np.ones(len(lone)), np.full(len(groups), 2)].astype(np.int32)
-        # What is settled needs not meet others of its window any more and is spread.
-        one[settled] = mixed(name[settled].view(np.uint64))
+        # What is settled needs not meet others of its window any more and is spread; one of its group may go on as well.
+        one = np.r_[mixed(name[settled].view(np.uint64)), one[lone], one[groups]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c[take].view(np.int64)) for c in (one, two, doc, name)] + [pa.array(kind)],
+            [pa.array(c.view(np.int64)) for c in (one, *(c[take] for c in (two, doc, name)))] + [pa.array(kind)],
             ["w1", "w2", "doc_id", "verdict", "weight"],
         )
 
