@@ -20,7 +20,7 @@ def _digest(data: bytes) -> str:
 
 def _bytes_by_force(rows: list[tuple]) -> list[tuple]:
     first: dict[bytes, int] = {}
-    low = -(1 << 62)
+    low = -(1 << 63)
     data = [(low if doc is None else doc, (text or "").encode()) for doc, text in rows]
     for doc, text in sorted(data):
         for at in range(len(text) - 49):
@@ -144,7 +144,7 @@ def test_steps_change_no_anchor(monkeypatch):
 def test_blocks_of_buckets_change_nothing(monkeypatch):
     draw = random.Random(6)
     base = [bytes(draw.choices(b"abc", k=70)) for _ in range(9)]
-    rows = [(b // 3, doc, doc << 20, base[b][(at := draw.randint(0, 15)) : at + draw.randint(50, 55)]) for b in range(9) for doc in range(6)]
+    rows = [(b // 3, doc, doc << 20, base[b][(at := draw.randint(0, 15)) : at + draw.randint(50, 55)], doc % 2) for b in range(9) for doc in range(6)]
     rows.sort()
     batches = [suffixes._rows(*zip(*rows[i : i + 7], strict=True)) for i in range(0, len(rows), 7)]
 
@@ -185,6 +185,39 @@ def test_symbols_are_determined_by_their_intervals():
                 assert (int(name[place]), int(begin[place] - low[place])) in again
 
 
+def _sharing(kind: str) -> list[tuple]:
+    """Many short rows of which some share a passage, most of them without an id, with one id, or twice the same."""
+    draw = random.Random(8)
+    letters = ["a", "of", *(f"w{i}" for i in range(400))]
+    passages = [draw.choices(letters, k=40) for _ in range(3)]
+    rows = []
+    for number in range(1800):
+        words = draw.choices(letters, k=draw.randint(20, 60))
+        if number % 6 == 0:
+            words[5:5] = draw.choice(passages)
+        doc = {"none": None, "one": 5, "copies": None}[kind] if number % 9 else number % 90
+        rows.append((doc, " ".join(words)))
+        if kind == "copies" and number % 4 == 0:
+            rows += [rows[-1]] * draw.randint(1, 30)
+    return [*rows, *[(1, " ".join(passages[0] + ["x"] * n)) for n in range(40)]]
+
+
+@pytest.mark.parametrize("kind", ["none", "one", "copies"])
+def test_rows_that_share_an_id(spark, monkeypatch, kind):
+    monkeypatch.setattr(repeats, "_COPIES", 7)
+    rows = _sharing(kind)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, suffixes.dedup_suffixes(docs).collect()), key=str) == _bytes_by_force(rows)
+    assert sorted(map(tuple, recompression.dedup_windows(docs).collect()), key=str) == _words_by_force(rows)
+
+
+def test_lowest_ids_keep_their_order(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(-(1 << 62), text), (-(1 << 62) - 1, text + " end"), (None, "short")]
+    found = suffixes.dedup_suffixes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=str) == _bytes_by_force(rows)
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     docs = spark.createDataFrame(rows, COLUMNS)

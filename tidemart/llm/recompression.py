@@ -17,7 +17,8 @@ their own.
 Defined results: words are runs of bytes other than 0x20 and 0x09 to 0x0D, compared as they are; a null text has no
 words; texts under 35 words stay whole; windows may overlap the ones they repeat (long runs of
 one word go altogether); repeated rows remove each other, also when they share an id; rows
-without an id take part like any other.
+without an id take part like any other, and any number of rows may have no id or the same one; an empty table
+gives no rows; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -30,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemart.llm.repeats import (
+    VERDICTS,
     Judged,
     Segments,
     any_contested,
     checks_of,
     covered,
-    document_id,
     judge,
     lists,
+    settled_rows,
     unzipped,
     verdict,
     verdicts_of,
@@ -166,16 +168,16 @@ def segments(flat: np.ndarray, offsets: np.ndarray) -> Segments:
     return segments_of_words(word_hashes(flat, starts, ends), texts)
 
 
-_WINDOWS = "w1 long, w2 long, doc_id long, verdict long, weight int"
+_WINDOWS = "w1 long, w2 long, doc_id long, twin long, verdict long, weight int"
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows of contested stretches; those that repeat within a task are settled."""
 
     def send(pending: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        one, two, doc, name, weight = (np.concatenate(c) for c in zip(*pending, strict=True))
+        one, two, doc, twin, name, weight = (np.concatenate(c) for c in zip(*pending, strict=True))
         order = np.lexsort((two, one))
-        one, two, doc, name, weight = (c[order] for c in (one, two, doc, name, weight))
+        one, two, doc, twin, name, weight = (c[order] for c in (one, two, doc, twin, name, weight))
         first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
         sizes = np.diff(np.r_[first, len(one)])
         many = np.add.reduceat(weight, first) > 1
@@ -188,15 +190,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What is settled needs not meet others of its window any more and is spread; one of its group may go on as well.
         one = np.r_[mixed(name[settled].view(np.uint64)), one[lone], one[groups]]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c.view(np.int64)) for c in (one, *(c[take] for c in (two, doc, name)))] + [pa.array(kind)],
-            ["w1", "w2", "doc_id", "verdict", "weight"],
+            [pa.array(c.view(np.int64)) for c in (one, *(c[take] for c in (two, doc, twin, name)))] + [pa.array(kind)],
+            ["w1", "w2", "doc_id", "twin", "verdict", "weight"],
         )
 
     pending, count = [], 0
     for batch in batches:
         numbers = batch.column("verdicts")
-        for row, (doc, zipped) in enumerate(
-            zip(batch.column("doc_id").to_pylist(), batch.column("zipped").to_pylist(), strict=True)
+        for row, (doc, twin, zipped) in enumerate(
+            zip(*(batch.column(c).to_pylist() for c in ("doc_id", "twin", "zipped")), strict=True)
         ):
             if not numbers[row].is_valid:
                 continue
@@ -216,7 +218,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.repeat(begin - np.r_[0, np.cumsum(each)[:-1]], each) + np.arange(each.sum())
             weight = np.repeat(np.where(own.reference[own.contested], 2, 1), each)
             name = verdict(np.full(len(at), check), at, np.full(len(at), WINDOW))
-            pending.append((first(at, at + WINDOW), second(at, at + WINDOW), np.full(len(at), doc), name, weight))
+            whose = (np.full(len(at), doc), np.full(len(at), twin))
+            pending.append((first(at, at + WINDOW), second(at, at + WINDOW), *whose, name, weight))
             count += len(at)
             if count >= _COLLECTED:
                 yield send(pending)
@@ -229,14 +232,14 @@ def _settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Rows come sorted by window; windows of a total weight over one are settled."""
 
     def decide(table: pa.Table) -> pa.RecordBatch:
-        one, two, doc, name, weight = (
-            table.column(c).combine_chunks().to_numpy() for c in ("w1", "w2", "doc_id", "verdict", "weight")
+        one, two, doc, twin, name, weight = (
+            table.column(c).combine_chunks().to_numpy() for c in ("w1", "w2", "doc_id", "twin", "verdict", "weight")
         )
         new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
         group = np.cumsum(new) - 1
         many = np.bincount(group, weight)[group] > 1
         done = (weight == 0) | ((weight == 1) & many)
-        return pa.RecordBatch.from_arrays([pa.array(doc[done]), pa.array(name[done])], ["doc_id", "verdict"])
+        return settled_rows(doc[done], twin[done], name[done])
 
     rest: pa.Table | None = None
     for batch in batches:
@@ -260,7 +263,7 @@ def _resolved(judged: Judged) -> DataFrame:
         .mapInArrow(_windows, _WINDOWS)
         .repartition("w1")
         .sortWithinPartitions("w1", "w2")
-        .mapInArrow(_settle_windows, "doc_id long, verdict long")
+        .mapInArrow(_settle_windows, VERDICTS)
     )
     return lists(found, "resolved")
 
@@ -269,8 +272,8 @@ def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         columns = [batch.column("verdicts"), batch.column("resolved")]
-        for row, (doc, zipped) in enumerate(
-            zip(batch.column("doc_id").to_pylist(), batch.column("zipped").to_pylist(), strict=True)
+        for row, (doc, copies, zipped) in enumerate(
+            zip(*(batch.column(c).to_pylist() for c in ("doc_id", "copies", "zipped")), strict=True)
         ):
             text = unzipped(zipped)
             words = text.split()
@@ -285,20 +288,17 @@ def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept = [words[i] for i in np.flatnonzero(~gone).tolist()]
             else:
                 kept = words
-            rows.append((doc, len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        values = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = [*[pa.int64()] * 3, pa.string()]
+            rows.append((doc, copies, len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()))
+        values = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = [*[pa.int64()] * 4, pa.string()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(values, kinds, strict=True)],
-            ["doc_id", "n_words", "n_removed", "kept_sha256"],
+            ["doc_id", "copies", "n_words", "n_removed", "kept_sha256"],
         )
 
 
 def dedup_windows(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the words that stay."""
     judged = judge(docs, segments, smaller_id_only=False, marks=np.uint32)
-    return (
-        judged.joined(_resolved(judged))
-        .mapInArrow(_reported, "doc_id long, n_words long, n_removed long, kept_sha256 string")
-        .withColumn("doc_id", document_id())
-    )
+    report = "doc_id long, copies long, n_words long, n_removed long, kept_sha256 string"
+    return judged.given(judged.joined(_resolved(judged)).mapInArrow(_reported, report))

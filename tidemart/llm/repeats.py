@@ -14,7 +14,11 @@ of a document with one anchor form a segment. Segments are told apart by hashes
 4. The settled stretches of every document are put together again with its text.
 
 Texts travel compressed, once, and serve both steps 3 and 4. A verdict is one number: a check value of the
-text (rows that share an id are told apart by it), flags, the first symbol and the number of symbols.
+text, flags, the first symbol and the number of symbols.
+
+Verdicts are addressed to (doc_id, twin). Where no two rows share an id, twin is 0. Else it is a hash of 64 bits
+of the text, beside the 18 bits of the check value, and rows equal in id and text are one row with a number of
+copies until the end: they are added up inside each task before they shuffle, and have the same verdicts.
 """
 
 from __future__ import annotations
@@ -47,6 +51,13 @@ _REFERENCE = 1 << 43
 _HOT = 1 << 44
 _CHECK_SHIFT = 45
 
+# Rows without an id come before all others. The lowest id of all is not told apart from them.
+_NO_ID = -(1 << 63)
+# Copies of a row that are put out by one step.
+_COPIES = 10_000
+
+VERDICTS = "doc_id long, twin long, verdict long"
+
 
 @dataclass
 class Segments:
@@ -141,11 +152,13 @@ def _meeting(bucket: np.ndarray, mark: np.ndarray, undecided: np.ndarray) -> np.
     return (count[place] > 1) & (waiting > 0) & (mark != 0)
 
 
-def _packed(marks: type, anchor, content, doc, check, start, length, left, right) -> bytes:
+def _packed(marks: type, anchor, content, doc, check, start, length, left, right, twin) -> bytes:
     """Rows sorted by document and place, as bytes: hashes of six bytes, then differences, compressed."""
     short = np.stack([anchor, content]).view(np.uint8).reshape(2, -1, 8)[:, :, :6].tobytes()
     sides = np.stack([left, right]).astype(marks).tobytes()
-    columns = (np.diff(doc, prepend=0), np.diff(start, prepend=0), check.astype(np.int32), length.astype(np.uint8))
+    columns = (
+        np.diff(doc, prepend=0), np.diff(start, prepend=0), twin, check.astype(np.int32), length.astype(np.uint8)
+    )
     rest = zstandard.ZstdCompressor(level=1).compress(b"".join(column.tobytes() for column in columns))
     return len(anchor).to_bytes(8, "little") + short + sides + rest
 
@@ -160,9 +173,10 @@ def _unpacked(marks: type, blob: bytes) -> tuple[np.ndarray, ...]:
     rest = zstandard.ZstdDecompressor().decompress(blob[sides:])
     doc = np.cumsum(np.frombuffer(rest, np.int64, count))
     start = np.cumsum(np.frombuffer(rest, np.int64, count, 8 * count))
-    check = np.frombuffer(rest, np.int32, count, 16 * count).astype(np.int64)
-    length = np.frombuffer(rest, np.uint8, count, 20 * count).astype(np.int64)
-    return anchor, content, doc, check, start, length, left, right
+    twin = np.frombuffer(rest, np.int64, count, 16 * count)
+    check = np.frombuffer(rest, np.int32, count, 24 * count).astype(np.int64)
+    length = np.frombuffer(rest, np.uint8, count, 28 * count).astype(np.int64)
+    return anchor, content, doc, check, start, length, left, right, twin
 
 
 _DEALT = "part int, blob binary"
@@ -179,7 +193,7 @@ def _collect(
     parse: Callable[[np.ndarray, np.ndarray], Segments], parts: int, smaller_id_only: bool, marks: type
 ):
     def send(pending: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        anchor, content, doc, check, start, length, left, right = _ordered(pending)
+        anchor, content, doc, check, start, length, left, right, twin = _ordered(pending)
         group = _groups(anchor, content)
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
         if smaller_id_only:
@@ -195,11 +209,11 @@ def _collect(
         rows = []
         settled = verdict(check[done], start[done], length[done] & 127)
         # They go on by way of some part, just to spread them.
-        home = (settled ^ doc[done]) % parts
+        home = (settled ^ doc[done] ^ twin[done]) % parts
         for part in np.unique(home):
             own = home == part
-            rows.append((int(part) - parts, np.stack([doc[done][own], settled[own]]).tobytes()))
-        columns = [c[stays] for c in (anchor, content, doc, check, start, length, left, right)]
+            rows.append((int(part) - parts, np.stack([doc[done][own], twin[done][own], settled[own]]).tobytes()))
+        columns = [c[stays] for c in (anchor, content, doc, check, start, length, left, right, twin)]
         part = (columns[0] % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((columns[4], columns[2], part))
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
@@ -213,12 +227,12 @@ def _collect(
         for batch in blocks(batches, limit=PARSED):
             flat, offsets = flat_bytes(batch)
             found = parse(flat, offsets)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, twins = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "twin"))
             check = checks_of(flat, offsets)
             pending.append(
                 (
                     found.anchor & _SHORT, found.content & _SHORT, ids[found.text], check[found.text],
-                    found.start, found.length, found.left, found.right,
+                    found.start, found.length, found.left, found.right, twins[found.text],
                 )
             )
             count += len(found.anchor)
@@ -231,9 +245,16 @@ def _collect(
     return run
 
 
+def settled_rows(docs, twins, verdicts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, pa.int64()) for column in (docs, twins, verdicts)], ["doc_id", "twin", "verdict"]
+    )
+
+
 def _settle(smaller_id_only: bool, marks: type):
     def decide(blobs: list[bytes]) -> pa.RecordBatch:
-        anchor, content, doc, check, start, length, left, right = _ordered([_unpacked(marks, blob) for blob in blobs])
+        rows = [_unpacked(marks, blob) for blob in blobs]
+        anchor, content, doc, check, start, length, left, right, twin = _ordered(rows)
         group, bucket = _groups(anchor, content), _groups(anchor)
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         size, several = length & 127, length >> _LENGTH_BITS
@@ -255,17 +276,14 @@ def _settle(smaller_id_only: bool, marks: type):
         hot = np.where(kinds >= HOT, _HOT, 0)
         settled = verdict(check[done], start[done], size[done])
         contested = verdict(check, start, size, _CONTESTED | hot | reference)[open_]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[doc[done], doc[open_]]), pa.array(np.r_[settled, contested])], ["doc_id", "verdict"]
-        )
+        return settled_rows(np.r_[doc[done], doc[open_]], np.r_[twin[done], twin[open_]], np.r_[settled, contested])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blobs = None, []
         for batch in batches:
             for number, blob in zip(batch.column("part").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 if number < 0:
-                    docs, settled = np.frombuffer(blob, np.int64).reshape(2, -1)
-                    yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(settled)], ["doc_id", "verdict"])
+                    yield settled_rows(*np.frombuffer(blob, np.int64).reshape(3, -1))
                     continue
                 if number != part and blobs:
                     yield decide(blobs)
@@ -283,8 +301,11 @@ def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([pack.compress(text) for text in texts], pa.binary())],
-            ["doc_id", "zipped"],
+            [
+                *(batch.column(name) for name in ("doc_id", "twin", "copies")),
+                pa.array([pack.compress(text) for text in texts], pa.binary()),
+            ],
+            ["doc_id", "twin", "copies", "zipped"],
         )
 
 
@@ -294,20 +315,31 @@ def unzipped(blob: bytes) -> bytes:
 
 @dataclass
 class Judged:
-    """Texts (doc_id, zipped) and the list of verdicts of each document that has any."""
+    """Different texts (doc_id, twin, copies, zipped) and the list of verdicts of each that has any."""
 
     texts: DataFrame
     verdicts: DataFrame
+    shared: bool
 
     def joined(self, more: DataFrame | None = None) -> DataFrame:
-        """doc_id, zipped, verdicts and, if given, the column `resolved` of more verdicts."""
-        rows = self.texts.join(self.verdicts.hint("merge"), "doc_id", "left")
-        return rows if more is None else rows.join(more.hint("merge"), "doc_id", "left")
+        """doc_id, twin, copies, zipped, verdicts and, if given, the column `resolved` of more verdicts."""
+        rows = self.texts.join(self.verdicts.hint("merge"), ["doc_id", "twin"], "left")
+        return rows if more is None else rows.join(more.hint("merge"), ["doc_id", "twin"], "left")
+
+    def given(self, found: DataFrame) -> DataFrame:
+        """One row for each of the `copies` of a found row, with the ids as they were given."""
+        if self.shared:
+            steps = found.withColumn("_step", F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(_COPIES))))
+            some = F.least(F.col("copies") - F.col("_step"), F.lit(_COPIES))
+            spread = steps.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            each = F.explode(F.array_repeat(F.lit(True), some.cast("int")))
+            found = spread.withColumn("_copy", each).drop("_step", "_copy")
+        return found.drop("copies").withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 
 
 def lists(verdicts: DataFrame, name: str) -> DataFrame:
-    """The verdicts (doc_id, verdict) of each document; as many as it has segments at most."""
-    return verdicts.groupBy("doc_id").agg(F.collect_list("verdict").alias(name))
+    """The verdicts (doc_id, twin, verdict) of each text; twice as many as it has segments at most."""
+    return verdicts.groupBy("doc_id", "twin").agg(F.collect_list("verdict").alias(name))
 
 
 def judge(
@@ -323,15 +355,22 @@ def judge(
     Rows without an id count as having the lowest id of all.
     """
     slim = named(docs, "doc_id", "text").select(
-        F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    size = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    by_id = slim.groupBy("doc_id").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text").cast("long")).alias("size"))
+    size, shared = by_id.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0)) > 1).first()
+    if shared:
+        slim = slim.groupBy("doc_id", "text").agg(F.count("*").alias("copies")).withColumn("twin", F.xxhash64("text"))
+    else:
+        slim = slim.withColumns({"copies": F.lit(1).cast("long"), "twin": F.lit(0).cast("long")})
+    parsed = slim
+    if shared and not smaller_id_only:
+        # Copies repeat one another; two of them show it.
+        two = F.array_repeat(F.lit(True), F.least("copies", F.lit(2)).cast("int"))
+        parsed = slim.withColumn("_copy", F.explode(two)).drop("_copy")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    dealt = slim.mapInArrow(_collect(parse, parts, smaller_id_only, marks), _DEALT)
+    dealt = parsed.mapInArrow(_collect(parse, parts, smaller_id_only, marks), _DEALT)
     by_part = dealt.repartition("part").sortWithinPartitions("part")
-    settled = by_part.mapInArrow(_settle(smaller_id_only, marks), "doc_id long, verdict long")
-    return Judged(slim.mapInArrow(_zipped, "doc_id long, zipped binary").repartition("doc_id"), lists(settled, "verdicts"))
-
-
-def document_id(column: str = "doc_id"):
-    return F.when(F.col(column) == -(1 << 62), F.lit(None)).otherwise(F.col(column)).cast("long")
+    settled = by_part.mapInArrow(_settle(smaller_id_only, marks), VERDICTS)
+    texts = slim.mapInArrow(_zipped, "doc_id long, twin long, copies long, zipped binary").repartition("doc_id", "twin")
+    return Judged(texts, lists(settled, "verdicts"), shared)

@@ -17,7 +17,8 @@ settled those that repeat within the task.
 
 Defined results: a null text counts as empty; texts under 50 bytes stay whole; rows that share an id do not remove
 each other's bytes; equal strings within one document alone stay; rows without an id count as the
-smallest id.
+smallest id, and any number of rows may have no id or the same one; an empty table gives no rows; texts of any length
+are read whole.
 """
 
 from __future__ import annotations
@@ -30,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemart.llm.repeats import (
+    VERDICTS,
     Judged,
     Segments,
     any_contested,
     checks_of,
     covered,
-    document_id,
     judge,
     lists,
+    settled_rows,
     unzipped,
     verdict,
     verdicts_of,
@@ -101,18 +103,21 @@ def _mark(rolling: RollingHash, start: np.ndarray, end: np.ndarray, inside: np.n
     return np.where(inside, np.maximum(hashes, np.uint64(1)), np.uint64(0)).astype(np.int64)
 
 
-_CONTENT = "bucket long, doc_id long, verdict long, content binary"
+_CONTENT = "bucket long, doc_id long, verdict long, content binary, twin long"
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text of every contested stretch, by the bucket it belongs to."""
     for batch in batches:
         docs: list[int] = []
+        twins: list[int] = []
         names: list[np.ndarray] = []
         contents: list[bytes] = []
         crowded: list[tuple[np.ndarray, ...]] = []
-        ids, numbers = batch.column("doc_id").to_pylist(), batch.column("verdicts")
-        for row, (doc, zipped) in enumerate(zip(ids, batch.column("zipped").to_pylist(), strict=True)):
+        numbers = batch.column("verdicts")
+        for row, (doc, twin, zipped) in enumerate(
+            zip(*(batch.column(c).to_pylist() for c in ("doc_id", "twin", "zipped")), strict=True)
+        ):
             if not numbers[row].is_valid:
                 continue
             listed = numbers[row].values.to_numpy()
@@ -125,6 +130,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_ = own.contested & ~own.hot
             start, length = own.start[open_], own.length[open_]
             docs.extend([doc] * len(start))
+            twins.extend([twin] * len(start))
             names.append(verdict(np.full(len(start), check), start, length))
             contents.extend(
                 [text[low:high] for low, high in zip(start.tolist(), (start + length).tolist(), strict=True)]
@@ -139,19 +145,20 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         np.full(len(at), doc),
                         verdict(np.full(len(at), check), at, np.full(len(at), LENGTH)),
                         np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at],
+                        np.full(len(at), twin),
                     )
                 )
         if docs:
-            yield _rows(_anchors(contents), docs, np.concatenate(names), contents)
+            yield _rows(_anchors(contents), docs, np.concatenate(names), contents, twins)
         if crowded:
             yield _rows(*_distinct(*(np.concatenate(column) for column in zip(*crowded, strict=True))))
 
 
-def _rows(bucket, docs, names, contents) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+def _rows(bucket, docs, names, contents, twins) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip((bucket, docs, names, contents), kinds, strict=True)],
-        ["bucket", "doc_id", "verdict", "content"],
+        [pa.array(column, kind) for column, kind in zip((bucket, docs, names, contents, twins), kinds, strict=True)],
+        ["bucket", "doc_id", "verdict", "content", "twin"],
     )
 
 
@@ -167,16 +174,16 @@ def _anchors(contents: list[bytes]) -> np.ndarray:
     return np.minimum.reduceat(grams, marks)[::2].view(np.int64)
 
 
-def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.ndarray) -> tuple:
+def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.ndarray, twin: np.ndarray) -> tuple:
     """Strings of a crowded bucket: the smallest id of each goes on, the others are settled (no content)."""
     order = np.lexsort((name, doc, key))
-    key, doc, name, windows = key[order], doc[order], name[order], windows[order]
+    key, doc, name, windows, twin = (column[order] for column in (key, doc, name, windows, twin))
     first = _run_starts(key)
     smallest = np.repeat(doc[first], np.diff(np.r_[first, len(key)]))
     goes_on = doc == smallest
     contents = [w.tobytes() if own else None for w, own in zip(windows, goes_on, strict=True)]
     # What is settled has no bucket any more and is spread.
-    return np.where(goes_on, key, mixed(name.view(np.uint64))).view(np.int64), doc, name, contents
+    return np.where(goes_on, key, mixed(name.view(np.uint64))).view(np.int64), doc, name, contents, twin
 
 
 def _words_at(padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
@@ -263,7 +270,9 @@ def sorted_suffixes(
     return order, new
 
 
-def _sort_block(bucket: np.ndarray, doc: np.ndarray, name: np.ndarray, contents: list[bytes]) -> pa.RecordBatch:
+def _sort_block(
+    bucket: np.ndarray, doc: np.ndarray, name: np.ndarray, twin: np.ndarray, contents: list[bytes]
+) -> pa.RecordBatch:
     """Verdicts on the stretches of whole buckets: runs of suffixes that a smaller id has as well."""
     flat = np.frombuffer(b"".join(contents), np.uint8)
     sizes = np.array([len(content) for content in contents], np.int64)
@@ -278,7 +287,7 @@ def _sort_block(bucket: np.ndarray, doc: np.ndarray, name: np.ndarray, contents:
     gone[order[docs > smallest]] = True
     gone = np.flatnonzero(gone)
     if not len(gone):
-        return _settled([], [])
+        return settled_rows([], [], [])
     # Consecutive suffixes of a stretch form one run.
     run = np.flatnonzero(np.r_[True, (gone[1:] != gone[:-1] + 1) | (owner[gone[1:]] != owner[gone[:-1]])])
     last = gone[np.r_[run[1:], len(gone)] - 1]
@@ -286,13 +295,7 @@ def _sort_block(bucket: np.ndarray, doc: np.ndarray, name: np.ndarray, contents:
     shift = at[gone[run]] - begins[whose]
     length = at[last] - at[gone[run]] + LENGTH
     # The verdict of the stretch, with start and length of the run.
-    return _settled(doc[whose], ((name[whose] >> 7) + shift) << 7 | length)
-
-
-def _settled(docs, verdicts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(docs, pa.int64()), pa.array(verdicts, pa.int64())], ["doc_id", "verdict"]
-    )
+    return settled_rows(doc[whose], twin[whose], ((name[whose] >> 7) + shift) << 7 | length)
 
 
 def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,14 +304,15 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     count = 0
 
     def flush(table: pa.Table) -> pa.RecordBatch:
-        columns = [table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("bucket", "doc_id", "verdict")]
+        names = ("bucket", "doc_id", "verdict", "twin")
+        columns = [table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in names]
         return _sort_block(*columns, table.column("content").to_pylist())
 
     for batch in batches:
         known = batch.column("content").is_null().to_numpy(zero_copy_only=False)
         if known.any():
             done = batch.filter(pa.array(known))
-            yield _settled(done.column("doc_id"), done.column("verdict"))
+            yield settled_rows(*(done.column(c) for c in ("doc_id", "twin", "verdict")))
             batch = batch.filter(pa.array(~known))
         if not batch.num_rows:
             continue
@@ -351,7 +355,7 @@ def _resolved(judged: Judged) -> DataFrame:
         .mapInArrow(_contents, _CONTENT)
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_sort_buckets, "doc_id long, verdict long")
+        .mapInArrow(_sort_buckets, VERDICTS)
     )
     return lists(found, "resolved")
 
@@ -369,8 +373,8 @@ def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         lists_ = [batch.column("verdicts"), batch.column("resolved")]
-        for row, (doc, zipped) in enumerate(
-            zip(batch.column("doc_id").to_pylist(), batch.column("zipped").to_pylist(), strict=True)
+        for row, (doc, copies, zipped) in enumerate(
+            zip(*(batch.column(c).to_pylist() for c in ("doc_id", "copies", "zipped")), strict=True)
         ):
             text = unzipped(zipped)
             flat = np.frombuffer(text, np.uint8)
@@ -379,22 +383,19 @@ def _reported(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone = removed_bytes(flat, numbers)
                 spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
                 text = flat[~gone].tobytes()
-                rows.append((doc, len(flat), int(gone.sum()), spans, hashlib.sha256(text).hexdigest()))
+                rows.append((doc, copies, len(flat), int(gone.sum()), spans, hashlib.sha256(text).hexdigest()))
             else:
-                rows.append((doc, len(flat), 0, 0, hashlib.sha256(text).hexdigest()))
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        kinds = [*[pa.int64()] * 4, pa.string()]
+                rows.append((doc, copies, len(flat), 0, 0, hashlib.sha256(text).hexdigest()))
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        kinds = [*[pa.int64()] * 5, pa.string()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            ["doc_id", "copies", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
         )
 
 
 def dedup_suffixes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of the bytes that stay."""
     judged = judge(docs, segments, smaller_id_only=True)
-    return (
-        judged.joined(_resolved(judged))
-        .mapInArrow(_reported, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-        .withColumn("doc_id", document_id())
-    )
+    report = "doc_id long, copies long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return judged.given(judged.joined(_resolved(judged)).mapInArrow(_reported, report))
