@@ -62,6 +62,7 @@ _QUERIES = (
     reports.source_ready,
     reports.source_ready_since_mark,
     reports.late_days_rebuilt,
+    reports.marts_from_measures,
     reports.daily_marts,
     reports.daily_run,
 )
@@ -329,6 +330,7 @@ def _library_sql() -> dict[str, str]:
                         ELSE (SELECT max(ts) FROM events) END AS mark
             FROM (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS probe)""",
         "late_days_rebuilt": _REVENUE,
+        "marts_from_measures": _REVENUE,
         "daily_marts": _REVENUE,
         # A bad purchase stops the run before the marts; all event types count as valid here.
         "daily_run": f"""

@@ -29,6 +29,11 @@ from tidemart.sources.federation import federated_query
 _LISTINGS = "listings"
 
 
+def summed_cube(measures: DataFrame) -> DataFrame:
+    """The `daily_cube` from measures that are kept."""
+    return measures.groupBy("dt", "event_type", "product").agg(*money.summed_measures())
+
+
 def with_measures(events: DataFrame) -> DataFrame:
     """Events reduced to the mart dimensions plus the measures of a single event.
 
@@ -43,9 +48,17 @@ def daily_cube(events: DataFrame) -> DataFrame:
     The hour is left out, which would make the cube up to 24 times larger; counting by hour
     reads no other column than the event type.
     """
-    return with_measures(events).groupBy("dt", "event_type", "product").agg(
-        *money.summed_measures()
-    )
+    return summed_cube(with_measures(events))
+
+
+def hourly_measures(events: DataFrame) -> DataFrame:
+    """Measures per day, hour, event type and product: what is kept of a micro-batch for the marts.
+
+    A micro-batch spans few hours, so the hour adds few rows. Measures of many micro-batches add up to those
+    of all their events.
+    """
+    keys = ("dt", "hr", "event_type", "product")
+    return with_measures(events).groupBy(*keys).agg(*money.summed_measures())
 
 
 def catalog_listings(products: DataFrame) -> DataFrame:

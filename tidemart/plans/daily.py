@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemart.functions import money
 from tidemart.operators import marts, quality
 from tidemart.operators.lookup import BROADCAST_BYTES
 from tidemart.plans.layout import (
     DAILY_REVENUE,
+    EVENT_MEASURES,
     EVENTS,
     HOURLY,
     QUALITY_LOG,
@@ -82,10 +84,12 @@ def ingest_events(
     layout: Layout,
     every: str | None = None,
     report: Report | None = None,
+    keep_measures: bool = False,
 ) -> StreamingQuery:
     return start_event_ingest(
         wire, products, layout.place(EVENTS), layout.checkpoint(EVENTS), every,
         layout.table_format, layout.as_table, report=report,
+        measures=layout.place(EVENT_MEASURES) if keep_measures else None,
     )
 
 
@@ -215,7 +219,44 @@ def build_marts(
     that has no events any more is emptied in every mart.
     """
     dated = events.filter(F.col("dt").isNotNull()) if day is None else partition_scan(events, day)
-    cube = marts.daily_cube(dated).persist(StorageLevel.MEMORY_AND_DISK)
+    _write_marts(marts.daily_cube(dated), marts.with_measures(dated), products, layout, day, broadcast_limit)
+
+
+def build_marts_from_measures(
+    measures: DataFrame, products: DataFrame, layout: Layout, broadcast_limit: int = BROADCAST_BYTES
+) -> None:
+    """Replace the marts of all days in the measures that are kept of micro-batches; no event is read."""
+    dated = measures.filter(F.col("dt").isNotNull())
+    _write_marts(marts.summed_cube(dated), dated, products, layout, None, broadcast_limit)
+
+
+def uncovered_days(spark: SparkSession, layout: FolderLayout, days: Sequence[str]) -> list[str]:
+    """Days whose measures do not stand for as many events as their counts for the checks say there are.
+
+    Their events came before measures were kept, or were replaced by hand.
+    """
+    day = F.coalesce("dt", F.lit(NO_DAY)).alias("day")
+    kept = layout.read_days(spark, EVENT_MEASURES, days).groupBy(day).agg(F.sum(money.EVENT_COUNT).alias("kept"))
+    there = layout.read_days(spark, QUALITY_STATES, days).groupBy(day).agg(F.sum("total").alias("there"))
+    both = there.join(kept, "day", "full").where(~F.col("kept").eqNullSafe(F.col("there")))
+    return sorted(row["day"] for row in both.select("day").collect())
+
+
+def build_touched(spark: SparkSession, layout: FolderLayout, products: DataFrame, days: Sequence[str]) -> None:
+    """Build the marts of some days from measures, and from the events where the measures do not cover them."""
+    scanned = uncovered_days(spark, layout, days)
+    covered = [day for day in days if day not in scanned]
+    if covered:
+        build_marts_from_measures(layout.read_days(spark, EVENT_MEASURES, covered), products, layout)
+    if scanned:
+        log.info("days built from their events: %s", ", ".join(scanned))
+        build_marts(layout.read_days(spark, EVENTS, scanned), products, layout)
+
+
+def _write_marts(
+    cube: DataFrame, hourly: DataFrame, products: DataFrame, layout: Layout, day: str | None, broadcast_limit: int
+) -> None:
+    cube = cube.persist(StorageLevel.MEMORY_AND_DISK)
     listings = marts.catalog_listings(products).persist(StorageLevel.MEMORY_AND_DISK)
 
     def replace(rows: DataFrame, table: Table) -> None:
@@ -231,7 +272,7 @@ def build_marts(
         replace(marts.daily_revenue(revenue), DAILY_REVENUE)
         revenue.unpersist()
         replace(marts.top_products(cube, products, broadcast_limit, listings), TOP_PRODUCTS)
-        replace(marts.hourly_counts(marts.with_measures(dated)), HOURLY)
+        replace(marts.hourly_counts(hourly), HOURLY)
     finally:
         cube.unpersist()
         listings.unpersist()
@@ -251,12 +292,14 @@ def run_daily(
     report: Report | None = None,
     metrics_jdbc: dict | None = None,
     touched: bool = False,
+    keep_measures: bool = False,
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
     With `touched`, the marts of exactly those days are built that have rows from micro-batches since the last
     such run, so rows that come late reach the marts of their day. The checks are then made from counts
-    kept by day, and other days are not read at all.
+    kept by day, and other days are not read at all. With `keep_measures` as well, ingest keeps what each micro-batch
+    adds to the marts, and the marts of a day are added up from that instead of its events.
 
     `checked_day` limits the checks to one day of a table too large to check whole. `ready`
     is the answer of `source_ready`; without data the run is skipped, not failed. With `skip_built`
@@ -265,7 +308,7 @@ def run_daily(
     """
     if not ready:
         return DailyOutcome(ready=False)
-    ingested = finish(ingest_events(wire, products, layout, report=report))
+    ingested = finish(ingest_events(wire, products, layout, report=report, keep_measures=keep_measures))
     batch = last_batch(spark, layout.checkpoint(EVENTS))
     if skip_built and already_built(spark, layout, TOUCHED if touched else day, batch):
         return DailyOutcome(ready=False)
@@ -273,7 +316,9 @@ def run_daily(
         days = touched_since_built(spark, layout, batch)
         refresh_states(spark, layout, days, valid_types)
         checks = conclude(report_from_states(spark, layout), layout, run_date, metrics_jdbc=metrics_jdbc)
-        if days:
+        if days and keep_measures:
+            build_touched(spark, layout, products, days)
+        elif days:
             build_marts(layout.read_days(spark, EVENTS, days), products, layout)
         note_built(spark, layout, TOUCHED, batch)
         return DailyOutcome(ready=True, ingested=ingested, checks=checks, days=days)

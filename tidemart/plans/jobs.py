@@ -132,8 +132,9 @@ def _print_batch(number: int, rows: int) -> None:
 
 def _ingest(spark: SparkSession, options: argparse.Namespace) -> None:
     query = daily.ingest_events(
-        _wire(spark, options), _products(spark, options), _layout(options), options.every, _print_batch
-    )
+        _wire(spark, options), _products(spark, options), _layout(options), options.every, _print_batch,
+        options.keep_measures,
+    )
     print(f"wrote {runs.finish(query)} events")
 
 
@@ -182,6 +183,7 @@ def _daily(spark: SparkSession, options: argparse.Namespace) -> None:
         report=_print_batch,
         metrics_jdbc=metrics_jdbc(options),
         touched=options.touched,
+        keep_measures=options.keep_measures,
     )
     source.keep()
     print(f"ingested {outcome.ingested} events" if outcome.ready else "nothing to do")
@@ -205,6 +207,11 @@ def _setup(spark: SparkSession, options: argparse.Namespace) -> None:
     CatalogLayout(f"{options.root}/checkpoints", options.catalog, options.table_format).prepare(spark)
 
 
+def _measure_argument(sub: argparse.ArgumentParser) -> None:
+    text = "keep what each micro-batch adds to the marts, so that touched days need not be read again"
+    sub.add_argument("--keep-measures", action="store_true", help=text)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="job.py")
     commands = top.add_subparsers(required=True)
@@ -222,6 +229,7 @@ def parser() -> argparse.ArgumentParser:
     ingest = command("ingest", _ingest, "stream events into the fact table")
     _stream_arguments(ingest, starting="latest", tolerant=True)
     _catalog_arguments(ingest)
+    _measure_argument(ingest)
     ingest.add_argument("--every", help="interval of a standing job, such as '60 seconds'")
 
     raw = command("raw-ingest", _raw_ingest, "stream raw events into their table")
@@ -242,6 +250,7 @@ def parser() -> argparse.ArgumentParser:
     whole = command("daily", _daily, "ingest, check and build the marts")
     whole.add_argument("day", nargs="?", help="day of the marts, by default all days")
     whole.add_argument("--touched", action="store_true", help="build exactly the days that have got new rows")
+    _measure_argument(whole)
     _stream_arguments(whole, starting="earliest", tolerant=True)
     _catalog_arguments(whole)
     whole.add_argument("--run-date", default=daily.utc_today().isoformat())

@@ -22,8 +22,9 @@ class Table:
     partition_by: Sequence[str] = ()
 
 
-# Namespaces and names.
+# Namespaces and names. Event measures and quality states are this library's own.
 EVENTS = Table("events", "user_events", schemas.USER_EVENTS, schemas.USER_EVENTS_PARTITIONS)
+EVENT_MEASURES = Table("analytics", "event_measures", schemas.EVENT_MEASURES, schemas.USER_EVENTS_PARTITIONS)
 RAW_EVENTS = Table("db", "raw_events", schemas.RAW_EVENTS)
 REVENUE = Table(
     "analytics", "daily_revenue_by_category", schemas.REVENUE_BY_CATEGORY, schemas.MART_PARTITIONS

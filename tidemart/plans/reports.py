@@ -347,8 +347,17 @@ def source_ready_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_days_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue mart after rows of the first half of the month came late and only its days were built again."""
+    return _late_rows(spark, sf_dir, "late-days", keep_measures=False)
+
+
+def marts_from_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from measures kept of each micro-batch, without reading the events of a day again."""
+    return _late_rows(spark, sf_dir, "kept-measures", keep_measures=True)
+
+
+def _late_rows(spark: SparkSession, sf_dir: str, purpose: str, keep_measures: bool) -> DataFrame:
     prepare(spark)
-    root = scratch_dir(spark, "late-days")
+    root = scratch_dir(spark, purpose)
     layout = FolderLayout(root)
     late = (F.get_json_object(F.col("value").cast("string"), "$.ts") < "2024-01-16") & (F.xxhash64("value") % 4 == 0)
     is_late = F.coalesce(late, F.lit(False))
@@ -362,6 +371,7 @@ def late_days_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
             run_date="2024-01-31",
             valid_types=(*HEALTHY_TYPES, "error"),
             touched=True,
+            keep_measures=keep_measures,
         )
     return layout.read(spark, REVENUE)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from tidemart.functions.money import AMOUNT_RESIDUE, MEASURES
+
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
@@ -41,6 +43,12 @@ DAILY_REVENUE = _schema(
 )
 MART_PARTITIONS = ("dt",)
 
+# Measures of the marts by hour, event type and product, kept for each micro-batch.
+EVENT_MEASURES = _schema(
+    ("event_type", _text), ("product", _text), *[(name, _long) for name in MEASURES if name != AMOUNT_RESIDUE],
+    (AMOUNT_RESIDUE, _double), ("dt", _text), ("hr", _text),
+)
+
 # Dimensions.
 PRODUCTS = _schema(
     ("product_id", _int), ("name", _text), ("category", _text), ("base_price", T.DecimalType(10, 2)),

@@ -17,6 +17,7 @@ import threading
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 
 from tidemart.operators.events import enrich, parse_events, parse_raw_events
 from tidemart.operators.lookup import BROADCAST_BYTES
+from tidemart.operators.marts import hourly_measures
 from tidemart.operators.metrics import throughput
 from tidemart.schemas import RAW_EVENTS, USER_EVENTS, USER_EVENTS_PARTITIONS
 from tidemart.session import ADAPTIVE_STREAMS
@@ -139,6 +141,7 @@ def _start_batches(
     table_format: str,
     partition_by: Sequence[str] = (),
     report: Report | None = None,
+    beside: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     count = _Count(name, report)
     started = threading.Event()
@@ -149,6 +152,11 @@ def _start_batches(
         started.wait()
         spark, written_as = batch.sparkSession, f"{writes_as[0]}-{number}"
         rows = rows_of(batch)
+        if beside is not None:
+            # Before the rows themselves: where they are found, what is kept beside them is there as well.
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            beside(rows, written_as)
+        held = rows
         if DAY in partition_by and not seen:
             # Only the first micro-batch of a run can be a repeated one. It leaves alone the days in which its
             # rows have been put together with others.
@@ -164,6 +172,8 @@ def _start_batches(
         seen_rows = _observed(observation)
         note_days(spark, checkpoint, number, seen_rows.get("days", []))
         count.add(number, seen_rows["rows"])
+        if beside is not None:
+            held.unpersist()
 
     query = _writer(wire, checkpoint, name, every).foreachBatch(write).start()
     # The id stays that of the checkpoint when a run is started again.
@@ -211,15 +221,19 @@ def start_event_ingest(
     broadcast_limit: int = BROADCAST_BYTES,
     salts: int = 1,
     report: Report | None = None,
+    measures: str | None = None,
 ) -> StreamingQuery:
     """Parse, enrich and append events to the fact table partitioned by day and hour.
 
     Without `every` the run takes what is there and ends; with it, it is a standing job.
     `target` is a folder, or the name of a catalog table with `as_table`. The catalog is read and
     measured anew for each micro-batch; into a catalog table, Spark decides by its own
-    statistics. `report` gets the number and the row count of every micro-batch.
+    statistics. `report` gets the number and the row count of every micro-batch. `measures` is a folder that
+    gets what each micro-batch adds to the marts; a repeated micro-batch replaces its own there as well.
     """
     if as_table:
+        if measures is not None:
+            raise ValueError("measures are kept by streams into folders only")
         facts = enrich(parse_events(wire), products, broadcast_limit=None)
         if adapts(wire):
             facts = balanced(facts, USER_EVENTS_PARTITIONS)
@@ -232,9 +246,17 @@ def start_event_ingest(
         wire,
         lambda batch: enrich(parse_events(batch), products, broadcast_limit, salts or 1),
         target, checkpoint, "event_ingest", every, table_format, USER_EVENTS_PARTITIONS, report,
+        None if measures is None else _measures_into(measures, table_format),
     )
 
 
+def _measures_into(folder: str, table_format: str) -> Callable[[DataFrame, str], None]:
+    def keep(rows: DataFrame, written_as: str) -> None:
+        overwrite_batch(hourly_measures(rows), folder, written_as, USER_EVENTS_PARTITIONS, table_format)
+
+    return keep
+
+
 def start_raw_ingest(
     wire: DataFrame,
     target: str,
