@@ -57,6 +57,8 @@ _QUERIES = (
     reports.counter_rate_by_topic,
     reports.lag_by_topic,
     reports.latest_value,
+    reports.latest_value_stream,
+    reports.lag_by_topic_stream,
     reports.events_per_minute,
     reports.events_per_minute_stream,
     reports.source_ready,
@@ -114,6 +116,26 @@ FROM events
 UNION ALL
 SELECT NULL, NULL, NULL, NULL FROM documents"""
 
+_LAGS = """
+WITH newest AS (
+    SELECT o_orderpriority AS topic, o_totalprice AS value FROM orders
+    WHERE o_orderstatus = 'F'
+    QUALIFY row_number() OVER (PARTITION BY o_orderpriority, o_custkey
+                               ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+)
+SELECT topic, count(*) AS series,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS lag
+FROM newest GROUP BY ALL"""
+_LATEST = """
+WITH newest AS (
+    SELECT event_type, ts, value FROM events WHERE value <> 0
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1
+)
+SELECT event_type, ts, value,
+       CASE WHEN value >= 500 THEN 'red' WHEN value >= 100 THEN 'yellow' ELSE 'green' END AS band,
+       value / 1073741824 AS gib
+FROM newest"""
+
 _CHECKED = """counts AS (
     SELECT count(*) AS total,
            1.0 - count(*) FILTER (user_id IS NULL) / greatest(count(*), 1)::DOUBLE AS users,
@@ -287,27 +309,10 @@ def _library_sql() -> dict[str, str]:
         "counter_rate_by_topic": f"""
             WITH {_increases(3600, 3600)}
             SELECT topic, window_start, samples, increase / 3600 AS rate FROM increases""",
-        "lag_by_topic": """
-            WITH newest AS (
-                SELECT o_orderpriority AS topic, o_totalprice AS value FROM orders
-                WHERE o_orderstatus = 'F'
-                QUALIFY row_number() OVER (PARTITION BY o_orderpriority, o_custkey
-                                           ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
-            )
-            SELECT topic, count(*) AS series,
-                   CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS lag
-            FROM newest GROUP BY ALL""",
-        "latest_value": """
-            WITH newest AS (
-                SELECT event_type, ts, value FROM events WHERE value <> 0
-                QUALIFY row_number() OVER (PARTITION BY event_type
-                                           ORDER BY ts DESC, event_id DESC) = 1
-            )
-            SELECT event_type, ts, value,
-                   CASE WHEN value >= 500 THEN 'red' WHEN value >= 100 THEN 'yellow'
-                        ELSE 'green' END AS band,
-                   value / 1073741824 AS gib
-            FROM newest""",
+        "lag_by_topic": _LAGS,
+        "lag_by_topic_stream": _LAGS,
+        "latest_value": _LATEST,
+        "latest_value_stream": _LATEST,
         "events_per_minute": """
             SELECT date_trunc('minute', ts) AS window_start, count(*) AS events,
                    count(*) / 60.0::DOUBLE AS per_second

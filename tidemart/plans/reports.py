@@ -38,7 +38,7 @@ from tidemart.sinks.compaction import compact_day
 from tidemart.sinks.tables import append, overwrite_day, overwrite_partitions
 from tidemart.sources.streams import file_stream
 from tidemart.sources.tables import read_days, read_table
-from tidemart.streaming import runs
+from tidemart.streaming import live, runs
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +299,37 @@ def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latest_panel(metrics.latest(samples, ["event_type"], order))
 
 
+def _sample_stream(spark: SparkSession, samples: DataFrame, root: str) -> DataFrame:
+    """Samples as a stream of four micro-batches."""
+    samples.repartition(4).write.parquet(f"{root}/samples")
+    return spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/samples")
+
+
+def latest_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest values as they stand when the stream of samples has been read."""
+    prepare(spark)
+    root = scratch_dir(spark, "latest-stream")
+    samples = given(spark, sf_dir, "events").select(
+        "event_type", "ts", "event_id", F.expr("nullif(value, 0)").alias("value")
+    )
+    stream = _sample_stream(spark, samples, root)
+    live.start_newest(stream, f"{root}/newest", f"{root}/checkpoint", ["event_type"], "event_id").awaitTermination()
+    return metrics.latest_panel(read_table(spark, f"{root}/newest", samples.schema).drop("event_id"))
+
+
+def lag_by_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags by topic as they stand when the stream of samples has been read."""
+    prepare(spark)
+    root = scratch_dir(spark, "lag-stream")
+    chosen = metrics.select_series(consumer_lags(spark, sf_dir), "consumergroup_lag", consumergroup="F")
+    labels = metrics.with_labels(chosen, "consumergroup", "topic", "client", "sequence")
+    samples = labels.withColumn("sequence", F.col("sequence").cast("long"))
+    stream, series = _sample_stream(spark, samples, root), ["consumergroup", "topic", "client"]
+    live.start_newest(stream, f"{root}/newest", f"{root}/checkpoint", series, "sequence", buckets=8).awaitTermination()
+    newest = read_table(spark, f"{root}/newest", samples.schema)
+    return metrics.lag_by(newest, series, "topic", metrics.sample_order(F.col("ts"), F.col("sequence")))
+
+
 def events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return metrics.throughput(given(spark, sf_dir, "events"), "ts")
