@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import quality
 from tidemart.plans import daily, readiness
-from tidemart.plans.layout import EVENTS, QUALITY_STATES, REVENUE, CatalogLayout, FolderLayout
+from tidemart.plans.layout import EVENTS, QUALITY_LOG, QUALITY_STATES, REVENUE, CatalogLayout, FolderLayout
 from tidemart.sinks.tables import append
 from tidemart.sources.streams import file_stream
 
@@ -127,3 +127,16 @@ def test_reading_of_a_topic_starts_at_the_mark():
     options = readiness.kafka_probe_options("host:1", "topic", mark)
     assert options["startingTimestamp"] == "1700000000500" and options["subscribe"] == "topic"
     assert "startingTimestamp" not in readiness.kafka_probe_options("host:1", "topic", None)
+
+
+def test_checks_that_are_not_enforced_are_logged_and_do_not_stop_a_run(spark, tmp_path):
+    root = str(tmp_path)
+    for rows, touched in (([sale(1, 1), sale(2, 2, 0.0)], True), ([sale(3, 1)], False)):
+        wire(spark, rows).coalesce(1).write.mode("append").parquet(f"{root}/wire")
+        stream = file_stream(spark, f"{root}/wire", "parquet")
+        outcome = daily.run_daily(
+            spark, stream, catalog(spark), FolderLayout(root), "2024-03-09", touched=touched, enforced=False
+        )
+        assert [row["check_name"] for row in outcome.checks if row["status"] == quality.FAILURE] == ["purchase amount > 0"]
+    assert revenue(spark, root) == {"2024-03-01": 20.0, "2024-03-02": 0.0}
+    assert FolderLayout(root).read(spark, QUALITY_LOG).where("status = 'FAILURE'").count() == 2

@@ -175,13 +175,14 @@ def check_quality(
     valid_types: Sequence[str] = EVENT_TYPES,
     show: Callable[[str], None] = log.info,
     metrics_jdbc: dict | None = None,
+    enforced: bool = True,
 ) -> list:
-    """Check, log, show the report, and raise if a check failed.
+    """Check, log, show the report, and raise if a check failed, unless checks are not `enforced`.
 
     The events are scanned once. `metrics_jdbc` are the settings of `append_jdbc` where the log is kept
     in a database as well.
     """
-    return conclude(quality.report(events, valid_types), layout, run_date, show, metrics_jdbc)
+    return conclude(quality.report(events, valid_types), layout, run_date, show, metrics_jdbc, enforced)
 
 
 def conclude(
@@ -190,8 +191,9 @@ def conclude(
     run_date: str,
     show: Callable[[str], None] = log.info,
     metrics_jdbc: dict | None = None,
+    enforced: bool = True,
 ) -> list:
-    """Log and show a report, and raise if a check failed."""
+    """Log and show a report, and raise if a check failed, unless checks are not `enforced`."""
     checks = checks.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = quality.metrics_log(checks, run_date).coalesce(1)
@@ -199,7 +201,8 @@ def conclude(
         if metrics_jdbc:
             append_jdbc(rows, **metrics_jdbc)
         show(quality.describe(checks))
-        quality.enforce(checks)
+        if enforced:
+            quality.enforce(checks)
         return checks.collect()
     finally:
         checks.unpersist()
@@ -293,6 +296,7 @@ def run_daily(
     metrics_jdbc: dict | None = None,
     touched: bool = False,
     keep_measures: bool = False,
+    enforced: bool = True,
 ) -> DailyOutcome:
     """Ingest what the stream `wire` holds, check the fact table, build the marts.
 
@@ -304,7 +308,8 @@ def run_daily(
     `checked_day` limits the checks to one day of a table too large to check whole. `ready`
     is the answer of `source_ready`; without data the run is skipped, not failed. With `skip_built`
     it is also skipped if there was nothing new to ingest since the last run for this day that ended well.
-    A failed check raises after it has been logged, and leaves the marts as they were.
+    A failed check raises after it has been logged, and leaves the marts as they were. With `enforced` off it is
+    logged and shown as well, but the marts are built all the same.
     """
     if not ready:
         return DailyOutcome(ready=False)
@@ -315,7 +320,8 @@ def run_daily(
     if touched:
         days = touched_since_built(spark, layout, batch)
         refresh_states(spark, layout, days, valid_types)
-        checks = conclude(report_from_states(spark, layout), layout, run_date, metrics_jdbc=metrics_jdbc)
+        found = report_from_states(spark, layout)
+        checks = conclude(found, layout, run_date, metrics_jdbc=metrics_jdbc, enforced=enforced)
         if days and keep_measures:
             build_touched(spark, layout, products, days)
         elif days:
@@ -324,7 +330,7 @@ def run_daily(
         return DailyOutcome(ready=True, ingested=ingested, checks=checks, days=days)
     events = layout.read(spark, EVENTS) if day is None else layout.read_days(spark, EVENTS, [day])
     checked = layout.read(spark, EVENTS) if checked_day is None else layout.read_days(spark, EVENTS, [checked_day])
-    checks = check_quality(checked, layout, run_date, valid_types, metrics_jdbc=metrics_jdbc)
+    checks = check_quality(checked, layout, run_date, valid_types, metrics_jdbc=metrics_jdbc, enforced=enforced)
     build_marts(events, products, layout, day)
     note_built(spark, layout, day, batch)
     return DailyOutcome(ready=True, ingested=ingested, checks=checks)
