@@ -38,7 +38,7 @@ def as_sql(name, folder):
     return sorted(map(repr, answer.fetchall())), [column[0] for column in answer.description]
 
 
-@pytest.mark.parametrize("name", ["late_days_rebuilt"])
+@pytest.mark.parametrize("name", ["late_days_rebuilt", "marts_from_measures"])
 def test_marts_of_late_days_where_a_purchase_has_no_amount(spark, tmp_path, name):
     start = datetime(2024, 1, 10)
     kinds = ("purchase", "view", "error")
