@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from tidemart.plans import reports
 
 SCHEMAS = {
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
@@ -48,3 +49,21 @@ def test_marts_of_late_days_where_a_purchase_has_no_amount(spark, tmp_path, name
     wanted, columns = as_sql(name, folder)
     found = registered.queries()[name](spark, folder).select(*columns).collect()
     assert sorted(repr(tuple(row)) for row in found) == wanted and wanted
+
+
+def test_files_of_a_stream_grow_in_number_with_its_records_and_make_up_four_micro_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reports, "_FILE_RECORDS", 10)
+    events = [(datetime(2024, 1, 15, i % 2), "view", float(i)) for i in range(200)]
+    folder = tables(spark, tmp_path / "given", events)
+    wanted, columns = as_sql("compacted_events", folder)
+    places, sizes = [], []
+    make, ingest = reports.scratch_dir, reports.runs.start_event_ingest
+    monkeypatch.setattr(reports, "scratch_dir", lambda *args: places.append(make(*args)) or places[-1])
+    monkeypatch.setattr(
+        reports.runs, "start_event_ingest", lambda *args: ingest(*args, report=lambda _, rows: sizes.append(rows))
+    )
+    found = reports.compacted_events(spark, folder).select(*columns).collect()
+    assert sorted(repr(tuple(row)) for row in found) == wanted
+    files = spark.read.parquet(f"{places[0]}/wire").groupBy("_metadata.file_path").count().collect()
+    assert len(files) >= 20 and max(row["count"] for row in files) <= 12
+    assert len(sizes) == 4 and min(sizes) > 40

@@ -41,6 +41,10 @@ from tidemart.sources.tables import read_days, read_table
 from tidemart.streaming import live, runs
 
 
+# Records in one file of a stream, at most about.
+_FILE_RECORDS = 250_000
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.with_measures(user_events(spark, sf_dir))
 
@@ -150,12 +154,23 @@ def raw_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(read_table(spark, f"{root}/events", RAW_EVENTS), "amount")
 
 
+def _batched(records: DataFrame, folder: str, batches: int = 4) -> int:
+    """Write records as the files of a stream; how many of them make up one of its micro-batches.
+
+    There are more files the more records there are, and the more tasks read them, so no task gets all of
+    a micro-batch.
+    """
+    each = max(1, records.rdd.getNumPartitions(), -(-records.count() // (batches * _FILE_RECORDS)))
+    records.repartition(batches * each).write.parquet(folder)
+    return each
+
+
 def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that came in four micro-batches, after two of their days have been put together."""
     prepare(spark)
     root = scratch_dir(spark, "compacted")
-    wire_events(spark, sf_dir).repartition(4).write.parquet(f"{root}/wire")
-    wire = file_stream(spark, f"{root}/wire", "parquet", max_files_per_trigger=1)
+    each = _batched(wire_events(spark, sf_dir), f"{root}/wire")
+    wire = file_stream(spark, f"{root}/wire", "parquet", max_files_per_trigger=each)
     runs.finish(runs.start_event_ingest(wire, products(spark, sf_dir), f"{root}/events", f"{root}/checkpoint"))
     for day in ("2024-01-15", "2024-01-16"):
         compact_day(spark, f"{root}/events", day, USER_EVENTS)
@@ -301,8 +316,8 @@ def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sample_stream(spark: SparkSession, samples: DataFrame, root: str) -> DataFrame:
     """Samples as a stream of four micro-batches."""
-    samples.repartition(4).write.parquet(f"{root}/samples")
-    return spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/samples")
+    each = _batched(samples, f"{root}/samples")
+    return spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", each).parquet(f"{root}/samples")
 
 
 def latest_value_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
