@@ -226,3 +226,30 @@ def test_awkward_rows(spark):
     assert sorted(map(tuple, recompression.dedup_windows(docs).collect()), key=str) == _words_by_force(plain)
     empty = spark.createDataFrame([], COLUMNS)
     assert suffixes.dedup_suffixes(empty).count() == recompression.dedup_windows(empty).count() == 0
+
+
+def test_rows_that_are_copies_rank_like_all_rows(monkeypatch):
+    draw = np.random.default_rng(5)
+    for high in (2, 50):
+        keys = [draw.integers(0, high, 300, dtype=np.uint64) << np.uint64(40) for _ in range(8)]
+        wanted = np.unique(np.stack(keys, axis=1), axis=0, return_inverse=True)[1].ravel()
+        assert (suffixes._ranks_of_copies(keys) == wanted).all()
+    # Different rows with one hash.
+    monkeypatch.setattr(suffixes, "mixed", lambda values: values & np.uint64(0))
+    assert (suffixes._ranks_of_copies(keys) == wanted).all()
+    assert not len(suffixes._ranks_of_copies([key[:0] for key in keys]))
+
+
+def test_suffixes_of_blocks_are_sorted_by_bucket_and_their_first_50_bytes():
+    draw = np.random.default_rng(6)
+    texts = [bytes(draw.integers(97, 99, int(size), dtype=np.uint8)) for size in draw.integers(50, 90, 60)]
+    texts += [text[3:] + b"a" * 9 for text in texts[:20]] + texts[:20] + [b"\0" * 60, b"\xff" * 55]
+    flat, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(text) for text in texts])
+    begins = np.cumsum(sizes) - sizes
+    places = [(i, begins[i] + j) for i in range(len(texts)) for j in range(sizes[i] - 49)]
+    owner, at = (np.array(column) for column in zip(*places, strict=True))
+    bucket = np.sort(draw.integers(0, 4, len(texts)))[owner]
+    order, new = suffixes.sorted_suffixes(flat, np.repeat(begins + sizes, sizes), at, bucket)
+    found = [(bucket[i], flat[at[i] : at[i] + 50].tobytes()) for i in order]
+    assert found == sorted(found) and sorted(order) == list(range(len(at)))
+    assert new.tolist() == [True] + [one != two for one, two in zip(found[1:], found[:-1], strict=True)]

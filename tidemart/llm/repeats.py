@@ -210,9 +210,11 @@ def _collect(
         settled = verdict(check[done], start[done], length[done] & 127)
         # They go on by way of some part, just to spread them.
         home = (settled ^ doc[done] ^ twin[done]) % parts
-        for part in np.unique(home):
-            own = home == part
-            rows.append((int(part) - parts, np.stack([doc[done][own], twin[done][own], settled[own]]).tobytes()))
+        order = np.argsort(home, kind="stable")
+        bounds = np.r_[np.flatnonzero(np.diff(home[order], prepend=-1)), len(order)]
+        known = [c[order] for c in (doc[done], twin[done], settled)]
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            rows.append((int(home[order[low]]) - parts, np.stack([c[low:high] for c in known]).tobytes()))
         columns = [c[stays] for c in (anchor, content, doc, check, start, length, left, right, twin)]
         part = (columns[0] % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((columns[4], columns[2], part))

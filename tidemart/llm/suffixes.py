@@ -53,9 +53,9 @@ _GRAMS = LENGTH - GRAM + 1
 _SIDE = (LENGTH - GRAM) // 2
 # A difference cover, and its period.
 COVER, PERIOD = (0, 1, 3), 7
-# Bytes of text looked at in one step, and suffixes sorted in one block.
-_STEP = 1 << 20
-_BLOCK = 1 << 18
+# Bytes of text looked at in one step, and suffixes sorted in one block: as many as a processor's caches hold.
+_STEP = 1 << 17
+_BLOCK = 1 << 16
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -79,8 +79,11 @@ def segments(flat: np.ndarray, offsets: np.ndarray) -> Segments:
             least = np.minimum(least[:-shift], least[shift:])
         place = (least & _PLACE).astype(np.int64)
         at = np.arange(len(place))
-        text = np.searchsorted(offsets, base + at, side="right") - 1
-        inside = np.flatnonzero(base + at + LENGTH <= offsets[text + 1])
+        # Texts that begin at or before the step, and in it; the last one to begin at a place stands there.
+        low, high = np.searchsorted(offsets, (base, base + len(at)), side="right") - 1
+        edges = np.r_[0, offsets[low + 1 : high + 1] - base, len(at)]
+        text = np.repeat(np.arange(low, high + 1), np.diff(edges))
+        inside = np.flatnonzero(base + at + LENGTH <= np.r_[offsets, offsets[-1]][text + 1])
         if not len(inside):
             continue
         place, text = place[inside], text[inside]
@@ -186,28 +189,54 @@ def _distinct(key: np.ndarray, doc: np.ndarray, name: np.ndarray, windows: np.nd
     return np.where(goes_on, key, mixed(name.view(np.uint64))).view(np.int64), doc, name, contents, twin
 
 
-def _words_at(padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+def _eights(padded: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that sorts like them; none for the last seven."""
+    value = padded.astype(np.uint64)
+    for width in (1, 2, 4):
+        value = (value[:-width] << np.uint64(8 * width)) | value[width:]
+    return value
+
+
+def _words_at(eights: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """The 50 bytes at each place as seven numbers that sort like them; the last ones are masked."""
-    result = []
-    for word in range(-(-LENGTH // 8)):
-        value = np.zeros(len(at), np.uint64)
-        for byte in range(8):
-            place = 8 * word + byte
-            value <<= np.uint64(8)
-            if place < LENGTH:
-                value |= padded[at + place].astype(np.uint64)
-        result.append(value)
-    return result
+    words = [eights[at + place] for place in range(0, LENGTH, 8)]
+    words[-1] &= ~np.uint64(0) << np.uint64(8 * (-LENGTH % 8))
+    return words
 
 
 def _ranks(keys: list[np.ndarray]) -> np.ndarray:
     """Dense rank of rows under several keys, the first one counting most."""
     order = np.lexsort(keys[::-1])
     rank = np.zeros(len(order), np.int64)
-    new = np.zeros(len(order), bool)
+    rank[order] = np.cumsum(_changes([key[order] for key in keys]))
+    return rank
+
+
+def _changes(keys: list[np.ndarray]) -> np.ndarray:
+    """Rows that differ from the one before; the first one does not."""
+    new = np.zeros(len(keys[0]), bool)
     for key in keys:
-        new[1:] |= key[order][1:] != key[order][:-1]
-    rank[order] = np.cumsum(new)
+        new[1:] |= key[1:] != key[:-1]
+    return new
+
+
+# Odd numbers without a pattern.
+_FACTORS = np.random.default_rng(20240301).integers(1, 1 << 63, 2 + LENGTH // 8, dtype=np.uint64) | np.uint64(1)
+
+
+def _ranks_of_copies(keys: list[np.ndarray]) -> np.ndarray:
+    """The same where many rows are equal: one of each is ranked. Equal rows are found by a hash, and compared."""
+    hashes = np.zeros(len(keys[0]), np.uint64)
+    for key, factor in zip(keys, _FACTORS, strict=True):
+        hashes += (key ^ (key >> np.uint64(32))) * factor
+    hashes = mixed(hashes)
+    order = np.argsort(hashes)
+    new = _changes([hashes[order]])
+    if (_changes([key[order] for key in keys]) & ~new).any():
+        return _ranks(keys)
+    first = order[np.r_[0, np.flatnonzero(new)]] if len(order) else order
+    rank = np.zeros(len(order), np.int64)
+    rank[order] = _ranks([key[first] for key in keys])[np.cumsum(new)]
     return rank
 
 
@@ -230,39 +259,45 @@ def sorted_suffixes(
     `ends` gives for every byte the end of its stretch; suffixes begin at `at` and are at least 50 bytes long.
     """
     padded = np.r_[flat, np.zeros(2 * LENGTH, np.uint8)]
+    eights = _eights(padded)
     # Ties of up to PERIOD bytes by the bytes themselves.
-    head = np.zeros(len(at), np.uint64)
-    for byte in range(PERIOD):
-        head = (head << np.uint64(8)) | padded[at + byte].astype(np.uint64)
-    tie = _ranks([bucket, head])
+    tie = _ranks([bucket, eights[at] >> np.uint64(8 * (8 - PERIOD))])
     # Ranks of the cover's positions by 50 bytes; past the end of a stretch there is nothing to compare.
-    cover = np.flatnonzero(np.isin(np.arange(len(flat)) % PERIOD, COVER))
-    keys = _words_at(padded, cover)
-    left = ends[cover] - cover
+    cover = np.arange(len(flat))
+    cover = cover[np.isin(np.arange(PERIOD), COVER)[cover % PERIOD]]
+    keys = _words_at(eights, cover)
+    left = np.minimum(ends[cover] - cover, LENGTH)
+    cut = np.flatnonzero(left < LENGTH)
     for number, key in enumerate(keys):
-        missing = np.clip(8 * (number + 1) - left, 0, 8).astype(np.uint64)
+        missing = np.clip(8 * (number + 1) - left[cut], 0, 8).astype(np.uint64)
         whole = missing == 8
         mask = ~np.uint64(0) << (np.where(whole, 0, missing).astype(np.uint64) * np.uint64(8))
-        keys[number] = np.where(whole, np.uint64(0), key & mask)
+        key[cut] = np.where(whole, np.uint64(0), key[cut] & mask)
     rank = np.zeros(len(padded), np.int64)
-    rank[cover] = _ranks([*keys, np.minimum(left, LENGTH)])
+    rank[cover] = _ranks_of_copies([*keys, left.astype(np.uint64)])
     # Place of every suffix within its tie: how many of each residue class are smaller.
     meeting, residue = _meeting(), at % PERIOD
-    width = int(rank.max(initial=0)) + 2
+    width, ties = int(rank.max(initial=0)) + 2, int(tie.max(initial=-1)) + 1
     place = np.zeros(len(at), np.int64)
     members = [np.flatnonzero(residue == r) for r in range(PERIOD)]
+    # Of each class, how many suffixes have a smaller tie, and its order by the ranks at each distance.
+    smaller = [np.cumsum(np.bincount(tie[own], minlength=ties)) - np.bincount(tie[own], minlength=ties) for own in members]
+    sides: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for one, own in enumerate(members):
+        for distance in set(meeting[one].tolist()):
+            key = tie[own] * width + rank[at[own] + distance]
+            by_key = np.argsort(key)
+            sides[one, distance] = own[by_key], key[by_key]
     for one, own in enumerate(members):
         for two, other in enumerate(members):
             if not len(own) or not len(other):
                 continue
-            distance = meeting[one, two]
-            theirs = np.sort(tie[other] * width + rank[at[other] + distance])
-            mine = tie[own] * width + rank[at[own] + distance]
-            before = np.searchsorted(theirs, tie[own] * width)
-            place[own] += np.searchsorted(theirs, mine, side="right" if two < one else "left") - before
-    order = np.lexsort((place, tie))
+            distance = int(meeting[one, two])
+            (whose, mine), (_, theirs) = sides[one, distance], sides[two, distance]
+            place[whose] += np.searchsorted(theirs, mine, side="right" if two < one else "left") - smaller[two][tie[whose]]
+    order = np.argsort(tie * (int(place.max(initial=0)) + 1) + place)
     sorted_at = at[order]
-    words = _words_at(padded, sorted_at)
+    words = _words_at(eights, sorted_at)
     new = np.ones(len(order), bool)
     new[1:] = bucket[order][1:] != bucket[order][:-1]
     for word in words:
@@ -318,7 +353,7 @@ def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             continue
         held.append(batch)
         count += batch.column("content").nbytes - LENGTH * batch.num_rows
-        if count < _BLOCK:
+        if count < 4 * _BLOCK:
             continue
         table = pa.Table.from_batches(held)
         key = table.column("bucket").combine_chunks().to_numpy()
