@@ -56,6 +56,8 @@ COVER, PERIOD = (0, 1, 3), 7
 # Bytes of text looked at in one step, and suffixes sorted in one block: as many as a processor's caches hold.
 _STEP = 1 << 17
 _BLOCK = 1 << 16
+# Bytes of contested stretches that a task collects before it passes them on.
+_PASSED = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -116,6 +118,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twins: list[int] = []
         names: list[np.ndarray] = []
         contents: list[bytes] = []
+        held = 0
         crowded: list[tuple[np.ndarray, ...]] = []
         numbers = batch.column("verdicts")
         for row, (doc, twin, zipped) in enumerate(
@@ -138,6 +141,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             contents.extend(
                 [text[low:high] for low, high in zip(start.tolist(), (start + length).tolist(), strict=True)]
             )
+            held += int(length.sum())
             if own.hot.any():
                 count = own.length[own.hot] - LENGTH + 1
                 first = np.repeat(own.start[own.hot] - np.r_[0, np.cumsum(count)[:-1]], count)
@@ -151,6 +155,9 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         np.full(len(at), twin),
                     )
                 )
+            if held >= _PASSED:
+                yield _rows(_anchors(contents), docs, np.concatenate(names), contents, twins)
+                docs, twins, names, contents, held = [], [], [], [], 0
         if docs:
             yield _rows(_anchors(contents), docs, np.concatenate(names), contents, twins)
         if crowded:
